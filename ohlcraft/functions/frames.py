@@ -10,16 +10,18 @@ from pyspark.sql import Column, Window, functions as F
 
 HISTORY = ("stock_id", "part")
 
-in_order = Window.partitionBy(*HISTORY).orderBy("chart_date")
+
+def in_order():
+    return Window.partitionBy(*HISTORY).orderBy("chart_date")
 
 
 def rows_back(n: int, skip: int = 0):
     """The ``n`` rows that end ``skip`` rows before the current one."""
-    return in_order.rowsBetween(-(n - 1) - skip, -skip)
+    return in_order().rowsBetween(-(n - 1) - skip, -skip)
 
 
 def back(column: Column | str, k: int) -> Column:
-    return F.lag(column, k).over(in_order)
+    return F.lag(column, k).over(in_order())
 
 
 def filled(value: Column, column: Column | str, n: int, skip: int = 0) -> Column:
@@ -45,3 +47,7 @@ def lowest(column, n: int) -> Column:
 
 def deviation(column, n: int) -> Column:
     return filled(F.stddev_pop(column).over(rows_back(n)), column, n)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -17,9 +17,10 @@ MAX_BARS_PER_MONTH = 31
 
 def split_histories(
     bars: DataFrame, part_rows: int | None = PART_ROWS, warmup: int = WARMUP,
-    max_long: int = MAX_LONG,
+    overlap: int | None = None, max_long: int = MAX_LONG,
 ) -> DataFrame:
-    """Cut long stock histories into parts that overlap by at least ``warmup`` rows.
+    """Cut long stock histories into parts that overlap by at least ``overlap`` rows, which is
+    ``warmup`` unless given.
 
     Adds ``part``, ``rows_before`` (bars of the stock ahead of the part), ``carried`` (true
     for the overlap, which feeds frames and is not to be emitted) and ``seasoned_on`` (date
@@ -32,8 +33,9 @@ def split_histories(
         F.lit(False).alias("carried"), F.lit(None).cast("date").alias("seasoned_on"))
     if part_rows is None:
         return whole
-    if part_rows < warmup + 2 * MAX_BARS_PER_MONTH:
-        raise ValueError(f"part_rows must be at least {warmup + 2 * MAX_BARS_PER_MONTH}")
+    overlap = overlap or warmup
+    if part_rows < overlap + 2 * MAX_BARS_PER_MONTH:
+        raise ValueError(f"part_rows must be at least {overlap + 2 * MAX_BARS_PER_MONTH}")
 
     counts = bars.groupBy("stock_id").agg(F.count("*").alias("n"))
     share = counts.agg(F.sum("n") / max_long).scalar()
@@ -55,7 +57,7 @@ def split_histories(
             "stock_id", "_month", "_before", "_own",
             F.explode(F.array_compact(F.array(
                 F.col("_own"),
-                F.when(F.col("_next_start") - F.col("_until") < warmup, F.col("_own") + 1),
+                F.when(F.col("_next_start") - F.col("_until") < overlap, F.col("_own") + 1),
             ))).alias("part"))
         .select(
             "stock_id", "_month", "part",
@@ -79,7 +81,7 @@ def numbered(bars: DataFrame, warmup: int = WARMUP) -> DataFrame:
         Window.partitionBy(*frames.HISTORY))
     return (
         bars.withColumn(
-            "bar_no", F.col("rows_before") + F.row_number().over(frames.in_order))
+            "bar_no", F.col("rows_before") + F.row_number().over(frames.in_order()))
         .withColumn("seasoned_on", F.coalesce("seasoned_on", warm)))
 
 
