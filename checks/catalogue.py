@@ -4,10 +4,13 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks import indicator_sql
 from checks import pattern_sql as ps
 from ohlcraft.operators import detect
+from ohlcraft.operators.indicators.compute import indicators
+from ohlcraft.operators.indicators.families import FAMILIES
 from ohlcraft.operators.patterns import PATTERNS
 from ohlcraft.sources import derived
 
@@ -57,3 +60,18 @@ _register(
     "patterns_slice", _detect(start=START, end=END, emit="slice"),
     ps.sliced(str(START), str(END), False))
 _register("patterns_in_parts", _detect(part_rows=200), ps.all_patterns())
+
+
+def _rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.round(F.col(f"`{name}`"), 6) for name in names})
+
+
+def _indicator(name: str):
+    def run(spark, sf_dir):
+        wide = indicators(derived.bars(spark, sf_dir), [name], part_rows=BOUNDED)
+        return _rounded(wide, *(c for c in wide.columns if c != "chart_id"))
+    return run
+
+
+for _family in FAMILIES.values():
+    _register(f"ti_{_family.key}", _indicator(_family.name), indicator_sql.SQL[_family.key])

@@ -10,10 +10,10 @@ from ohlcraft.operators.patterns import PATTERNS, STRICT_PRIOR
 
 def detect_patterns(
     bars: DataFrame, start=None, end=None, *, only: Iterable[int] | None = None,
-    emit: str = "range", strict_prior: bool = False,
+    emit: str = "range", strict_prior: bool = False, keep: tuple[str, ...] = (),
     part_rows: int | None = history.PART_ROWS,
 ) -> DataFrame:
-    """Hits as ``(chart_id, pattern_id)``.
+    """Hits as ``(chart_id, pattern_id)`` and the bars' columns named in ``keep``.
 
     With ``start``, a stock is looked at only if 60 bars precede its first bar in the
     range. ``emit="range"`` gives the hits of bars in the range, ``emit="slice"`` also
@@ -30,9 +30,10 @@ def detect_patterns(
     if only is not None:
         chosen = {pattern_id: chosen[pattern_id] for pattern_id in only}
 
+    ids = ("chart_id", *keep)
     bars = bars.select(
-        "chart_id", "stock_id", "chart_date",
-        "chart_open", "chart_high", "chart_low", "chart_close")
+        *dict.fromkeys(("chart_id", "stock_id", "chart_date", *keep)), "chart_open",
+        "chart_high", "chart_low", "chart_close")
     if end is not None:
         bars = bars.where(F.col("chart_date") <= end)
     parts = history.split_histories(bars, part_rows)
@@ -41,11 +42,11 @@ def detect_patterns(
         parts = history.range_slice(history.numbered(parts), start)
         if emit == "range":
             emitted = emitted & (F.col("chart_date") >= start)
-    ids = [F.expr(f"CASE WHEN {p.condition} THEN {p.pattern_id} END") for p in chosen.values()]
+    hits = [F.expr(f"CASE WHEN {p.condition} THEN {p.pattern_id} END") for p in chosen.values()]
     return (
         candles.measured(parts)
         .where(emitted)
-        .select("chart_id", F.explode(F.array_compact(F.array(*ids))).alias("pattern_id")))
+        .select(*ids, F.explode(F.array_compact(F.array(*hits))).alias("pattern_id")))
 
 
 def trend_flags(bars: DataFrame, part_rows: int | None = history.PART_ROWS) -> DataFrame:

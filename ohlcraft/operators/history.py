@@ -96,22 +96,28 @@ def prior_bars(charts: DataFrame, before: Column | dt.date, n: int = WARMUP) ->
 
 def warmup_bars(
     charts: DataFrame, start: dt.date, end: dt.date, n: int = WARMUP, near_days: int = 200,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Bars up to ``end`` holding at least ``n`` rows before ``start`` where they exist.
 
     Reads only the last ``near_days`` of history, plus all of it for the stocks that have
-    bars in the range but too few rows in those days.
+    bars in the range but too few rows in those days. ``month_column`` names a partition
+    column with the first day of the bar's month, for pruning.
     """
     near_start = start - dt.timedelta(days=near_days)
     near = charts.where(F.col("chart_date").between(near_start, end))
+    old = charts.where(F.col("chart_date") < near_start)
+    if month_column is not None:
+        month = near_start.replace(day=1)
+        near, old = near.where(F.col(month_column) >= month), old.where(
+            F.col(month_column) <= month)
     short = (
         near.groupBy("stock_id")
         .agg(F.count_if(F.col("chart_date") < start).alias("earlier"),
              F.count_if(F.col("chart_date") >= start).alias("inside"))
         .where((F.col("inside") > 0) & (F.col("earlier") < n))
         .select("stock_id"))
-    older = charts.where(F.col("chart_date") < near_start).join(short, "stock_id", "left_semi")
-    return near.unionByName(older)
+    return near.unionByName(old.join(short, "stock_id", "left_semi"))
 
 
 def range_slice(numbered_bars: DataFrame, start: dt.date, n: int = WARMUP) -> DataFrame:

@@ -70,9 +70,11 @@ def _with_lines(
 def indicators(
     bars: DataFrame, names: Iterable[str] | None = None,
     start: dt.date | None = None, end: dt.date | None = None, *,
-    anchor: str = "bar", part_rows: int | None = history.PART_ROWS,
+    anchor: str = "bar", keep: tuple[str, ...] = (),
+    part_rows: int | None = history.PART_ROWS,
 ) -> DataFrame:
-    """Wide frame: ``chart_id`` and one column per indicator line.
+    """Wide frame: ``chart_id``, the bars' columns named in ``keep``, and one column per
+    indicator line.
 
     A bar has a row if 60 bars of its stock precede it and it lies in the range.
     ``anchor="bar"`` computes a bar's recursive lines from the 61 bars that end with it.
@@ -89,8 +91,9 @@ def indicators(
     own = [f for f in families if not f.by_date]
     shared = [f for f in families if f.by_date]
 
+    ids = ["chart_id", *keep]
     bars = bars.select(
-        "chart_id", "stock_id", "chart_date", F.col("chart_open").alias("o"),
+        *dict.fromkeys(("chart_id", "stock_id", "chart_date", *keep)), F.col("chart_open").alias("o"),
         F.col("chart_high").alias("h"), F.col("chart_low").alias("l"),
         F.col("chart_close").alias("c"), F.col("chart_volume").alias("v"))
     if end is not None:
@@ -103,10 +106,11 @@ def indicators(
     sliced = history.range_slice(parts, start) if anchor == "range" else parts
     wide = _with_lines(
         sliced.withColumn("_emit", emitted), own,
-        ["chart_id", "chart_date"] if shared else ["chart_id"], anchor)
+        list(dict.fromkeys([*ids, *(["chart_date"] if shared else [])])), anchor)
     if shared:
         by_date = _breadth(parts, shared, start, anchor)
-        wide = wide.join(by_date, "chart_date", "left").drop("chart_date")
+        wide = wide.join(by_date, "chart_date", "left").select(
+            *ids, *(F.col(frames.quoted(name)) for f in own + shared for name in LINE_NAMES[f.name]))
     return wide
 
 

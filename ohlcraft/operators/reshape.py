@@ -6,18 +6,22 @@ from ohlcraft.functions import scalar
 from ohlcraft.functions.frames import quoted
 
 
-def indicators_long(wide: DataFrame, ordered: bool = False) -> DataFrame:
+def indicators_long(
+    wide: DataFrame, keep: tuple[str, ...] = (), ordered: bool = False,
+) -> DataFrame:
     """``(chart_id, daily_indicator_value, indicator_line_name)`` without empty values.
 
-    Every column but ``chart_id`` is a line; text that is no number counts as empty.
+    Every column but ``chart_id`` and those in ``keep`` is a line; text that is no number
+    counts as empty.
     """
-    lines = [c for c in wide.columns if c != "chart_id"]
+    ids = ["chart_id", *keep]
+    lines = [c for c in wide.columns if c not in ids]
     numbers = wide.select(
-        "chart_id", *(scalar.number_or_null(F.col(quoted(c))).alias(c) for c in lines))
+        *ids, *(scalar.number_or_null(F.col(quoted(c))).alias(c) for c in lines))
     long = (
         numbers.unpivot(
-            ["chart_id"], [F.col(quoted(c)) for c in lines],
+            ids, [F.col(quoted(c)) for c in lines],
             "indicator_line_name", "daily_indicator_value")
         .where(F.col("daily_indicator_value").isNotNull())
-        .select("chart_id", "daily_indicator_value", "indicator_line_name"))
+        .select(*ids, "daily_indicator_value", "indicator_line_name"))
     return long.orderBy("chart_id", "indicator_line_name") if ordered else long
