@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import indicator_sql
 from checks import pattern_sql as ps
-from ohlcraft.operators import detect
+from checks import table_sql as ts
+from ohlcraft import schema
+from ohlcraft.functions import scalar
+from ohlcraft.operators import change, detect, history, lookup, merge, reshape
 from ohlcraft.operators.indicators.compute import indicators
 from ohlcraft.operators.indicators.families import FAMILIES
 from ohlcraft.operators.patterns import PATTERNS
-from ohlcraft.sources import derived
+from ohlcraft.sources import bars as bar_source
+from ohlcraft.sources import derived, symbols
 
 
 @dataclass(frozen=True)
@@ -75,3 +79,317 @@ def _indicator(name: str):
 
 for _family in FAMILIES.values():
     _register(f"ti_{_family.key}", _indicator(_family.name), indicator_sql.SQL[_family.key])
+
+
+# -- indicators together ---------------------------------------------------------------
+
+_MIXED = ["moving_average", "aroon", "macd", "ad_line"]
+
+
+def _names(keys) -> list[str]:
+    return [family.name for family in FAMILIES.values() if family.key in keys]
+
+
+def _long(spark, sf_dir, keys=_MIXED):
+    wide = indicators(derived.bars(spark, sf_dir), _names(keys), part_rows=BOUNDED)
+    return _rounded(reshape.indicators_long(wide), "daily_indicator_value")
+
+
+_register("indicators_long", _long, ts.long_of(_MIXED))
+
+
+def _line_summary(spark, sf_dir):
+    """Count and extremes of every line, all families computed in one pass."""
+    wide = indicators(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+    return (
+        _rounded(reshape.indicators_long(wide), "daily_indicator_value")
+        .groupBy("indicator_line_name")
+        .agg(F.count("*").alias("bars"),
+             F.min("daily_indicator_value").alias("lowest"),
+             F.max("daily_indicator_value").alias("highest")))
+
+
+_register(
+    "indicators_all", _line_summary,
+    f"""SELECT indicator_line_name, count(*) AS bars,
+  min(daily_indicator_value) AS lowest, max(daily_indicator_value) AS highest
+FROM ({ts.long_of([family.key for family in FAMILIES.values()])}) GROUP BY 1""")
+_register(
+    "indicators_range_anchor",
+    lambda spark, sf_dir: _rounded(
+        indicators(derived.bars(spark, sf_dir), ["MACD"], START, END, anchor="range",
+                   part_rows=BOUNDED),
+        "MACD", "MACD_Signal", "MACD_Oscillator"),
+    ts.macd_from_range_start(str(START), str(END)))
+
+# -- bars ------------------------------------------------------------------------------
+
+_register(
+    "change_pct",
+    lambda spark, sf_dir: _rounded(
+        change.change_percentage(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+        .select("chart_id", "chart_change_percentage"), "chart_change_percentage"),
+    f"""{ps.WITH_BARS} SELECT chart_id, round(pct, 6) AS chart_change_percentage
+FROM ({ts.CHANGE})""")
+_register(
+    "change_pct_range",
+    lambda spark, sf_dir: _rounded(
+        change.change_percentage(derived.bars(spark, sf_dir), START, END, part_rows=BOUNDED)
+        .select("chart_id", "chart_change_percentage"), "chart_change_percentage"),
+    f"""{ps.WITH_BARS} SELECT chart_id,
+  CASE WHEN chart_date BETWEEN DATE '{START}' AND DATE '{END}' THEN round(pct, 6) END
+    AS chart_change_percentage FROM ({ts.CHANGE})""")
+_register(
+    "prior_60",
+    lambda spark, sf_dir: history.prior_bars(derived.bars(spark, sf_dir), START),
+    f"""{ps.WITH_BARS} SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY stock_id ORDER BY chart_date DESC)::INT AS rank
+  FROM bars WHERE chart_date < DATE '{START}') WHERE rank <= 60""")
+_register(
+    "raw_bars_in_range",
+    lambda spark, sf_dir: bar_source.bars_in_range(
+        derived.raw_bars(spark, sf_dir),
+        symbols.symbols_from_stocks(derived.stocks(spark, sf_dir)), START, END),
+    f"""{ts.ctes('bars', 'raw', 'stocks')} SELECT * FROM raw
+WHERE date BETWEEN {START:%Y%m%d} AND {END:%Y%m%d}
+  AND symbol IN (SELECT 'A' || ticker FROM stocks)""")
+_register(
+    "chart_rows",
+    lambda spark, sf_dir: bar_source.chart_rows(derived.raw_bars(spark, sf_dir)),
+    f"""{ts.ctes('bars', 'raw')} SELECT ltrim(symbol, 'A') AS ticker,
+  strptime(date::VARCHAR, '%Y%m%d')::DATE AS chart_date, open AS chart_open,
+  high AS chart_high, low AS chart_low, close AS chart_close, volume AS chart_volume,
+  close * volume AS chart_turnover FROM raw""")
+_register(
+    "charts_by_date",
+    lambda spark, sf_dir: bar_source.charts_by_date(
+        derived.charts(spark, sf_dir), derived.stocks(spark, sf_dir), START, END),
+    f"""{ts.ctes('bars', 'stocks')} SELECT {ts.CHART_COLUMNS}, s.ticker,
+  c.chart_close * c.chart_volume AS chart_turnover, NULL::DOUBLE AS chart_change_percentage
+FROM bars c LEFT JOIN stocks s USING (stock_id)
+WHERE c.chart_date BETWEEN DATE '{START}' AND DATE '{END}'
+ORDER BY c.stock_id, c.chart_date""")
+_register(
+    "charts_by_ticker",
+    lambda spark, sf_dir: bar_source.charts_of_tickers(
+        derived.charts(spark, sf_dir), derived.stocks(spark, sf_dir), "000000000001", START, END),
+    f"""{ts.ctes('bars', 'stocks')} SELECT {ts.CHART_COLUMNS}
+FROM bars c LEFT JOIN stocks s USING (stock_id)
+WHERE c.chart_date BETWEEN DATE '{START}' AND DATE '{END}' AND s.ticker = '000000000001'
+ORDER BY c.stock_id, c.chart_date""")
+_register(
+    "charts_by_tickers",
+    lambda spark, sf_dir: bar_source.charts_of_tickers(
+        derived.charts(spark, sf_dir), derived.stocks(spark, sf_dir),
+        derived.stocks(spark, sf_dir).where("sector_id >= 10").select("ticker"), START, END),
+    f"""{ts.ctes('bars', 'stocks')} SELECT {ts.CHART_COLUMNS}
+FROM bars c JOIN stocks s USING (stock_id)
+WHERE c.chart_date BETWEEN DATE '{START}' AND DATE '{END}' AND s.sector_id >= 10""")
+_register(
+    "session_check",
+    lambda spark, sf_dir: bar_source.had_session(
+        derived.raw_bars(spark, sf_dir), "A000000000001", START),
+    f"""{ts.ctes('bars', 'raw')} SELECT count(*) > 0 AS had_session FROM raw
+WHERE symbol = 'A000000000001' AND date = {START:%Y%m%d}""")
+_register(
+    "sessions",
+    lambda spark, sf_dir: bar_source.sessions(derived.bars(spark, sf_dir)),
+    f"""{ps.WITH_BARS} SELECT chart_date, count(*) AS stocks,
+  chart_date = (SELECT max(chart_date) FROM bars) AS is_newest FROM bars GROUP BY chart_date""")
+
+# -- symbols and text ------------------------------------------------------------------
+
+_register(
+    "symbol_normalise",
+    lambda spark, sf_dir: derived.stocks(spark, sf_dir).select(
+        "stock_id", scalar.symbol_of(F.col("ticker")).alias("symbol"),
+        scalar.ticker_of(F.concat(F.lit("AA"), "stock_name")).alias("bare_name"),
+        scalar.ticker_of(F.concat(F.lit("AAB"), "ticker")).alias("inner_a")),
+    f"""{ts.ctes('stocks')} SELECT stock_id, 'A' || ticker AS symbol,
+  regexp_replace('AA' || stock_name, '^A+', '') AS bare_name, 'B' || ticker AS inner_a FROM stocks""")
+_register(
+    "coerced_values",
+    lambda spark, sf_dir: derived.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        scalar.number_or_null(F.substring("o_orderpriority", 1, 1)).alias("number"),
+        scalar.number_or_null(F.col("o_orderpriority")).alias("no_number"),
+        scalar.trimmed(F.concat(F.lit("  "), "o_orderpriority", F.lit(" "))).alias("trimmed")),
+    """SELECT o_orderkey, TRY_CAST(substring(o_orderpriority, 1, 1) AS DOUBLE) AS number,
+  TRY_CAST(o_orderpriority AS DOUBLE) AS no_number, o_orderpriority AS trimmed FROM orders""")
+_register(
+    "symbols_from_stocks",
+    lambda spark, sf_dir: symbols.symbols_from_stocks(derived.stocks(spark, sf_dir)),
+    f"{ts.ctes('stocks')} SELECT 'A' || ticker AS symbol FROM stocks")
+
+
+def _listed(spark, sf_dir):
+    listing = derived.listing(spark, sf_dir)
+    return symbols.listed_stocks(listing.select("symbol"), listing)
+
+
+_register("listed_stocks", _listed, f"{ts.ctes('listing', 'listed')} SELECT * FROM listed")
+_register(
+    "listed_sectors",
+    lambda spark, sf_dir: symbols.listed_sectors(
+        derived.listing(spark, sf_dir).select("symbol"), derived.listing(spark, sf_dir)),
+    f"{ts.ctes('listing', 'listed')} SELECT DISTINCT sector_name FROM listed")
+
+
+def _caps_twice(spark, sf_dir):
+    """Two snapshots of all caps, the later one a tenth higher."""
+    caps = derived.market_cap_snapshot(spark, sf_dir)
+    return caps.withColumn("at", F.lit(1)).unionByName(
+        caps.withColumn("at", F.lit(2)).withColumn("cap", F.col("cap") + F.floor(F.col("cap") / 10)))
+
+
+_register(
+    "market_caps",
+    lambda spark, sf_dir: symbols.market_caps(
+        symbols.symbols_from_stocks(derived.stocks(spark, sf_dir)), _caps_twice(spark, sf_dir), "at"),
+    f"{ts.ctes('caps')} SELECT symbol, cap + cap // 10 AS cap FROM caps")
+
+# -- joins to the dimensions -----------------------------------------------------------
+
+
+def _rows(spark, sf_dir):
+    return bar_source.chart_rows(derived.raw_bars(spark, sf_dir))
+
+
+_register(
+    "charts_with_stock_ids",
+    lambda spark, sf_dir: lookup.with_stock_ids(
+        _rows(spark, sf_dir), derived.stocks(spark, sf_dir)
+    ).select("stock_id", "chart_date", "chart_close"),
+    f"""{ts.ctes('bars', 'stocks')} SELECT s.stock_id, chart_date, chart_close
+FROM bars LEFT JOIN stocks s USING (stock_id)""")
+_register(
+    "rejected_bars",
+    lambda spark, sf_dir: lookup.mapped_and_rejected(
+        _rows(spark, sf_dir), derived.stocks(spark, sf_dir))[1].select("ticker", "chart_date"),
+    f"""{ts.ctes('bars', 'stocks')} SELECT lpad(stock_id::VARCHAR, 12, '0') AS ticker, chart_date
+FROM bars WHERE stock_id NOT IN (SELECT stock_id FROM stocks)""")
+_register(
+    "unmapped_tickers",
+    lambda spark, sf_dir: lookup.missing_keys(
+        _rows(spark, sf_dir), derived.stocks(spark, sf_dir), "ticker"),
+    f"""{ts.ctes('bars', 'stocks')} SELECT DISTINCT lpad(stock_id::VARCHAR, 12, '0') AS ticker
+FROM bars WHERE stock_id NOT IN (SELECT stock_id FROM stocks)""")
+_register(
+    "market_caps_by_stock",
+    lambda spark, sf_dir: lookup.market_caps_by_stock(
+        derived.market_cap_snapshot(spark, sf_dir), derived.stocks(spark, sf_dir)),
+    f"""{ts.ctes('caps', 'stocks')} SELECT symbol, ticker, stock_id, cap
+FROM caps LEFT JOIN stocks ON symbol = 'A' || ticker""")
+_register(
+    "stocks_with_sector_ids",
+    lambda spark, sf_dir: lookup.stocks_with_sector_ids(
+        _listed(spark, sf_dir), derived.sectors(spark, sf_dir)),
+    f"""{ts.ctes('listing', 'listed', 'sectors')} SELECT ticker, stock_name, sector_id, sector_name
+FROM listed LEFT JOIN sectors USING (sector_name)""")
+
+# -- loads: what is in the table already is told by an attribute of the rows -----------
+
+
+def _known_charts(spark, sf_dir):
+    return derived.charts(spark, sf_dir).where("chart_volume < 50000").withColumn(
+        "chart_turnover", F.lit(-1).cast("long"))
+
+
+def _incoming_charts(spark, sf_dir):
+    """All charts, some of them twice."""
+    charts = derived.charts(spark, sf_dir)
+    return charts.unionByName(charts.where("chart_volume > 90000"))
+
+
+_register(
+    "insert_ignore_charts",
+    lambda spark, sf_dir: merge.with_inserts(
+        _known_charts(spark, sf_dir), _incoming_charts(spark, sf_dir), ["stock_id", "chart_date"]
+    ).drop("chart_change_percentage"),
+    f"""{ps.WITH_BARS} SELECT *, CASE WHEN chart_volume < 50000 THEN -1
+  ELSE chart_close * chart_volume END AS chart_turnover FROM bars""")
+_register(
+    "load_stats",
+    lambda spark, sf_dir: merge.load_stats(merge.marked_new(
+        _known_charts(spark, sf_dir), _incoming_charts(spark, sf_dir),
+        ["stock_id", "chart_date"])),
+    f"""{ps.WITH_BARS}, n AS (SELECT count(*) + count(*) FILTER (chart_volume > 90000) AS total,
+  count(*) FILTER (chart_volume >= 50000) AS inserted FROM bars)
+SELECT total, inserted, total - inserted AS skipped FROM n""")
+
+
+def _hits(spark, sf_dir):
+    return detect.detect_patterns(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+
+
+_register(
+    "insert_ignore_patterns",
+    lambda spark, sf_dir: merge.new_rows(
+        _hits(spark, sf_dir).where("pattern_id < 40"), _hits(spark, sf_dir),
+        ["pattern_id", "chart_id"]),
+    f"""{ps.WITH_BARS}, {ps.facts()}, {ts.HITS}
+SELECT chart_id, pattern_id FROM hits WHERE pattern_id >= 40""")
+
+_LINES = [(1, "단기 이동평균"), (2, "중기 이동평균")]
+
+
+def _new_indicators(spark, sf_dir):
+    """Values of two known lines and an unknown one, those below 3000 being there already."""
+    lines = spark.createDataFrame(_LINES, schema.INDICATOR_LINES)
+    values = lookup.with_line_ids(_long(spark, sf_dir, ["moving_average"]), lines)
+    return merge.new_rows(
+        values.where("daily_indicator_value < 3000"), values, ["indicator_line_id", "chart_id"])
+
+
+_register(
+    "insert_ignore_indicators", _new_indicators,
+    f"""SELECT chart_id, indicator_line_id, daily_indicator_value
+FROM ({ts.long_of(['moving_average'])})
+JOIN (VALUES (1, '단기 이동평균'), (2, '중기 이동평균')) AS l(indicator_line_id, indicator_line_name)
+USING (indicator_line_name) WHERE daily_indicator_value >= 3000""")
+
+
+def _upserted_caps(spark, sf_dir):
+    stocks = derived.stocks(spark, sf_dir)
+    known = stocks.where("sector_id < 10").select("stock_id", F.lit(0).cast("long").alias("cap"))
+    caps = _caps_twice(spark, sf_dir).where("cap > 100000")
+    mapped = lookup.market_caps_by_stock(caps, stocks, "at")
+    return merge.upserted(known, mapped.select("stock_id", "cap", "at"), ["stock_id"], "at")
+
+
+_register(
+    "upsert_market_cap", _upserted_caps,
+    f"""{ts.ctes('caps', 'stocks')},
+c AS (SELECT stock_id, cap + cap // 10 AS cap FROM caps JOIN stocks ON symbol = 'A' || ticker
+      WHERE cap + cap // 10 > 100000)
+SELECT stock_id, cap FROM c UNION ALL
+SELECT stock_id, 0 FROM stocks WHERE sector_id < 10 AND stock_id NOT IN (SELECT stock_id FROM c)""")
+_register(
+    "new_sectors",
+    lambda spark, sf_dir: merge.new_sectors(
+        derived.sectors(spark, sf_dir).where("sector_id < 10"), _listed(spark, sf_dir)),
+    f"""{ts.ctes('listing', 'listed', 'sectors')} SELECT DISTINCT sector_name FROM listed
+WHERE sector_name NOT IN (SELECT sector_name FROM sectors WHERE sector_id < 10)""")
+_register(
+    "new_stocks",
+    lambda spark, sf_dir: merge.new_stocks(
+        derived.stocks(spark, sf_dir).where("sector_id < 10"), _listed(spark, sf_dir)),
+    f"""{ts.ctes('listing', 'listed', 'stocks')} SELECT DISTINCT ticker, stock_name, sector_name
+FROM listed WHERE stock_name NOT IN (SELECT stock_name FROM stocks WHERE sector_id < 10)""")
+_register(
+    "new_ids",
+    lambda spark, sf_dir: merge.with_new_ids(
+        derived.stocks(spark, sf_dir).select("stock_name"), "new_id", ["stock_name"], after=100)
+    .agg(F.count("*").alias("rows"), F.countDistinct("new_id").alias("ids"),
+         F.min("new_id").alias("first"), F.max("new_id").alias("last")),
+    f"""{ts.ctes('stocks')} SELECT count(*) AS rows, count(*) AS ids, 101 AS first,
+  100 + count(*) AS last FROM stocks""")
+_register(
+    "high_water_mark",
+    lambda spark, sf_dir: merge.high_water_mark(
+        derived.bars(spark, sf_dir).groupBy(
+            F.concat(F.lit("stock "), F.col("stock_id").cast("string")).alias("latest_date_name"))
+        .agg(F.max("chart_date").alias("latest_date")), "stock 1", END),
+    f"""{ps.WITH_BARS} SELECT 'stock ' || stock_id AS latest_date_name,
+  CASE WHEN stock_id = 1 THEN DATE '{END}' ELSE max(chart_date) END AS latest_date
+FROM bars GROUP BY stock_id""")
