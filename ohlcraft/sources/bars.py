@@ -98,7 +98,6 @@ def had_session(raw: DataFrame, symbol: str, day: dt.date) -> DataFrame:
 
 def sessions(charts: DataFrame) -> DataFrame:
     """Per date, how many stocks have a bar, and whether it is the newest date."""
-    return (
-        charts.groupBy("chart_date").agg(F.count("*").alias("stocks"))
-        .crossJoin(F.broadcast(charts.agg(F.max("chart_date").alias("newest"))))
-        .select("chart_date", "stocks", (F.col("chart_date") == F.col("newest")).alias("is_newest")))
+    by_date = charts.groupBy("chart_date").agg(F.count("*").alias("stocks"))
+    newest = charts.agg(F.max("chart_date")).scalar()
+    return by_date.select("chart_date", "stocks", (F.col("chart_date") == newest).alias("is_newest"))
