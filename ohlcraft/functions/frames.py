@@ -33,21 +33,5 @@ def mean(column, n: int, skip: int = 0) -> Column:
     return filled(F.avg(column).over(rows_back(n, skip)), column, n, skip)
 
 
-def total(column, n: int) -> Column:
-    return filled(F.sum(column).over(rows_back(n)), column, n)
-
-
-def highest(column, n: int) -> Column:
-    return filled(F.max(column).over(rows_back(n)), column, n)
-
-
-def lowest(column, n: int) -> Column:
-    return filled(F.min(column).over(rows_back(n)), column, n)
-
-
-def deviation(column, n: int) -> Column:
-    return filled(F.stddev_pop(column).over(rows_back(n)), column, n)
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

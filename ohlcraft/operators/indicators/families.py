@@ -168,11 +168,13 @@ def _since(k: int, x: np.ndarray) -> np.ndarray:
 def _smooth(x: np.ndarray, weight) -> np.ndarray:
     """Exponential smoothing that starts at the first value of ``x``; ``weight`` may vary."""
     weights = np.broadcast_to(weight, x.shape)
+    missing = np.isnan(x) | np.isnan(weights)
     out = np.empty_like(x)
     out[0] = x[0]
     for k in range(1, len(x)):
-        value = out[k - 1] + (x[k] - out[k - 1]) * weights[k]
-        out[k] = np.where(np.isnan(value), x[k], value)
+        out[k] = out[k - 1] + (x[k] - out[k - 1]) * weights[k]
+        if missing[k - 1:k + 1].any():
+            out[k] = np.where(np.isnan(out[k]), x[k], out[k])
     return out
 
 

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ohlcraft import schema
 from ohlcraft.functions import scalar
 from ohlcraft.operators import change, history, lookup, merge
 from ohlcraft.sources import bars as bar_source, symbols
@@ -98,3 +99,15 @@ def test_last_market_cap_of_a_symbol_counts(spark):
         [("A1", 5, 1), ("A1", 3, 2), ("A2", 9, 1)], "symbol string, cap long, at int")
     wanted = symbols.symbols_from_list(spark, ["A1", "A1"])
     assert [tuple(r) for r in symbols.market_caps(wanted, snapshot, "at").collect()] == [("A1", 3)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_raw_bars_are_read_for_symbols_and_range(spark, tmp_path, fmt):
+    rows = [("A1", 20240101 + i, 1, 2, 1, 2, 10) for i in range(5)] + [("A2", 20240103, 1, 2, 1, 2, 10)]
+    path = str(tmp_path / fmt)
+    spark.createDataFrame(rows, schema.RAW_BARS).write.format(fmt).save(path)
+    read = bar_source.read_raw_bars(
+        spark, path, symbols.symbols_from_list(spark, ["A1"]),
+        dt.date(2024, 1, 2), dt.date(2024, 1, 4), fmt=fmt)
+    assert sorted(r.date for r in read.collect()) == [20240102, 20240103, 20240104]
+    assert read.schema == schema.RAW_BARS
