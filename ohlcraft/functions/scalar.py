@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
+# fixed values: the prefix of symbols, and the market prefix of sector names
 SYMBOL_PREFIX = "A"
-# fixed value: the market prefix in front of KOSDAQ sector names
 SECTOR_PREFIX = "코스닥 "
 
 

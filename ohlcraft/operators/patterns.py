@@ -10,6 +10,7 @@ everywhere.
 
 from dataclasses import dataclass
 
+# fixed values: the shares that decide between patterns; more stand in the conditions below
 LONG_MOVE = 0.03
 GAP_MOVE = 0.02
 SMALL_BODY = 0.3
@@ -220,6 +221,7 @@ class Pattern:
     condition: str
 
 
+# fixed values: the id of each pattern; 5, 6, 24, 25 and 28 to 31 are unassigned
 _ALL = (
     Pattern(1, "hammer", _pin_bar(-1)),
     Pattern(2, "hanging_man", _pin_bar(1)),
