@@ -1,16 +1,22 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import sharding
+from ohlcraft.llm import packing, sharding
 from ohlcraft.llm.common import table
 
+SEQUENCE_TOKENS = 1024
 SHARDS = 24
 
 
+def op1_harmonic_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), SEQUENCE_TOKENS)
+
+
 def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
 
 QUERIES = {
+    "op1_harmonic_packing": op1_harmonic_packing,
     "op10_jump_sharding": op10_jump_sharding,
 }
 
