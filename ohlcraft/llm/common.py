@@ -32,27 +32,30 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(rows: DataFrame, group: str, order: list[str], number: str) -> DataFrame:
+def numbered(
+    rows: DataFrame, groups: list[str], order: list[str], number: str, few: bool = False,
+) -> DataFrame:
     """Rows with their place in their group, from 0 and without gaps, in the given order.
 
-    No group is gathered in one task: the rows are dealt by ranges of (group, order, input
+    No group is gathered in one task: the rows are dealt by ranges of (groups, order, input
     position), so that even equal keys part; each partition numbers its stretch of a group, and
-    the stretches before it are added. ``group`` must be a column without nulls.
+    the stretches before it are added. The ``groups`` columns must hold no nulls. ``few``: the
+    number of groups is bounded, and so are the stretches: partitions + groups at most.
     """
     part, place, tie = f"{number}_part", f"{number}_place", f"{number}_tie"
+    keys = [*groups, *order, tie]
     dealt = rows.withColumn(tie, F.monotonically_increasing_id())
-    dealt = dealt.repartitionByRange(group, *order, tie).sortWithinPartitions(group, *order, tie)
+    dealt = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys)
     dealt = stage(
         dealt.drop(tie).withColumns({
             part: F.spark_partition_id(), place: F.monotonically_increasing_id()}), "numbered")
-    stretches = dealt.groupBy(part, group).agg(
+    stretches = dealt.groupBy(part, *groups).agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(group).orderBy(part).rowsBetween(
+    before = Window.partitionBy(*groups).orderBy(part).rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = stretches.select(
-        part, group, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
-    # a partition's rows are sorted by group: at most partitions + groups stretches in all
+    starts = stretches.select(part, *groups, (
+        F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias(f"{number}_shift"))
     return (
-        dealt.join(F.broadcast(starts), [part, group])
-        .withColumn(number, (F.col(place) + F.col("shift")).cast("long"))
-        .drop(part, place, "shift"))
+        dealt.join(F.broadcast(starts) if few else starts, [part, *groups])
+        .withColumn(number, (F.col(place) + F.col(f"{number}_shift")).cast("long"))
+        .drop(part, place, f"{number}_shift"))

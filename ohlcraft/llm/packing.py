@@ -99,7 +99,7 @@ def harmonic_pack(pieces: DataFrame, capacity: int, order: list[str]) -> DataFra
     """
     places = numbered(
         pieces.withColumn("_class", F.floor(F.lit(capacity) / F.col("length")).cast("long")),
-        "_class", order, "_place")
+        ["_class"], order, "_place", few=True)
     classes = places.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
     full = F.floor(F.col("_n") / F.col("_class")).cast("long")
     before = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)

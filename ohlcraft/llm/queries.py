@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import packing, sharding
-from ohlcraft.llm.common import table
+from ohlcraft.llm import mixing, packing, sharding, warc
+from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
 SHARDS = 24
@@ -11,16 +11,38 @@ def op1_harmonic_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), SEQUENCE_TOKENS)
 
 
+def op2_subset_sum_mixing(spark, sf_dir):
+    return mixing.mix_counts(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op6_indexed_warc(spark, sf_dir):
+    index = warc.write_archives(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
+    return warc.resolved(stage(warc.read_records(index, payloads=False), "warc-records"))
+
+
 def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
 
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_subset_sum_mixing": op2_subset_sum_mixing,
+    "op6_indexed_warc": op6_indexed_warc,
     "op10_jump_sharding": op10_jump_sharding,
 }
 
 SQL = {
+    # base32 from the hexadecimal digits, four characters from five of them
+    "op6_indexed_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, (i // 4 * 5 + 1)::INTEGER, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d""",
     # crc32 by its bits: DuckDB has no such function
     "op10_jump_sharding": f"""
 WITH RECURSIVE t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),

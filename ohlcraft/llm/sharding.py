@@ -71,5 +71,5 @@ def jump_sharding(
         "doc_id", (F.octet_length("_text").cast("long") + 8).alias("size"),
         F.crc32(F.encode("_text", "UTF-8")).alias("text_crc32"), F.lit("key").alias("law"),
         shard.alias("shard"), grown.alias("grown_shard"))
-    rows = numbered(rows, "shard", ["doc_id"], "slot")
+    rows = numbered(rows, ["shard"], ["doc_id"], "slot", few=True)
     return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
