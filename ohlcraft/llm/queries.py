@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import mixing, packing, sharding, warc
+from ohlcraft.llm import mixing, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -20,6 +20,10 @@ def op6_indexed_warc(spark, sf_dir):
     return warc.resolved(stage(warc.read_records(index, payloads=False), "warc-records"))
 
 
+def op8_quality_divergence(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -28,6 +32,7 @@ QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
     "op6_indexed_warc": op6_indexed_warc,
+    "op8_quality_divergence": op8_quality_divergence,
     "op10_jump_sharding": op10_jump_sharding,
 }
 
