@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import mixing, packing, quality, sharding, warc
+from ohlcraft.llm import dedup, mixing, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -15,6 +15,10 @@ def op2_subset_sum_mixing(spark, sf_dir):
     return mixing.mix_counts(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op4_bayes_near_duplicates(spark, sf_dir):
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op6_indexed_warc(spark, sf_dir):
     index = warc.write_archives(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
     return warc.resolved(stage(warc.read_records(index, payloads=False), "warc-records"))
@@ -31,6 +35,7 @@ def op10_jump_sharding(spark, sf_dir):
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
+    "op4_bayes_near_duplicates": op4_bayes_near_duplicates,
     "op6_indexed_warc": op6_indexed_warc,
     "op8_quality_divergence": op8_quality_divergence,
     "op10_jump_sharding": op10_jump_sharding,
