@@ -19,6 +19,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def new_name(rows: DataFrame) -> str:
+    """A column name that the rows don't have."""
+    return next(name for n in range(len(rows.columns) + 1) if (name := f"_own_{n}") not in rows.columns)
+
+
 def stage(rows: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read from there: later steps do not
     recompute them, whichever executor is lost."""

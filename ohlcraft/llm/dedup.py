@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ohlcraft.llm.common import stage
+from ohlcraft.llm.common import new_name, stage
 from ohlcraft.llm.components import components
 
 BANDS, BAND_ROWS = 32, 5
@@ -305,3 +305,20 @@ def near_duplicates(
     return result.select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def kept_documents(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One document of each group, all columns as they are; of rows with one id, one.
+
+    Rows with a null id stay. The ids to drop are joined, not the ids to keep: most stay.
+    """
+    verdicts = stage(near_duplicates(docs, width, percent, id_col, text_col), "verdicts")
+    name = new_name(docs)
+    dropped = verdicts.where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    repeated = verdicts.where("doc_id IS NOT NULL AND kept").groupBy(F.col("doc_id").alias(name)).agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
+    on = F.col(id_col) == F.col(name)
+    single = docs.join(dropped.union(repeated), on, "left_anti")
+    return single.union(docs.join(repeated, on, "left_semi").dropDuplicates([id_col]))

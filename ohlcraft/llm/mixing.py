@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ohlcraft.llm.common import n_words, numbered, stage
+from ohlcraft.llm.common import n_words, new_name, numbered, stage
 
 SEED = 20_011
 #: Words left to the dynamic programme, in longest documents of the source.
@@ -110,16 +110,19 @@ def unit_hash(*columns: Column) -> Column:
 def mix_counts(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
     seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, copies, taken (size * copies).
+    """A row per document: doc_id, size, source_size, target, copies, taken (size * copies), and
+    ``row_col`` of ``docs`` as row, if given.
 
     Null text: no words, never taken. Null source: a source of its own, the last one. Rows with
     equal ids stand side by side in the seeded order and are taken one by one. Empty table: no
     rows. Other columns are not read. A source's table of lengths, not its documents,
     is what one task fits; the documents are numbered over many tasks.
     """
+    row = [F.col(row_col).alias("row")] if row_col else []
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+        *row, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
     rows = stage(rows.withColumns({
         "key": F.coalesce(F.concat(F.lit("source "), F.col("source").cast("string")), F.lit("none")),
         "draw": unit_hash(F.lit(seed), F.col("doc_id"))}), "sizes")
@@ -128,8 +131,23 @@ def mix_counts(
     lengths = rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n"))
     fitted = lengths.join(targets.drop("source"), "key").groupBy("key").applyInPandas(
         _fit_source(cap), "key string, size long, source_size long, target double, whole long, more long")
-    ranked = numbered(rows.select("doc_id", "key", "size", "draw"), ["key", "size"], ["draw", "doc_id"], "rank")
+    ranked = numbered(rows.drop("source"), ["key", "size"], ["draw", "doc_id"], "rank")
     copies = F.col("whole") + (F.col("rank") < F.col("more")).cast("long")
     return ranked.join(fitted, ["key", "size"]).select(
         "doc_id", "size", "source_size", "target", copies.alias("copies"),
-        (F.col("size") * copies).alias("taken"))
+        (F.col("size") * copies).alias("taken"), *(["row"] if row_col else []))
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
+    seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns as they are, as often as it is taken."""
+    name = new_name(docs)
+    numbered_docs = stage(docs.withColumn(name, F.monotonically_increasing_id()), "to-mix")
+    taken = mix_counts(numbered_docs, weights, share, cap, seed, id_col, text_col, source_col, name)
+    times = new_name(numbered_docs)
+    taken = taken.where("copies > 0").select(F.col("row").alias(name), F.col("copies").cast("int").alias(times))
+    rows = numbered_docs.join(taken, name)
+    again = rows.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
+    return again.select(docs.columns)
