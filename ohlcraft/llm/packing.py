@@ -51,11 +51,10 @@ def token_pieces(
         encoder, end = tokens.encoder(path), np.array([END_ID], dtype="<u4").tobytes()
         rests = [cuts(rest, capacity) for rest in range(capacity)]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in tokens.slices(texts):
+            for a, b in tokens.slices(batch.column(1)):
                 rows, starts, lengths, sums, totals = [], [], [], [], []
-                for row, raw in enumerate(encoder.encode([t or "" for t in texts[a:b]]), a):
-                    raw = memoryview(raw + end)
+                for row, ids in enumerate(encoder.encode(batch.column(1).slice(a, b - a)), a):
+                    raw = memoryview(ids.tobytes() + end)
                     total, at = len(raw) // 4, 0
                     for length in [capacity] * (total // capacity) + rests[total % capacity]:
                         rows.append(row)

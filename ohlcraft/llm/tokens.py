@@ -6,19 +6,21 @@ keeps the ids of the units it met and encodes only new ones, many in one call. T
 neighbouring white space, where a unit depends on another, are encoded directly.
 """
 
-import re
-
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Units a worker keeps; beyond that it forgets all and starts anew. It changes no ids.
-KEPT_UNITS = 400_000
+KEPT_UNITS = 1_000_000
 #: Units encoded in one call.
 UNITS_A_CALL = 20_000
 
-_NEIGHBOURS = re.compile(r"\A\s|\s\s")
+# every character that the pre-tokenizer or Python takes for white space
+_SPACE = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_NEIGHBOURS = f"^{_SPACE}|{_SPACE}{_SPACE}"
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -45,6 +47,7 @@ class Encoder:
         self.n_bytes = np.array([len(name) for name in names], dtype=np.int64)
         self._opens = np.array([name[:1] in (space, newline) for name in names])
         self._units: dict[str, bytes] = {}
+        self._marks = {mark: self._direct(mark) for mark in ".,"}
 
     def _direct(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -52,14 +55,17 @@ class Encoder:
 
     def _learn(self, units: set[str]) -> None:
         """A unit with a line break starts with it; others stand for a space and the word."""
-        if len(self._units) > KEPT_UNITS:
-            self._units = {}
-        plain = []
+        known, plain, marked = self._units, set(), []
         for unit in units:
-            if not unit or unit[-1].isspace():  # joined to another, its white space could run on
-                self._units[unit] = self._direct(unit if unit[:1] == "\n" else f" {unit}")
+            if unit[-1:] in self._marks and unit[-2:-1].isalpha():
+                marked.append(unit)  # the mark is parted from the word before it
+                if unit[:-1] not in known:
+                    plain.add(unit[:-1])
+            elif not unit or unit[-1].isspace():  # joined to another, its white space could run on
+                known[unit] = self._direct(unit if unit[:1] == "\n" else f" {unit}")
             else:
-                plain.append(unit)
+                plain.add(unit)
+        plain = list(plain)
         for first in range(0, len(plain), UNITS_A_CALL):
             some = plain[first:first + UNITS_A_CALL]
             joined = "".join([unit if unit[0] == "\n" else f" {unit}" for unit in some])
@@ -68,41 +74,51 @@ class Encoder:
             starts = np.flatnonzero(self._opens[ids])
             if len(starts) != len(some):
                 raise ValueError("not a byte-level tokenizer that parts words at white space")
-            raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-            for unit, a, b in zip(some, (4 * starts).tolist(), ends):
-                self._units[unit] = raw[a:b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each whole text as little-endian unsigned 32-bit numbers."""
-        parts: list[list[str] | None] = []
-        for text in texts:
-            if _NEIGHBOURS.search(text):
-                parts.append(None)
-            else:
-                parts.append(f"\n{text}".replace("\n", " \n")[1:].split(" "))
-        met = set().union(*[p for p in parts if p])
-        new = met.difference(self._units)
-        if new:
-            known = self._units
-            self._learn(new)
-            if self._units is not known:  # it started anew
-                self._learn(met.difference(self._units))
-        look = self._units.__getitem__
-        # the first unit carries a line break of ours: four bytes
-        return [
-            self._direct(text) if p is None else b"".join(map(look, p))[4:]
-            for text, p in zip(texts, parts)]
-
-
-def slices(texts: list[str | None], chars: int = 4_000_000) -> list[tuple[int, int]]:
-    """Bounds of runs of texts of about so many characters in all, a longer text by itself."""
+            raw, starts = ids.tobytes(), (4 * starts).tolist()
+            known.update(zip(some, [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]))
+        for unit in marked:
+            known[unit] = known[unit[:-1]] + self._marks[unit[-1]]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each whole text; a null text has none."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, _NEIGHBOURS)
+        # a break of ours opens each text; then every unit but those with a break follows a blank
+        opened = pc.binary_join_element_wise(
+            "\n", pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n"), "")
+        lists = pc.split_pattern(opened, " ")
+        units = lists.flatten().dictionary_encode()
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        names, at = units.dictionary.to_pylist(), units.indices.to_numpy()
+        if len(self._units) > KEPT_UNITS:
+            self._units = {}
+        ids = list(map(self._units.get, names))
+        if None in ids:
+            self._learn({name for name, known in zip(names, ids) if known is None})
+            ids = list(map(self._units.__getitem__, names))
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        whence = np.repeat(starts[at] - ends[:-1], lengths)
+        whence += np.arange(len(whence))
+        flat = pool[whence]
+        first, last = ends[bounds[:-1]] + 1, ends[bounds[1:]]  # without the break of ours
+        found = [flat[a:b] for a, b in zip(first.tolist(), last.tolist())]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            found[i] = np.frombuffer(self._direct(texts[i].as_py()), "<u4")
+        return found
+
+
+def slices(texts: pa.Array, size: int = 16_000_000) -> list[tuple[int, int]]:
+    """Bounds of runs of texts of about so many bytes in all, a longer text by itself."""
     bounds, first, held = [], 0, 0
-    for i, text in enumerate(texts):
-        size = len(text) if text else 0
-        if i > first and held + size > chars:
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and held + n > size:
             bounds.append((first, i))
             first, held = i, 0
-        held += size
+        held += n
     if first < len(texts):
         bounds.append((first, len(texts)))
     return bounds
