@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import dedup, mixing, packing, quality, sharding, warc
+from ohlcraft.llm import dedup, html, mixing, neighbours, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -15,6 +15,10 @@ def op2_subset_sum_mixing(spark, sf_dir):
     return mixing.mix_counts(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op3_wrapper_induction(spark, sf_dir):
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op4_bayes_near_duplicates(spark, sf_dir):
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -24,6 +28,10 @@ def op6_indexed_warc(spark, sf_dir):
     return warc.resolved(stage(warc.read_records(index, payloads=False), "warc-records"))
 
 
+def op7_nn_descent(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality_divergence(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -35,8 +43,10 @@ def op10_jump_sharding(spark, sf_dir):
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
+    "op3_wrapper_induction": op3_wrapper_induction,
     "op4_bayes_near_duplicates": op4_bayes_near_duplicates,
     "op6_indexed_warc": op6_indexed_warc,
+    "op7_nn_descent": op7_nn_descent,
     "op8_quality_divergence": op8_quality_divergence,
     "op10_jump_sharding": op10_jump_sharding,
 }
