@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import dedup, html, mixing, neighbours, packing, quality, sharding, warc
+from ohlcraft.llm import attribution, dedup, html, mixing, neighbours, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -36,6 +36,10 @@ def op8_quality_divergence(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op9_offset_attribution(spark, sf_dir):
+    return attribution.section_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op6_indexed_warc": op6_indexed_warc,
     "op7_nn_descent": op7_nn_descent,
     "op8_quality_divergence": op8_quality_divergence,
+    "op9_offset_attribution": op9_offset_attribution,
     "op10_jump_sharding": op10_jump_sharding,
 }
 
