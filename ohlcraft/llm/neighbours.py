@@ -25,9 +25,11 @@ from ohlcraft.llm.common import stage
 
 @dataclass(frozen=True)
 class Settings:
-    neighbours: int = 24
+    neighbours: int = 40
+    #: Of those that a node is a neighbour of, so many take part in a round.
+    back: int = 20
     #: Sorted passes that make the first graph, members of a block, and bits of a sort key.
-    passes: int = 6
+    passes: int = 5
     block: int = 128
     bits: int = 16
     rounds: int = 8
@@ -145,7 +147,7 @@ def _candidates(edges: DataFrame, codes: DataFrame, turn: int, settings: Setting
     kind = _scored(codes.schema["node"].dataType)
     draw = F.xxhash64("node", "near", F.lit(turn))
     ahead = edges.select(F.col("node").alias("at"), F.col("near").alias("member"), "fresh")
-    back = _top(edges, settings.neighbours, "near", F.desc("fresh"), draw).select(
+    back = _top(edges, settings.back, "near", F.desc("fresh"), draw).select(
         F.col("near").alias("at"), F.col("node").alias("member"), "fresh")
     members = ahead.union(back).groupBy("at", "member").agg(F.max("fresh").alias("fresh"))
     worst = edges.groupBy(F.col("node").alias("member")).agg(
@@ -218,19 +220,18 @@ def graph_search(
         rows = pairs.join(codes.select("node", "code"), "node").join(queries, "query")
         return rows.select("query", "node", "code", "query_code").mapInArrow(score, kind)
 
-    seen = stage(scored(starts.distinct()).withColumn("step", F.lit(0)), "beam")
+    beam = stage(scored(starts.distinct()).withColumn("step", F.lit(0)), "beam")
     step = 0
     while True:
-        # what the beam lost by then can't return; what it holds and wasn't expanded is next
-        beam = _top(seen, settings.beam, "query", F.desc("score"), F.col("node"))
+        # what a beam lost scores below all it holds, so that it can't return
         ahead = beam.where(F.col("step") == step).select("query", "node")
         reached = ahead.join(links, "node").select("query", F.explode("near").alias("node")).distinct()
-        new = reached.join(seen.select("query", "node"), ["query", "node"], "left_anti")
+        new = reached.join(beam.select("query", "node"), ["query", "node"], "left_anti")
         step += 1
-        found = stage(scored(new).withColumn("step", F.lit(step)), "beam")
-        if found.isEmpty():
+        found = scored(new).withColumn("step", F.lit(step))
+        beam = stage(_top(beam.union(found), settings.beam, "query", F.desc("score"), F.col("node")), "beam")
+        if beam.where(F.col("step") == step).isEmpty():
             return beam.select("query", "node", "score")
-        seen = seen.union(found)
 
 
 def nearest(

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import attribution, dedup, html, mixing, neighbours, packing, quality, sharding, warc
+from ohlcraft.llm import attribution, dedup, html, licences, mixing, neighbours, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -23,6 +23,10 @@ def op4_bayes_near_duplicates(spark, sf_dir):
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op5_licence_classifier(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_indexed_warc(spark, sf_dir):
     index = warc.write_archives(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
     return warc.resolved(stage(warc.read_records(index, payloads=False), "warc-records"))
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
     "op3_wrapper_induction": op3_wrapper_induction,
     "op4_bayes_near_duplicates": op4_bayes_near_duplicates,
+    "op5_licence_classifier": op5_licence_classifier,
     "op6_indexed_warc": op6_indexed_warc,
     "op7_nn_descent": op7_nn_descent,
     "op8_quality_divergence": op8_quality_divergence,
