@@ -167,7 +167,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
     order = F.xxhash64(F.lit(settings.seed), F.col(id_col))
     ids = [r[0] for r in docs.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(order, id_col).limit(
         settings.background).collect()]
-    sample = _with_terms(paragraphs(docs.where(F.col(id_col).isin(ids)), id_col, text_col))
+    sample = stage(_with_terms(paragraphs(docs.where(F.col(id_col).isin(ids)), id_col, text_col)), "sampled")
     # what is nearly a template is no sample of no licence
     near = F.greatest(*(similarity(F.lit(name), F.col("pairs")) for name in TEMPLATES))
     held_out = F.pmod(F.xxhash64(F.lit(settings.seed), "paragraph"), F.lit(4)) == 0
