@@ -34,21 +34,19 @@ def _register(name: str, run, sql: str | None = None) -> None:
 
 
 START, END = dt.date(1990, 9, 1), dt.date(1991, 6, 30)
-# No derived stock exceeds derived.BARS_PER_STOCK bars, so there is no long one to look for.
-BOUNDED = None
 
 
 def _detect(**options):
     def run(spark, sf_dir):
         return detect.detect_patterns(
-            derived.bars(spark, sf_dir), **{"part_rows": BOUNDED, **options})
+            derived.bars(spark, sf_dir), **options)
     return run
 
 
 _register("bars", derived.bars, ps.BARS)
 _register(
     "trend_flags",
-    lambda spark, sf_dir: detect.trend_flags(derived.bars(spark, sf_dir), part_rows=BOUNDED),
+    lambda spark, sf_dir: detect.trend_flags(derived.bars(spark, sf_dir)),
     f"""{ps.WITH_BARS}, {ps.facts()}
 SELECT chart_id, u AS up, d AS down, coalesce(l > h1, false) AS rising,
        coalesce(h < l1, false) AS falling, dj AS doji, cnt20 AS dojis FROM f""")
@@ -63,7 +61,12 @@ _register(
 _register(
     "patterns_slice", _detect(start=START, end=END, emit="slice"),
     ps.sliced(str(START), str(END), False))
-_register("patterns_in_parts", _detect(part_rows=200), ps.all_patterns())
+# the bars in another order and on other partitions
+_register(
+    "patterns_in_parts",
+    lambda spark, sf_dir: detect.detect_patterns(
+        derived.bars(spark, sf_dir).repartition(7, "chart_close").sortWithinPartitions("chart_high")),
+    ps.all_patterns())
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -72,7 +75,7 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def _indicator(name: str):
     def run(spark, sf_dir):
-        wide = indicators(derived.bars(spark, sf_dir), [name], part_rows=BOUNDED)
+        wide = indicators(derived.bars(spark, sf_dir), [name])
         return _rounded(wide, *(c for c in wide.columns if c != "chart_id"))
     return run
 
@@ -91,7 +94,7 @@ def _names(keys) -> list[str]:
 
 
 def _long(spark, sf_dir, keys=_MIXED):
-    wide = indicators(derived.bars(spark, sf_dir), _names(keys), part_rows=BOUNDED)
+    wide = indicators(derived.bars(spark, sf_dir), _names(keys))
     return _rounded(reshape.indicators_long(wide), "daily_indicator_value")
 
 
@@ -100,7 +103,7 @@ _register("indicators_long", _long, ts.long_of(_MIXED))
 
 def _line_summary(spark, sf_dir):
     """Count and extremes of every line, all families computed in one pass."""
-    wide = indicators(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+    wide = indicators(derived.bars(spark, sf_dir))
     return (
         _rounded(reshape.indicators_long(wide), "daily_indicator_value")
         .groupBy("indicator_line_name")
@@ -117,8 +120,7 @@ FROM ({ts.long_of([family.key for family in FAMILIES.values()])}) GROUP BY 1""")
 _register(
     "indicators_range_anchor",
     lambda spark, sf_dir: _rounded(
-        indicators(derived.bars(spark, sf_dir), ["MACD"], START, END, anchor="range",
-                   part_rows=BOUNDED),
+        indicators(derived.bars(spark, sf_dir), ["MACD"], START, END, anchor="range"),
         "MACD", "MACD_Signal", "MACD_Oscillator"),
     ts.macd_from_range_start(str(START), str(END)))
 
@@ -127,14 +129,14 @@ _register(
 _register(
     "change_pct",
     lambda spark, sf_dir: _rounded(
-        change.change_percentage(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+        change.change_percentage(derived.bars(spark, sf_dir))
         .select("chart_id", "chart_change_percentage"), "chart_change_percentage"),
     f"""{ps.WITH_BARS} SELECT chart_id, round(pct, 6) AS chart_change_percentage
 FROM ({ts.CHANGE})""")
 _register(
     "change_pct_range",
     lambda spark, sf_dir: _rounded(
-        change.change_percentage(derived.bars(spark, sf_dir), START, END, part_rows=BOUNDED)
+        change.change_percentage(derived.bars(spark, sf_dir), START, END)
         .select("chart_id", "chart_change_percentage"), "chart_change_percentage"),
     f"""{ps.WITH_BARS} SELECT chart_id,
   CASE WHEN chart_date BETWEEN DATE '{START}' AND DATE '{END}' THEN round(pct, 6) END
@@ -319,7 +321,7 @@ SELECT total, inserted, total - inserted AS skipped FROM n""")
 
 
 def _hits(spark, sf_dir):
-    return detect.detect_patterns(derived.bars(spark, sf_dir), part_rows=BOUNDED)
+    return detect.detect_patterns(derived.bars(spark, sf_dir))
 
 
 _register(
@@ -393,3 +395,19 @@ _register(
     f"""{ps.WITH_BARS} SELECT 'stock ' || stock_id AS latest_date_name,
   CASE WHEN stock_id = 1 THEN DATE '{END}' ELSE max(chart_date) END AS latest_date
 FROM bars GROUP BY stock_id""")
+
+
+# -- the lines of the whole market on a range, from what the daily run reads ---------------
+
+def _breadth_in_range(spark, sf_dir):
+    bars = derived.bars(spark, sf_dir)
+    wide = indicators(
+        history.warmup_bars(bars, START, END), _names(("ad_line", "mcclellan")), START, END,
+        breadth_bars=history.market_bars(bars, START, END))
+    return _rounded(reshape.indicators_long(wide), "daily_indicator_value")
+
+
+_register(
+    "breadth_in_range", _breadth_in_range,
+    f"""SELECT x.* FROM ({ts.long_of(["ad_line", "mcclellan"])}) x
+JOIN ({ps.BARS}) b USING (chart_id) WHERE b.chart_date BETWEEN DATE '{START}' AND DATE '{END}'""")

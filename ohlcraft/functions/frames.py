@@ -1,14 +1,14 @@
 """Row frames over one stock's bars in date order.
 
-Frames count rows, never calendar days, because halted stocks skip dates. ``part``
-is the slice of a long history a row belongs to (see ``operators.history``).
+Frames count rows, never calendar days, because halted stocks skip dates. A stock has
+one bar a day at most, the key of the charts, which bounds what one frame can span.
 Every function here uses the same partitioning and order, so a chain of them costs
 one shuffle and one sort.
 """
 
 from pyspark.sql import Column, Window, functions as F
 
-HISTORY = ("stock_id", "part")
+HISTORY = ("stock_id",)
 
 
 def in_order():

@@ -89,5 +89,5 @@ def with_windows(lagged: DataFrame) -> DataFrame:
 
 
 def measured(bars: DataFrame) -> DataFrame:
-    """All quantities, for bars with ``part`` (see ``history.split_histories``)."""
+    """All quantities of each bar."""
     return with_windows(with_lags(with_trends(with_shapes(bars))))

@@ -3,12 +3,9 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ohlcraft.functions import frames
-from ohlcraft.operators import history
 
 
-def change_percentage(
-    bars: DataFrame, start=None, end=None, part_rows: int | None = history.PART_ROWS,
-) -> DataFrame:
+def change_percentage(bars: DataFrame, start=None, end=None) -> DataFrame:
     """Sets ``chart_change_percentage`` of every bar in the range that has a previous bar.
 
     The previous close comes from the whole history given. Bars outside the range, first
@@ -25,9 +22,7 @@ def change_percentage(
     previous = F.col("_previous").cast("double")
     change = F.try_divide(F.col("chart_close").cast("double") - previous, previous) * 100
     return (
-        history.split_histories(bars, part_rows)
-        .withColumn("_previous", frames.back("chart_close", 1))
-        .where(~F.col("carried"))
+        bars.withColumn("_previous", frames.back("chart_close", 1))
         .withColumn(
             "chart_change_percentage",
             F.when(in_range & F.col("_previous").isNotNull() & (F.col("_previous") != 0), change)

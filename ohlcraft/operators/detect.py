@@ -11,7 +11,6 @@ from ohlcraft.operators.patterns import PATTERNS, STRICT_PRIOR
 def detect_patterns(
     bars: DataFrame, start=None, end=None, *, only: Iterable[int] | None = None,
     emit: str = "range", strict_prior: bool = False, keep: tuple[str, ...] = (),
-    part_rows: int | None = history.PART_ROWS,
 ) -> DataFrame:
     """Hits as ``(chart_id, pattern_id)`` and the bars' columns named in ``keep``.
 
@@ -36,22 +35,20 @@ def detect_patterns(
         "chart_high", "chart_low", "chart_close")
     if end is not None:
         bars = bars.where(F.col("chart_date") <= end)
-    parts = history.split_histories(bars, part_rows)
-    emitted = ~F.col("carried")
+    emitted = F.lit(True)
     if start is not None:
-        parts = history.range_slice(history.numbered(parts), start)
+        bars = history.range_slice(history.numbered(bars), start)
         if emit == "range":
-            emitted = emitted & (F.col("chart_date") >= start)
+            emitted = F.col("chart_date") >= start
     hits = [F.expr(f"CASE WHEN {p.condition} THEN {p.pattern_id} END") for p in chosen.values()]
     return (
-        candles.measured(parts)
+        candles.measured(bars)
         .where(emitted)
         .select(*ids, F.explode(F.array_compact(F.array(*hits))).alias("pattern_id")))
 
 
-def trend_flags(bars: DataFrame, part_rows: int | None = history.PART_ROWS) -> DataFrame:
+def trend_flags(bars: DataFrame) -> DataFrame:
     """Trend, gap and doji flags of each bar, with the doji count of its last 20 rows."""
     return (
-        candles.measured(history.split_histories(bars, part_rows))
-        .where(~F.col("carried"))
+        candles.measured(bars)
         .select("chart_id", "up", "down", "rising", "falling", "doji", "dojis"))

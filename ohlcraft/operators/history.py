@@ -1,4 +1,4 @@
-"""How much history a computation sees, and how it is spread over tasks."""
+"""How much history a computation sees."""
 
 import datetime as dt
 
@@ -7,82 +7,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ohlcraft.functions import frames
 
 WARMUP = 60
-# No look-back exceeds WARMUP rows, so a longer history can be computed in parts.
-PART_ROWS = 250_000
-# A stock is cut only if it also holds more than this share of all bars, so at most
-# MAX_LONG stocks are ever cut and their list is safe to broadcast.
-MAX_LONG = 10_000
-MAX_BARS_PER_MONTH = 31
-
-
-def split_histories(
-    bars: DataFrame, part_rows: int | None = PART_ROWS, warmup: int = WARMUP,
-    overlap: int | None = None, max_long: int = MAX_LONG,
-) -> DataFrame:
-    """Cut long stock histories into parts that overlap by at least ``overlap`` rows, which is
-    ``warmup`` unless given.
-
-    Adds ``part``, ``rows_before`` (bars of the stock ahead of the part), ``carried`` (true
-    for the overlap, which feeds frames and is not to be emitted) and ``seasoned_on`` (date
-    of bar number ``warmup`` of a cut stock). Ordinary stocks are one part and go through
-    without a shuffle. ``part_rows=None`` skips the look for long stocks where the bound on
-    bars per stock is known.
-    """
-    whole = bars.select(
-        "*", F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("rows_before"),
-        F.lit(False).alias("carried"), F.lit(None).cast("date").alias("seasoned_on"))
-    if part_rows is None:
-        return whole
-    overlap = overlap or warmup
-    if part_rows < overlap + 2 * MAX_BARS_PER_MONTH:
-        raise ValueError(f"part_rows must be at least {overlap + 2 * MAX_BARS_PER_MONTH}")
-
-    counts = bars.groupBy("stock_id").agg(F.count("*").alias("n"))
-    share = counts.agg(F.sum("n") / max_long).scalar()
-    long_stocks = F.broadcast(
-        counts.where((F.col("n") > part_rows) & (F.col("n") > share)).select("stock_id"))
-
-    month = F.trunc("chart_date", "month")
-    long_bars = bars.join(long_stocks, "stock_id", "left_semi").withColumn("_month", month)
-    # At most one row per calendar month of a stock, so these windows stay small.
-    by_month = Window.partitionBy("stock_id").orderBy("_month")
-    by_part = Window.partitionBy("stock_id").orderBy("_own").rangeBetween(1, 1)
-    months = (
-        long_bars.groupBy("stock_id", "_month").agg(F.count("*").alias("_n"))
-        .withColumn("_until", F.sum("_n").over(by_month))
-        .withColumn("_before", F.col("_until") - F.col("_n"))
-        .withColumn("_own", F.floor(F.col("_before") / part_rows))
-        .withColumn("_next_start", F.min("_before").over(by_part))
-        .select(
-            "stock_id", "_month", "_before", "_own",
-            F.explode(F.array_compact(F.array(
-                F.col("_own"),
-                F.when(F.col("_next_start") - F.col("_until") < overlap, F.col("_own") + 1),
-            ))).alias("part"))
-        .select(
-            "stock_id", "_month", "part",
-            F.min("_before").over(Window.partitionBy("stock_id", "part")).alias("rows_before"),
-            (F.col("part") != F.col("_own")).alias("carried")))
-    by_date = Window.partitionBy("stock_id").orderBy("chart_date")
-    seasoned = (
-        long_bars.select("stock_id", "chart_date", F.row_number().over(by_date).alias("_no"))
-        .where(F.col("_no") <= warmup)
-        .groupBy("stock_id").agg(F.max("chart_date").alias("seasoned_on")))
-    cut = (
-        long_bars.join(months.join(seasoned, "stock_id"), ["stock_id", "_month"])
-        .drop("_month"))
-    return whole.join(long_stocks, "stock_id", "left_anti").unionByName(cut)
 
 
 def numbered(bars: DataFrame, warmup: int = WARMUP) -> DataFrame:
-    """Adds ``bar_no``, the position of the bar in its stock's history from 1, and fills
+    """Adds ``bar_no``, the position of the bar in its stock's history from 1, and
     ``seasoned_on``, the date of bar number ``warmup``."""
     warm = F.max(F.when(F.col("bar_no") == warmup, F.col("chart_date"))).over(
         Window.partitionBy(*frames.HISTORY))
     return (
-        bars.withColumn(
-            "bar_no", F.col("rows_before") + F.row_number().over(frames.in_order()))
-        .withColumn("seasoned_on", F.coalesce("seasoned_on", warm)))
+        bars.withColumn("bar_no", F.row_number().over(frames.in_order()))
+        .withColumn("seasoned_on", warm))
 
 
 def prior_bars(charts: DataFrame, before: Column | dt.date, n: int = WARMUP) -> DataFrame:
@@ -123,9 +57,51 @@ def warmup_bars(
 def range_slice(numbered_bars: DataFrame, start: dt.date, n: int = WARMUP) -> DataFrame:
     """In-range bars and the ``n`` rows ahead of the first of them, for the stocks that
     have ``n`` rows before ``start`` and a bar in the range."""
-    # A later part of a cut stock may lie wholly in the range; then nothing precedes it.
     first_no = F.min(F.when(F.col("chart_date") >= start, F.col("bar_no"))).over(
         Window.partitionBy(*frames.HISTORY))
     return (
         numbered_bars.withColumn("first_no", first_no)
         .where((F.col("seasoned_on") < start) & (F.col("bar_no") >= F.col("first_no") - n)))
+
+
+def in_reach(numbered_bars: DataFrame, start: dt.date, n: int = WARMUP) -> DataFrame:
+    """In-range bars and at most ``n`` rows ahead of the first of them."""
+    first_no = F.min(F.when(F.col("chart_date") >= start, F.col("bar_no"))).over(
+        Window.partitionBy(*frames.HISTORY))
+    return (
+        numbered_bars.withColumn("first_no", first_no)
+        .where(F.col("bar_no") >= F.col("first_no") - n))
+
+
+def market_bars(
+    charts: DataFrame, start: dt.date, end: dt.date, n: int = WARMUP, near_days: int = 200,
+    month_column: str | None = None,
+) -> DataFrame:
+    """What the net advances of the range and of ``n`` sessions before it depend on: all bars of
+    those dates, and each stock's bar before them, however old.
+
+    Only stocks without such a bar in the last ``near_days`` are looked up in older months.
+    """
+    near_start = start - dt.timedelta(days=near_days)
+    near = charts.where(F.col("chart_date").between(near_start, end))
+    old = charts.where(F.col("chart_date") < near_start)
+    if month_column is not None:
+        month = near_start.replace(day=1)
+        near, old = near.where(F.col(month_column) >= month), old.where(
+            F.col(month_column) <= month)
+
+    def session(rows: DataFrame) -> tuple[int, dt.date | None]:
+        """How many of the last n sessions before the range the rows hold, and the earliest."""
+        return rows.where(F.col("chart_date") < start).select("chart_date").distinct().orderBy(
+            F.desc("chart_date")).limit(n).agg(F.count("*"), F.min("chart_date")).first()
+
+    count, first = session(near)
+    if count < n:
+        count, first = session(charts)
+        near, old = charts.where(F.col("chart_date") <= end), charts.limit(0)
+    recent = near.where(F.col("chart_date") >= (first or start))
+    earlier = near.where(F.col("chart_date") < (first or start))
+    without = recent.select("stock_id").distinct().join(
+        earlier.select("stock_id").distinct(), "stock_id", "left_anti")
+    earlier = earlier.unionByName(old.join(without, "stock_id", "left_semi"))
+    return recent.unionByName(prior_bars(earlier, first or start, 1).drop("rank"))

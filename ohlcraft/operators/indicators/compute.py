@@ -15,8 +15,6 @@ from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES, Family,
 
 log = logging.getLogger(__name__)
 
-MAX_RANGE_DAYS = 366
-
 
 def chosen_families(names: Iterable[str] | None) -> list[Family]:
     """Families by name; an unknown name is logged and left out, a repeated one kept once."""
@@ -58,7 +56,7 @@ def _with_lines(
         lines = bars.where(F.col("_emit"))
     elif anchor == "bar":
         lines = slices.lines_by_bar(
-            bars.withColumn("_position", F.col("bar_no") - F.col("rows_before")),
+            bars.withColumn("_position", F.row_number().over(frames.in_order())),
             inputs, ids + list(frame_lines))
     else:
         lines = slices.lines_by_range(
@@ -70,8 +68,7 @@ def _with_lines(
 def indicators(
     bars: DataFrame, names: Iterable[str] | None = None,
     start: dt.date | None = None, end: dt.date | None = None, *,
-    anchor: str = "bar", keep: tuple[str, ...] = (),
-    part_rows: int | None = history.PART_ROWS,
+    anchor: str = "bar", keep: tuple[str, ...] = (), breadth_bars: DataFrame | None = None,
 ) -> DataFrame:
     """Wide frame: ``chart_id``, the bars' columns named in ``keep``, and one column per
     indicator line.
@@ -79,58 +76,57 @@ def indicators(
     A bar has a row if 60 bars of its stock precede it and it lies in the range.
     ``anchor="bar"`` computes a bar's recursive lines from the 61 bars that end with it.
     ``anchor="range"`` starts them once, 60 bars ahead of the stock's first bar in the
-    range, for the stocks that have these 60; the range is limited to a year, which bounds
-    the rows of a stock that are looked at together.
+    range, for the stocks that have these 60; without ``start`` at the stock's first bar.
+    ``breadth_bars`` are the bars whose net advances count for the families of the whole
+    market (see ``history.market_bars``); the given ones unless said.
     """
     if anchor not in ("bar", "range"):
         raise ValueError(f"anchor must be 'bar' or 'range', not {anchor!r}")
-    if anchor == "range" and (
-            start is None or end is None or (end - start).days > MAX_RANGE_DAYS):
-        raise ValueError(f"anchor='range' needs a range of at most {MAX_RANGE_DAYS} days")
     families = chosen_families(names)
     own = [f for f in families if not f.by_date]
     shared = [f for f in families if f.by_date]
 
     ids = ["chart_id", *keep]
+    market = (bars if breadth_bars is None else breadth_bars).select(
+        "stock_id", "chart_date", F.col("chart_close").alias("c"))
     bars = bars.select(
         *dict.fromkeys(("chart_id", "stock_id", "chart_date", *keep)), F.col("chart_open").alias("o"),
         F.col("chart_high").alias("h"), F.col("chart_low").alias("l"),
         F.col("chart_close").alias("c"), F.col("chart_volume").alias("v"))
     if end is not None:
-        bars = bars.where(F.col("chart_date") <= end)
-    overlap = WARMUP + (MAX_RANGE_DAYS if anchor == "range" else 0)
-    parts = history.numbered(history.split_histories(bars, part_rows, overlap=overlap))
-    emitted = ~F.col("carried") & (F.col("bar_no") > WARMUP)
+        bars, market = (x.where(F.col("chart_date") <= end) for x in (bars, market))
+    sliced = history.numbered(bars)
+    emitted = F.col("bar_no") > WARMUP
     if start is not None:
         emitted = emitted & (F.col("chart_date") >= start)
-    sliced = history.range_slice(parts, start) if anchor == "range" else parts
+        if anchor == "range":
+            sliced = history.range_slice(sliced, start)
+        else:  # no frame reaches further back
+            sliced = history.in_reach(sliced, start)
     wide = _with_lines(
         sliced.withColumn("_emit", emitted), own,
         list(dict.fromkeys([*ids, *(["chart_date"] if shared else [])])), anchor)
     if shared:
-        by_date = _breadth(parts, shared, start, anchor)
+        by_date = _breadth(market, shared, start, anchor)
         wide = wide.join(by_date, "chart_date", "left").select(
             *ids, *(F.col(frames.quoted(name)) for f in own + shared for name in LINE_NAMES[f.name]))
     return wide
 
 
-def net_advances(parts: DataFrame) -> DataFrame:
+def net_advances(bars: DataFrame) -> DataFrame:
     """Per date, the number of stocks that rose minus those that fell."""
     return (
-        parts.withColumn("_change", F.col("c") - frames.back("c", 1))
-        .where(~F.col("carried"))
+        bars.withColumn("_change", F.col("c") - frames.back("c", 1))
         .groupBy("chart_date")
         .agg(F.coalesce(F.sum(F.signum("_change")), F.lit(0.0)).alias("net")))
 
 
 def _breadth(
-    parts: DataFrame, families: list[Family], start: dt.date | None, anchor: str,
+    bars: DataFrame, families: list[Family], start: dt.date | None, anchor: str,
 ) -> DataFrame:
     # One row per calendar date: small however many stocks there are.
-    dates = history.numbered(
-        history.split_histories(
-            net_advances(parts).withColumn("stock_id", F.lit(0)), part_rows=None))
-    if anchor == "range":
+    dates = history.numbered(net_advances(bars).withColumn("stock_id", F.lit(0)))
+    if anchor == "range" and start is not None:
         dates = history.range_slice(dates, start)
     dates = dates.withColumn("_emit", F.col("bar_no") > WARMUP)
     return _with_lines(dates, families, ["chart_date"], anchor)

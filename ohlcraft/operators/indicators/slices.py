@@ -117,14 +117,23 @@ def lines_by_bar(
     return source.mapInArrow(run, schema)
 
 
+def _alike(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """The slices in groups whose longest is at most twice as long as the shortest."""
+    order = np.argsort(lengths, kind="stable")
+    while len(order):
+        n = np.searchsorted(lengths[order], 2 * lengths[order[0]], "right")
+        yield order[:n]
+        order = order[n:]
+
+
 def lines_by_range(
     bars: DataFrame, inputs: dict[str, list[str]], carry_on: list[str],
 ) -> DataFrame:
-    """Like :func:`lines_by_bar`, but each part is one slice from its first row on.
+    """Like :func:`lines_by_bar`, but each stock is one slice from its first row on.
 
-    ``bars`` holds what ``history.range_slice`` leaves of a range of bounded length, so a
-    batch holds many slices; they are computed side by side. Only the slice that a batch
-    may have cut is held over.
+    A batch holds many slices; those of similar length are computed side by side, so that
+    padding at most doubles them. Only the slice that a batch may have cut is held over, which
+    a stock's one bar a day bounds.
     """
     ordered = bars.sortWithinPartitions(*HISTORY, _DATE)
     source, calls, schema = _prepared(ordered, inputs, carry_on, _POSITION)
@@ -137,17 +146,27 @@ def lines_by_range(
         emit = np.flatnonzero(table[_EMIT].to_numpy() & (position > WARMUP))
         if not len(emit):
             return
-        steps = np.arange(position.max())[:, None]
-        rows = np.minimum(starts + steps, table.num_rows - 1)
-        outside = of[rows] != np.arange(len(starts))
-
-        def side_by_side(column: str) -> np.ndarray:
-            return np.where(outside, np.nan, _values(table, column)[rows])
-
-        at = (position[emit] - 1 - WARMUP, of[emit])
-        keep = len(steps) - WARMUP
-        lines = [line[at] for call, columns in calls
-                 for line in _call(call, [side_by_side(c) for c in columns], keep)]
+        lines = [np.full(len(emit), np.nan) for _ in names]
+        lengths = np.diff([*starts, table.num_rows])
+        for alike in _alike(lengths):
+            place = np.full(len(starts), -1)
+            place[alike] = np.arange(len(alike))
+            mine = np.flatnonzero(place[of[emit]] >= 0)
+            if not len(mine):
+                continue
+            steps = np.arange(lengths[alike].max())[:, None]
+            rows = np.minimum(starts[alike] + steps, table.num_rows - 1)
+            outside = steps >= lengths[alike]
+
+            def side_by_side(column: str) -> np.ndarray:
+                return np.where(outside, np.nan, _values(table, column)[rows])
+
+            at = (position[emit[mine]] - 1 - WARMUP, place[of[emit[mine]]])
+            keep = len(steps) - WARMUP
+            found = (line for call, columns in calls
+                     for line in _call(call, [side_by_side(c) for c in columns], keep))
+            for line, values in zip(lines, found):
+                line[mine] = values[at]
         yield from _with_lines(table, carry_on, emit, names, lines).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

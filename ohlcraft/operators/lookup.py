@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from ohlcraft.functions import scalar
 
-MAX_LISTED = 1000
+#: Names in an error's message; all are in its frame.
+SHOWN = 20
 
 
 class UnknownKeys(ValueError):
-    """Rows refer to names the dimension does not have."""
+    """Rows refer to names the dimension does not have; ``missing`` is a frame of all of them."""
 
-    def __init__(self, column: str, missing: list) -> None:
-        shown = missing[:MAX_LISTED]
-        more = " and more" if len(missing) > MAX_LISTED else ""
-        super().__init__(f"unknown {column}: {shown}{more}")
+    def __init__(self, column: str, missing: DataFrame, count: int) -> None:
+        some = sorted(str(row[0]) for row in missing.take(SHOWN))
+        rest = f" and {count - len(some)} more, see .missing" if count > len(some) else ""
+        super().__init__(f"{count} unknown {column}: {some}{rest}")
         self.column = column
-        self.missing = shown
+        self.missing = missing
+        self.count = count
 
 
 def with_stock_ids(rows: DataFrame, stocks: DataFrame) -> DataFrame:
@@ -45,9 +47,9 @@ def missing_keys(rows: DataFrame, dimension: DataFrame, column: str) -> DataFram
 def require_known(rows: DataFrame, id_column: str, name_column: str) -> None:
     """Raise :class:`UnknownKeys` with the names of rows whose id was not found."""
     unknown = rows.where(F.col(id_column).isNull()).select(name_column).distinct()
-    missing = [row[0] for row in unknown.take(MAX_LISTED + 1)]
-    if missing:
-        raise UnknownKeys(name_column, missing)
+    count = unknown.count()
+    if count:
+        raise UnknownKeys(name_column, unknown, count)
 
 
 def market_caps_by_stock(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ohlcraft.operators import detect, history, reshape
 from ohlcraft.operators.indicators.compute import chosen_families, indicators
-from ohlcraft.operators.indicators.families import LINE_NAMES
+from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES
 from ohlcraft.plans.tables import MONTH, LoadStats, Tables, month_of
 from ohlcraft.sources import bars as bar_source, symbols as symbol_source
 
@@ -55,8 +55,13 @@ def store_indicators(
 ) -> LoadStats:
     names = [family.name for family in chosen_families(names)]
     tables.register_lines([line for name in names for line in LINE_NAMES[name]])
+    market = None
+    if any(FAMILIES[name].by_date for name in names):
+        market = history.market_bars(
+            tables.read("charts", end=end), start, end, near_days=NEAR_DAYS, month_column=MONTH)
     wide = indicators(
-        _history(tables, start, end), names, start, end, anchor=anchor, keep=("chart_date",))
+        _history(tables, start, end), names, start, end, anchor=anchor, keep=("chart_date",),
+        breadth_bars=market)
     wide = wide.withColumn(MONTH, month_of(F.col("chart_date"))).drop("chart_date")
     return tables.insert_indicators(reshape.indicators_long(wide, keep=(MONTH,)), start, end)
 

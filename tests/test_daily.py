@@ -111,7 +111,7 @@ def test_unknown_sector_raises_with_its_name(spark, tmp_path):
     tables.insert_sectors(listed.where("sector_name = 'S'"))
     with pytest.raises(lookup.UnknownKeys) as error:
         tables.insert_stocks(listed)
-    assert error.value.missing == ["T"]
+    assert [r[0] for r in error.value.missing.collect()] == ["T"]
     assert tables.read("stocks").isEmpty()
 
 

@@ -40,9 +40,9 @@ def test_every_bar_with_sixty_before_it_has_a_row(bars):
     assert indicators(first, ["DEMA", "이동평균(라인3개)"]).isEmpty()
 
 
-def test_parts_partitioning_and_batches_do_not_change_values(spark, bars):
-    whole = _rows(indicators(bars, NAMES, part_rows=None))
-    assert _rows(indicators(bars.repartition(5, "chart_volume"), NAMES, part_rows=200)) == whole
+def test_partitioning_and_batches_do_not_change_values(spark, bars):
+    whole = _rows(indicators(bars, NAMES))
+    assert _rows(indicators(bars.repartition(5, "chart_volume"), NAMES)) == whole
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
     try:
         assert _rows(indicators(bars, NAMES)) == whole
@@ -69,15 +69,15 @@ def test_both_anchors_agree_on_the_first_day(spark, bars):
     first = {r[0] for r in bars.where(F.col("chart_date") == start).select("chart_id").collect()}
     assert first and all(by_bar[c] == by_range[c] for c in first)
     assert by_bar != by_range
-    cut = _rows(indicators(bars, names, start, end, anchor="range", part_rows=500))
-    assert cut == by_range
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "61")
     try:
         assert _rows(indicators(bars, names, start, end, anchor="range")) == by_range
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    with pytest.raises(ValueError):
-        indicators(bars, names, anchor="range")
+    # stocks of unlike lengths side by side, over all of their history
+    uneven = bars.where("stock_id % 3 <> 0 OR chart_date > '1991-01-01'")
+    some = _rows(indicators(uneven.where("stock_id IN (3, 4)"), names, anchor="range"))
+    assert some.items() <= _rows(indicators(uneven, names, anchor="range")).items()
 
 
 def test_recursions_against_plain_loops(bars):
@@ -105,7 +105,7 @@ def test_recursions_against_plain_loops(bars):
 
 def test_all_families_take_one_shuffle(bars):
     names = [name for name, f in FAMILIES.items() if not f.by_date]
-    plan = indicators(bars, names, part_rows=None)._jdf.queryExecution().executedPlan().toString()
+    plan = indicators(bars, names)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
 
 
@@ -117,6 +117,18 @@ def test_long_form_drops_what_is_no_number(spark):
     assert rows == [(1, 2.0, "y"), (2, 1.5, "P.C x")]
 
 
-def test_part_sizes_are_checked(bars):
-    with pytest.raises(ValueError):
-        history.split_histories(bars, part_rows=100)
+def test_breadth_of_a_range_equals_that_of_all_history(bars):
+    """With stocks that resume just then, are halted on the day, or are gone."""
+    start, end = dt.date(1991, 2, 20), dt.date(1991, 2, 27)
+    breadth = [name for name, f in FAMILIES.items() if f.by_date]
+    sessions = [r[0] for r in bars.where(F.col("chart_date") < start).select("chart_date").distinct().orderBy(
+        F.desc("chart_date")).limit(61).collect()]
+    holes = bars.where(
+        f"NOT (stock_id % 4 = 1 AND chart_date BETWEEN '1990-06-01' AND '{sessions[60]}')"
+        f" AND NOT (stock_id % 4 = 2 AND chart_date BETWEEN '{start}' AND '{end}')"
+        f" AND NOT (stock_id % 4 = 3 AND chart_date > '{sessions[30]}')")
+    whole = _rows(indicators(holes, breadth, start, end))
+    near = history.warmup_bars(holes, start, end, near_days=120)
+    market = history.market_bars(holes, start, end, near_days=120)
+    assert whole and _rows(indicators(near, breadth, start, end, breadth_bars=market)) == whole
+    assert market.count() < holes.count() / 2
