@@ -88,7 +88,35 @@ class Tables:
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """The folder that holds the table now: the first one, or the version that the small
+        file ``<name>.current`` names since a replacement."""
+        pointer = self._file(f"{name}.current")
+        files = pointer.getFileSystem(self._conf())
+        if not files.exists(pointer):
+            return f"{self.root}/{name}"
+        stream = files.open(pointer)
+        try:
+            return f"{self.root}/{bytes(stream.readAllBytes()).decode()}"
+        finally:
+            stream.close()
+
+    def _file(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+
+    def _conf(self):
+        return self.spark._jsc.hadoopConfiguration()
+
+    def _point(self, name: str, version: str) -> None:
+        """Makes a written version the table, in one rename."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        draft, pointer = self._file(f"{version}.draft"), self._file(f"{name}.current")
+        files = draft.getFileSystem(self._conf())
+        stream = files.create(draft, True)
+        stream.write(version.encode())
+        stream.close()
+        rename = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        rename[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(files.getUri(), self._conf()).rename(draft, pointer, rename)
 
     def read(
         self, name: str, start: dt.date | None = None, end: dt.date | None = None,
@@ -117,9 +145,16 @@ class Tables:
         writer.parquet(self.path(name))
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        """Replace a table by rows that may be derived from it."""
-        with staged(self.spark, rows) as ready:
-            ready.write.mode("overwrite").parquet(self.path(name))
+        """Replace a table by rows that may be derived from it.
+
+        The rows are written as a new version beside the table; then a rename makes it the
+        table, and the old one goes. A break in between leaves the old rows in place.
+        """
+        old, version = self.path(name), f"{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{version}")
+        self._point(name, version)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(self._conf()).delete(folder, True)
 
     def replace_months(self, name: str, ready: DataFrame) -> None:
         """Replace the months that occur in rows staged before."""

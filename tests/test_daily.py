@@ -135,6 +135,26 @@ def test_market_caps_last_write_wins(spark, tmp_path):
     assert stored() == {1: 10, 2: 22, 3: 30}
 
 
+def test_broken_replacements_leave_the_old_rows(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    day, later = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    tables.append("latest_date", spark.createDataFrame([("charts", day)], Tables.SCHEMAS["latest_date"]))
+
+    def mark():
+        return [r.latest_date for r in tables.read("latest_date").collect()]
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_point", lambda *_: (_ for _ in ()).throw(OSError("broken off")))
+        with pytest.raises(OSError):
+            tables.set_latest_date("charts", later)
+    assert mark() == [day]
+    tables.set_latest_date("charts", later)
+    tables.set_latest_date("charts", later + dt.timedelta(days=1))
+    assert mark() == [later + dt.timedelta(days=1)]
+    tables.append("latest_date", spark.createDataFrame([("x", day)], Tables.SCHEMAS["latest_date"]))
+    assert sorted(mark()) == [day, later + dt.timedelta(days=1)]
+
+
 def test_unknown_mark_changes_nothing(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     day = dt.date(2024, 1, 2)
