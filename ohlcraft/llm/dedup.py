@@ -157,7 +157,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             linked = []
             for i in range(len(batch)):
                 a, b = (np.frombuffer(batch.column(j)[i].as_buffer(), np.uint64) for j in (2, 3))
-                common = len(np.intersect1d(a, b, assume_unique=True))
+                common = _meeting(a, b)
                 linked.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
@@ -211,43 +211,75 @@ def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).distinct()
 
 
-def _block_pairs(rows: DataFrame, signs: DataFrame, bound: float) -> DataFrame:
-    """Pairs of open buckets that the signatures don't rule out: every member outside the
-    bucket's largest component against all members of other components, by blocks."""
-    limits = least_matches(bound)
+def _meeting(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(b.searchsorted(a), len(b) - 1)
+    return int((b[at] == a).sum())
+
+
+def _block_links(rows: DataFrame, signs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of open buckets: every member outside the bucket's largest
+    component against all members of other components, by blocks. A block goes through its
+    likely pairs, the likeliest first, verifies those that nothing has joined yet on their
+    full sets, and gives the links alone: no more than it has components."""
+    limits = least_matches(percent / 100)
     largest = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(
         F.max_by("component", F.struct("size", "component")).alias("largest"))
-    rows = rows.join(largest, "bucket").join(signs.select("class_id", "signature"), "class_id")
+    rows = rows.join(largest, "bucket").join(signs.select("class_id", "signature"), "class_id").join(
+        sets.select("class_id", "shingles"), "class_id")
     # class ids spread a bucket over blocks of about BLOCK members
     block = F.pmod(F.xxhash64("class_id", "bucket"), F.ceil(F.col("n") / BLOCK))
     rows = stage(rows.select(
-        "bucket", block.alias("block"), (F.col("component") == F.col("largest")).alias("inside"),
-        F.struct("class_id", "component", "signature").alias("member")), "blocks")
+        "bucket", "band", block.alias("block"), (F.col("component") == F.col("largest")).alias("inside"),
+        F.struct("class_id", "component", "signature", "shingles").alias("member")), "blocks")
     blocks = rows.groupBy("bucket", "block").agg(F.collect_list("member").alias("right"))
-    apart = rows.where("NOT inside").groupBy("bucket", "block").agg(F.collect_list("member").alias("left"))
+    apart = rows.where("NOT inside").groupBy("bucket", "band", "block").agg(F.collect_list("member").alias("left"))
     out = T.StructType([T.StructField(x, signs.schema["class_id"].dataType) for x in "ab"])
 
-    def columns(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        ids, parts, raw = cell.values.flatten()
+    def columns(cell: pa.ListScalar) -> tuple:
+        ids, parts, raw, sets = cell.values.flatten()
         signs = np.frombuffer(b"".join(raw.to_pylist()), "<u4").reshape(-1, SIGNATURE)
-        return np.array(ids.to_pylist()), np.array(parts.to_pylist()), signs
+        return ids, np.array(parts.to_pylist()), signs, [np.frombuffer(x.as_buffer(), np.uint64) for x in sets]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lefts, rights in zip(batch.column("left"), batch.column("right")):
-                ids, parts, signs = columns(lefts)
-                others, other_parts, other_signs = columns(rights)
+            for band, lefts, rights in zip(batch.column("band").to_pylist(), batch.column("left"), batch.column("right")):
+                ids, parts, signs, own = columns(lefts)
+                other_ids, other_parts, other_signs, others = columns(rights)
                 i, j = np.nonzero(parts[:, None] != other_parts)
                 if not len(i):
                     continue
                 on = surviving(signs[i], other_signs[j], limits)
-                a, b = ids[i[on]], others[j[on]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]).cast(pa.schema(
-                        [(x, batch.schema.field("left").type.value_type.field(0).type) for x in "ab"]))
-
-    return apart.drop("block").join(blocks.drop("block"), "bucket").select("left", "right").mapInArrow(
-        compare, out).distinct()
+                i, j = i[on], j[on]
+                equal = signs[i] == other_signs[j]
+                # a pair counts in the first of the bands that it shares
+                shared = equal.reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+                on = np.flatnonzero(shared.argmax(axis=1) == band)
+                on = on[np.argsort(-equal[on].sum(axis=1), kind="stable")]
+                joined: dict = {}
+
+                def root(part):
+                    while part in joined:
+                        part = joined[part]
+                    return part
+
+                found = []
+                for a, b in zip(i[on].tolist(), j[on].tolist()):
+                    x, y = root(parts[a]), root(other_parts[b])
+                    if x == y:
+                        continue
+                    common = _meeting(own[a], others[b])
+                    if 100 * common >= percent * (len(own[a]) + len(others[b]) - common):
+                        joined[x] = y
+                        found.append((a, b))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array([a for a, _ in found])), other_ids.take(pa.array([b for _, b in found]))],
+                        names=["a", "b"])
+
+    return apart.drop("block").join(blocks.drop("block"), "bucket").select("band", "left", "right").mapInArrow(compare, out)
 
 
 def near_duplicates(
@@ -270,7 +302,7 @@ def near_duplicates(
     some = drawn.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = stage(some.groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
     firsts = some.join(classes, "set_key").where("doc_id = class_id").select("class_id", "signature", "bands")
-    buckets = firsts.select("class_id", F.explode("bands").alias("bucket"))
+    buckets = firsts.select("class_id", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(
         F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least < most").select("bucket")
     members = stage(buckets.join(shared, "bucket"), "members")
@@ -289,10 +321,11 @@ def near_duplicates(
             if rows.isEmpty():
                 break
         if turn < STAR_ROUNDS:
-            likely = _likely(_star_pairs(rows, turn), signs, bound)
+            likely = stage(_likely(_star_pairs(rows, turn), signs, bound), "likely")
+            verified = _verified(likely, sets, percent)
         else:
-            likely = _block_pairs(rows, signs, bound)
-        found.append(stage(_verified(stage(likely, "likely"), sets, percent), "verified"))
+            verified = _block_links(rows, signs, sets, percent)
+        found.append(stage(verified, "verified"))
         links = found[0]
         for more in found[1:]:
             links = links.union(more)
