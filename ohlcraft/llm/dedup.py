@@ -7,8 +7,9 @@ once the posterior chance that its similarity reaches the bound falls below the
 probability, it is dropped. What survives is verified on the full sets.
 
 Links matter only as far as they join components, and a bucket may hold any share of all
-documents, so its pairs are not all formed. Documents with equal sets are one class from the
-start. In a few rounds each bucket compares its members with one of them; then
+documents, so its pairs are not all formed. Rows with equal sets are one class from the
+start, whatever their ids; a class bears the number of one of its rows, as an id may stand by
+several texts. In a few rounds each bucket compares its members with one of them; then
 the buckets that still hold several components compare every member outside their largest
 one with all others, block by block. No pair of a bucket is left out unless its members are in
 one component already.
@@ -20,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ohlcraft.llm.common import new_name, stage
 from ohlcraft.llm.components import components
@@ -108,16 +109,16 @@ def surviving(left: np.ndarray, right: np.ndarray, limits: list[int]) -> np.ndar
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """Of rows (doc_id, text): doc_id, n_shingles, set_key, signature, bands; the last three
-    null without shingles."""
+    """Of rows (doc_id, text): doc_id, digest, n_shingles, set_key, signature, bands; the last
+    three null without shingles."""
     out = T.StructType([
-        docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
+        docs.schema["doc_id"], T.StructField("digest", T.BinaryType()), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
         T.StructField("signature", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, signs, bands = [], [], [], []
-            for raw in batch.column(1):
+            for raw in batch.column(2):
                 shingles = shingle_set(raw.as_py(), width)
                 sizes.append(len(shingles))
                 sign = signature(shingles) if len(shingles) else None
@@ -125,10 +126,15 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 signs.append(None if sign is None else sign.tobytes())
                 bands.append(None if sign is None else band_keys(sign))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                 pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=out.names)
 
-    return docs.select("doc_id", F.encode("text", "UTF-8")).mapInArrow(sketch, out)
+    return docs.select("doc_id", _digest(F.col("text")), F.encode("text", "UTF-8")).mapInArrow(sketch, out)
+
+
+def _digest(text: Column) -> Column:
+    """Tells the texts of one id apart; null for a null text."""
+    return F.unhex(F.md5(text))
 
 
 def _likely(pairs: DataFrame, signs: DataFrame, bound: float) -> DataFrame:
@@ -170,18 +176,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """Of rows (class_id, text): class_id, n_shingles, shingles."""
+    """Of rows (text): set_key, n_shingles, shingles."""
     out = T.StructType([
-        texts.schema["class_id"], T.StructField("n_shingles", T.LongType()), T.StructField("shingles", T.BinaryType())])
+        T.StructField("set_key", T.BinaryType()), T.StructField("n_shingles", T.LongType()),
+        T.StructField("shingles", T.BinaryType())])
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(raw.as_py(), width) for raw in batch.column(1)]
+            sets = [shingle_set(raw.as_py(), width) for raw in batch.column(0)]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(map(len, sets), pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                pa.array(map(len, sets), pa.int64()),
                 pa.array([s.tobytes() for s in sets], pa.binary())], names=out.names)
 
-    return texts.select("class_id", F.encode("text", "UTF-8")).mapInArrow(collect, out)
+    return texts.select(F.encode("text", "UTF-8")).mapInArrow(collect, out)
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -282,34 +290,28 @@ def _block_links(rows: DataFrame, signs: DataFrame, sets: DataFrame, percent: in
     return apart.drop("block").join(blocks.drop("block"), "bucket").select("band", "left", "right").mapInArrow(compare, out)
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """A row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents are linked if the Jaccard similarity of their sets of ``width``-word shingles is at
-    least ``percent`` / 100; a component is named by its smallest id, and that document is kept.
-    ASCII letters count as lower case.
-
-    Null or empty texts and texts without words have no shingles and link with nothing. Null id:
-    takes no part, component null, kept. Repeated ids: in one component. Empty table: no rows.
-    Other columns are not read. Chance of a missed pair at the bound: about 3e-6 by the
-    bands, at most MISS per batch by the signatures.
-    """
+def _verdicts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of rows (doc_id, text), a row each: doc_id, digest, n_shingles, component_id, kept, and
+    ``first``, true for one row of each component and for rows that take no part."""
     bound = percent / 100
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    drawn = stage(sketches(docs, width), "sketches")
+    drawn = stage(sketches(docs, width).withColumn("row", F.monotonically_increasing_id()), "sketches")
     some = drawn.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classes = stage(some.groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
-    firsts = some.join(classes, "set_key").where("doc_id = class_id").select("class_id", "signature", "bands")
+    classes = stage(
+        some.groupBy("set_key").agg(F.min(F.struct("doc_id", "row")).alias("least"))
+        .select("set_key", F.col("least.row").alias("class_id"), F.col("least.doc_id").alias("least_id")), "classes")
+    firsts = some.join(classes, "set_key").where(F.col("row") == F.col("class_id")).select(
+        "class_id", "doc_id", "set_key", "signature", "bands")
     buckets = firsts.select("class_id", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(
         F.min("class_id").alias("least"), F.max("class_id").alias("most")).where("least < most").select("bucket")
     members = stage(buckets.join(shared, "bucket"), "members")
     ids = stage(members.select("class_id").distinct(), "candidates")
-    signs = stage(firsts.join(ids, "class_id").select("class_id", "signature").dropDuplicates(["class_id"]), "signatures")
-    texts = docs.withColumnRenamed("doc_id", "class_id").join(ids, "class_id")
-    sets = stage(_sets(texts, width).dropDuplicates(["class_id"]), "sets")
+    signs = stage(firsts.join(ids, "class_id").select("class_id", "doc_id", "set_key", "signature"), "signatures")
+    # an id's other texts come along here; their sets are no candidates or have a class of their own
+    texts = docs.join(signs.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = stage(
+        _sets(texts, width).dropDuplicates(["set_key"]).join(signs.select("set_key", "class_id"), "set_key").drop("set_key"),
+        "sets")
 
     found = []
     labels = None
@@ -331,27 +333,57 @@ def near_duplicates(
             links = links.union(more)
         labels = components(links)
 
-    named = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "set_key", F.coalesce("component", "class_id").alias("component_id"))
-    result = drawn.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    # a component is named by its smallest id, at the smallest row that bears it
+    linked = labels.join(classes.withColumnRenamed("class_id", "node"), "node")
+    names = linked.groupBy("component").agg(F.min(F.struct(
+        F.col("least_id").alias("id"), F.col("node").alias("row"))).alias("name"))
+    named = labels.join(names, "component").select(F.col("node").alias("class_id"), "name")
+    named = classes.join(named, "class_id", "left").select(
+        "set_key", "class_id", F.coalesce("name.id", "least_id").alias("component_id"),
+        F.coalesce("name.row", "class_id").alias("first_row"))
+    result = drawn.select("doc_id", "digest", "row", "n_shingles", F.when(
+        F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(named, "set_key", "left")
+    apart = F.col("component_id").isNull()
+    own = (F.col("doc_id") == F.col("component_id")) & (F.col("class_id") == F.col("first_row"))
     return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+        "doc_id", "digest", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        (apart | own).alias("kept"), (apart | (F.col("row") == F.col("first_row"))).alias("first"))
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """A row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked if the Jaccard similarity of their sets of ``width``-word shingles is at
+    least ``percent`` / 100; a component is named by its smallest id, and that document is kept.
+    ASCII letters count as lower case.
+
+    Null or empty texts and texts without words have no shingles and link with nothing. Null id:
+    takes no part, component null, kept. Repeated ids: each row goes by its own text, so that
+    one id may be in several components, and two components may have one name; of the texts of
+    a component's smallest id one set is kept. Empty table: no rows. Other columns are not
+    read. Chance of a missed pair at the bound: about 3e-6 by the bands, at most MISS per batch
+    by the signatures.
+    """
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _verdicts(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def kept_documents(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One document of each group, all columns as they are; of rows with one id, one.
+    """One document of each group, all columns as they are; of rows with one id and text, one.
 
-    Rows with a null id stay. The ids to drop are joined, not the ids to keep: most stay.
+    Rows with a null id stay. The rows to drop are joined, not those to keep: most stay.
     """
-    verdicts = stage(near_duplicates(docs, width, percent, id_col, text_col), "verdicts")
+    known = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    verdicts = stage(_verdicts(known, width, percent).select("doc_id", "digest", "first"), "verdicts")
     name = new_name(docs)
-    dropped = verdicts.where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    repeated = verdicts.where("doc_id IS NOT NULL AND kept").groupBy(F.col("doc_id").alias(name)).agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1").select(name)
-    on = F.col(id_col) == F.col(name)
-    single = docs.join(dropped.union(repeated), on, "left_anti")
-    return single.union(docs.join(repeated, on, "left_semi").dropDuplicates([id_col]))
+    key = lambda doc_id, digest: F.struct(doc_id.alias("id"), F.coalesce(digest, F.lit(b"")).alias("digest"))
+    texts = verdicts.where("doc_id IS NOT NULL").groupBy(key(F.col("doc_id"), F.col("digest")).alias(name)).agg(
+        F.max("first").alias("stays"), F.count(F.lit(1)).alias("n"))
+    changed = stage(texts.where("NOT stays OR n > 1"), "repeated")
+    keyed = docs.withColumn(name, key(F.col(id_col), _digest(F.col(text_col))))
+    single = keyed.join(changed, name, "left_anti")
+    return single.union(keyed.join(changed.where("stays"), name, "left_semi").dropDuplicates([name])).drop(name)

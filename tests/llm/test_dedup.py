@@ -79,3 +79,20 @@ def test_pruning_keeps_pairs_at_the_bound():
     assert len(dedup.surviving(left, right, limits)) == len(left)
     right = np.where(draw.random(left.shape) < 0.3, left, left + 1)
     assert len(dedup.surviving(left, right, limits)) < 20
+
+
+def test_ids_with_several_texts(spark):
+    """Each row goes by its own text: a text is lost only if it is near another one that stays."""
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    a, b, c, d, e = (draw.sample(words, 60) for _ in range(5))
+    near = lambda text: " ".join([*text[:-1], "other"])
+    docs = [(5, " ".join(a)), (3, " ".join(b)), (5, near(b)), (5, " ".join(c)), (5, " ".join(c)), (7, near(c)), (8, None), (8, None),
+            (9, " ".join(d)), (9, near(d)), (9, " ".join(d).upper()), (6, near(e)), (5, " ".join(e))]
+    frame = spark.createDataFrame([(i, text, "x") for i, text in docs], "doc_id long, text string, digest string")
+    kept = sorted((r.doc_id, tuple((r.text or "").lower().split()[:59])) for r in dedup.kept_documents(frame, 2).collect())
+    assert kept == sorted([(5, tuple(a[:59])), (3, tuple(b[:59])), (5, tuple(c[:59])), (8, ()), (9, tuple(d[:59])), (5, tuple(e[:59]))])
+    rows = dedup.near_duplicates(frame, 2).collect()
+    assert len(rows) == len(docs)
+    assert sorted((r.doc_id, r.component_id) for r in rows) == sorted(
+        [(5, 5)] * 4 + [(3, 3), (5, 3), (7, 5), (8, 8), (8, 8)] + [(9, 9)] * 3 + [(6, 5)])
