@@ -2,8 +2,10 @@
 
 A document's histograms of character classes and of common words are held against those of its
 language by Jensen-Shannon distance. The references come from all documents: the classes
-and the commonest words of every language with a thousandth of all words at least (so there
-are at most a thousand). Short texts scatter more, so that a limit falls with the number of
+and the commonest words of every language. They are a table; its largest rows, NEAREST at most,
+go to all tasks, and the documents of languages beyond them are joined to theirs. A document
+whose language is null or too small for a stable reference is held against the nearest of the
+NEAREST. Short texts scatter more, so that a limit falls with the number of
 words to its long-text value, and texts below a least length get no verdict. Plain
 counts of words, symbols and repetition come first.
 """
@@ -12,15 +14,20 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ohlcraft.llm.common import new_name, stage
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
 MARKS = b".,;:!?'\"()-"
 WINDOW = 8
+#: Languages whose references go to all tasks.
+NEAREST = 1000
 
 
 @dataclass(frozen=True)
@@ -36,8 +43,10 @@ class Rules:
     word_base: float = 0.12
     word_scatter: float = 2.7
     word_from: int = 30
-    #: Share of all words that gives a language a reference of its own.
-    least_share: float = 0.001
+    #: Words and documents of a language that make its reference stable: at 5000 words its scatter
+    #: is word_scatter / sqrt(5000), a third of word_base. If no language has them, all count as stable.
+    reference_words: int = 5000
+    reference_docs: int = 10
 
 
 def _class_table() -> np.ndarray:
@@ -56,6 +65,8 @@ def _class_table() -> np.ndarray:
 CLASSES = _class_table()
 #: Stands for the words that plain_words leaves out; no word has a blank.
 MARKS_ALONE = b" -"
+#: Stands for a language's documents.
+DOCUMENTS = b" docs"
 _UNMARKED = bytes(b for b in range(256) if b < 128 and not chr(b).isalnum() and b not in SPACES)
 
 
@@ -82,9 +93,18 @@ class Reference:
     counts: np.ndarray  # of these words, of all others, and of words of marks and symbols alone
 
 
-def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> dict[str, Reference]:
-    """By language, from all documents; counts are summed up in Spark, and at most
-    1 / least_share languages with common_words words each reach the driver."""
+@dataclass(frozen=True)
+class References:
+    """Those of the largest languages, and a table (lang, words, counts, classes) of the others;
+    none if there are no others."""
+
+    largest: dict[str, Reference]
+    others: DataFrame | None
+
+
+def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> References:
+    """From all documents; counts are summed up in Spark, and NEAREST languages with common_words
+    words each reach the driver."""
     out = "lang string, word binary, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,6 +112,7 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
             texts, langs = (batch.column(i).to_pylist() for i in range(2))
             words: dict[str, Counter] = {}
             classes: dict[str, np.ndarray] = {}
+            sizes: Counter = Counter()
             for raw, lang in zip(texts, langs):
                 if raw and lang is not None:
                     found, plain = words.setdefault(lang, Counter()), plain_words(raw)
@@ -99,15 +120,17 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
                     found[MARKS_ALONE] += len(raw.split()) - len(plain)
                     seen = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
                     classes[lang] = classes.get(lang, 0) + seen
+                    sizes[lang] += 1
             rows = [(lang, w, n) for lang, found in words.items() for w, n in found.items()]
             rows += [(lang, b" %d" % b, int(n)) for lang, seen in classes.items() for b, n in enumerate(seen) if n]
+            rows += [(lang, DOCUMENTS, n) for lang, n in sizes.items()]
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.binary(), pa.int64()))],
                 names=["lang", "word", "n"])
 
     rows = docs.select(F.encode(text_col, "UTF-8").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counts = rows.mapInArrow(count, out).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    is_byte = F.substring("word", 1, 1) == F.lit(b" ")  # and the words of marks alone
+    is_byte = F.substring("word", 1, 1) == F.lit(b" ")  # and the words of marks alone, and the documents
     # a language's commonest words, first of each of many buckets of its words, then of those
     bucket = F.pmod(F.hash("word"), F.lit(256))
     top = lambda *keys: F.row_number().over(
@@ -119,26 +142,77 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
         .withColumn("rank", top()).where((F.col("rank") <= rules.common_words) | is_byte)
         .select("lang", "word", "n", is_byte.alias("is_byte"))
         .join(totals, ["lang", "is_byte"]))
-    everything = F.sum("total").over(Window.partitionBy())
-    large = (
-        totals.where("NOT is_byte").withColumn("everything", everything)
-        .where(F.col("total") >= rules.least_share * F.col("everything")).select("lang"))
-    by: dict[str, list] = {}
-    for row in found.join(large, "lang", "left_semi").collect():
-        by.setdefault(row.lang, []).append(row)
-    refs = {}
-    for lang, own in by.items():
-        common = sorted((r for r in own if not r.is_byte), key=lambda r: (-r.n, bytes(r.word)))
-        shares = [r.n for r in common]
-        special = {bytes(r.word): r.n for r in own if r.is_byte}
-        marks = special.pop(MARKS_ALONE, 0)
-        classes = np.zeros(256)
-        for word, n in special.items():
-            classes[int(word)] = n
-        rest = common[0].total - sum(shares) if common else 0
-        refs[lang] = Reference(
-            classes @ CLASSES, [bytes(r.word) for r in common], np.array([*shares, rest, marks], float))
-    return refs
+    listed = found.groupBy("lang").agg(
+        F.collect_list(F.struct("word", "n", "is_byte")).alias("rows"),
+        F.coalesce(F.max(F.when(~F.col("is_byte"), F.col("total"))), F.lit(0)).alias("total"))
+    kind = "lang string, total long, docs long, words array<binary>, counts array<double>, classes array<double>"
+
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, words, counts, classes = [], [], [], []
+            for own, total in zip(batch.column("rows").to_pylist(), batch.column("total").to_pylist()):
+                common = sorted((r for r in own if not r["is_byte"]), key=lambda r: (-r["n"], r["word"]))
+                special = {r["word"]: r["n"] for r in own if r["is_byte"]}
+                marks, size = special.pop(MARKS_ALONE, 0), special.pop(DOCUMENTS)
+                seen = np.zeros(256)
+                for word, n in special.items():
+                    seen[int(word)] = n
+                shares = [r["n"] for r in common]
+                docs.append(size)
+                words.append([r["word"] for r in common])
+                counts.append([*map(float, shares), float(total - sum(shares)), float(marks)])
+                classes.append((seen @ CLASSES).tolist())
+            numbers = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([
+                batch.column("lang"), batch.column("total"), pa.array(docs, pa.int64()),
+                pa.array(words, pa.list_(pa.binary())), pa.array(counts, numbers), pa.array(classes, numbers)],
+                names=["lang", "total", "docs", "words", "counts", "classes"])
+
+    every = stage(listed.select("lang", "total", "rows").mapInArrow(compact, kind), "references")
+    stable = every.where((F.col("total") >= rules.reference_words) & (F.col("docs") >= rules.reference_docs))
+    if stable.isEmpty():
+        stable = every
+    first = stable.orderBy(F.desc("total"), "lang").limit(NEAREST + 1).collect()
+    largest = {r.lang: _reference(r.words, r.counts, r.classes) for r in first[:NEAREST]}
+    others = None
+    if len(first) > NEAREST:
+        # what comes before the last of the largest is in there
+        last = first[NEAREST - 1]
+        others = stable.where(
+            (F.col("total") < last.total) | (F.col("total") == last.total) & (F.col("lang") > last.lang),
+        ).select("lang", "words", "counts", "classes")
+    return References(largest, others)
+
+
+def _reference(words: list, counts: list, classes: list) -> Reference:
+    return Reference(np.array(classes), [bytes(w) for w in words], np.array(counts, float))
+
+
+def _with_references(docs: DataFrame, lang: Column, refs: References, name: str) -> list[DataFrame]:
+    """The rows with a column ``name`` that holds the reference of a language beyond the largest, or
+    null. Only rows of languages that aren't among the largest are joined, so that no group is large."""
+    kind = "struct<lang: string, words: array<binary>, counts: array<double>, classes: array<double>>"
+    if refs.others is None:
+        return [docs.withColumn(name, F.lit(None).cast(kind))]
+    beyond = F.coalesce(~lang.isin(list(refs.largest)), F.lit(False))
+    others = refs.others.select(F.struct("lang", "words", "counts", "classes").alias(name))
+    return [
+        docs.where(~beyond).withColumn(name, F.lit(None).cast(kind)),
+        docs.where(beyond).join(others, lang == F.col(f"{name}.lang"), "left")]
+
+
+def _own_references(column: pa.Array) -> list[Reference | None]:
+    known: dict[str, Reference] = {}
+    found = []
+    for cell in column:
+        if not cell.is_valid:
+            found.append(None)
+            continue
+        lang = cell["lang"].as_py()
+        if lang not in known:
+            known[lang] = _reference(*(cell[x].as_py() for x in ("words", "counts", "classes")))
+        found.append(known[lang])
+    return found
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -171,8 +245,10 @@ MEASURES = [
     ("kept", T.BooleanType()), ("class_distance", T.DoubleType()), ("word_distance", T.DoubleType())]
 
 
-def measure(raw: bytes | None, lang: str | None, refs: dict[str, Reference], rules: Rules) -> tuple:
-    """The values of MEASURES for one text."""
+def measure(
+    raw: bytes | None, lang: str | None, refs: dict[str, Reference], rules: Rules, own: Reference | None = None,
+) -> tuple:
+    """The values of MEASURES for one text. ``own``: its language's reference, if not in ``refs``."""
     raw = raw or b""
     seen = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     words = raw.split()
@@ -182,8 +258,8 @@ def measure(raw: bytes | None, lang: str | None, refs: dict[str, Reference], rul
     repeated = repeated_words(words)
     failed = n < rules.least_words or 100 * repeated > round(100 * rules.most_repeated) * n
     classes = counts = None
-    own = refs.get(lang)
-    if n >= min(rules.class_from, rules.word_from) and (own or lang is None) and refs:
+    own = own or refs.get(lang)
+    if n >= min(rules.class_from, rules.word_from) and (own or refs):
         histogram, plain = seen @ CLASSES, plain_words(raw)
         found, pairs = Counter(plain), []
         for ref in [own] if own else refs.values():
@@ -205,26 +281,30 @@ def quality(
 ) -> DataFrame:
     """A row per document: doc_id and MEASURES.
 
-    Null or empty text: no words, failed. Null language: held against the nearest reference. A
-    language without a reference: only the plain counts judge. Distances are null where
-    none is taken. Repeated rows get the same row each; an empty table gives none.
+    Null or empty text: no words, failed. Null language, or one too small for a stable reference: held
+    against the nearest reference. Distances are null where none is taken. Repeated rows get the same row each; an empty table gives none.
     """
     refs = references(docs, rules, text_col, lang_col)
     out = T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), *(T.StructField(*m) for m in MEASURES)])
     kinds = [f.dataType for f in out.fields[1:]]
 
+    largest = refs.largest
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = {"long": pa.int64(), "bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         for batch in batches:
-            rows = [measure(raw, lang, refs, rules) for raw, lang in zip(*(batch.column(i).to_pylist() for i in (1, 2)))]
+            texts, langs = (batch.column(i).to_pylist() for i in (1, 2))
+            rows = [measure(raw, lang, largest, rules, own)
+                    for raw, lang, own in zip(texts, langs, _own_references(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(
                 pa.array([r[i] for r in rows], arrow[kind.simpleString()]) for i, kind in enumerate(kinds))],
                 names=out.names)
 
-    return docs.select(
-        id_col, F.encode(text_col, "UTF-8").alias("_text"), F.col(lang_col).cast("string").alias("_lang"),
-    ).mapInArrow(judge, out)
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
+    judged = [part.mapInArrow(judge, out) for part in _with_references(rows, F.col("_lang"), refs, "_reference")]
+    return reduce(DataFrame.unionAll, judged)
 
 
 def kept_documents(
@@ -234,12 +314,18 @@ def kept_documents(
     refs = references(docs, rules, text_col, lang_col)
     at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
+    largest = refs.largest
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdict = [name for name, _ in MEASURES].index("kept")
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             langs = batch.column(lang_at).cast(pa.string()).to_pylist()
-            yield batch.filter(pa.array(
-                [measure(raw, lang, refs, rules)[verdict] for raw, lang in zip(texts, langs)], pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+            owns = _own_references(batch.column(batch.num_columns - 1))
+            rows = batch.select(range(batch.num_columns - 1))
+            yield rows.filter(pa.array(
+                [measure(raw, lang, largest, rules, own)[verdict] for raw, lang, own in zip(texts, langs, owns)], pa.bool_()))
+
+    lang = F.col(lang_col).cast("string")
+    parts = _with_references(docs, lang, refs, new_name(docs))
+    return reduce(DataFrame.unionAll, [part.mapInArrow(keep, docs.schema) for part in parts])

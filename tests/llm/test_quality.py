@@ -64,3 +64,25 @@ def test_nulls_empty_tables_and_clashing_names(spark):
     kept = quality.kept_documents(docs)
     assert kept.columns == docs.columns and kept.count() == 4
     assert quality.quality(docs.limit(0)).count() == 0 and quality.kept_documents(docs.limit(0)).count() == 0
+
+
+def test_languages_of_any_share_are_judged(spark, monkeypatch):
+    """A language is judged whatever others have: by its own reference if that is stable, joined
+    beyond the largest, and by the nearest one if not."""
+    draw = random.Random(4)
+
+    def texts(own, n):
+        return [" ".join(draw.choices(own, range(len(own), 0, -1), k=120)) for _ in range(n)]
+
+    langs = {name: [f"{name}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)] for name in ("aa", "bb", "cc")}
+    junk = [" ".join(f"###{draw.random()}" for _ in range(120)) for _ in range(3)]
+    rows = [(f"{name} {i}", text, name) for name, n in (("aa", 700), ("bb", 60), ("cc", 50)) for i, text in enumerate(texts(langs[name], n))]
+    rows += [(f"junk {i}", text, lang) for i, (text, lang) in enumerate(zip(junk, ("aa", "cc", "tiny")))]
+    rows += [("like aa", texts(langs["aa"], 1)[0], "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    for largest in (1000, 1):
+        monkeypatch.setattr(quality, "NEAREST", largest)
+        found = {r.doc_id: r for r in quality.quality(docs).collect()}
+        assert all(r.class_distance is not None for r in found.values())
+        assert {i for i, r in found.items() if not r.kept} == {"junk 0", "junk 1", "junk 2"}
+        assert {r.doc_id for r in quality.kept_documents(docs).collect()} == {i for i, r in found.items() if r.kept}
