@@ -2,10 +2,9 @@
 
 The pages of a host are aligned with one of them by simple tree matching (Yang, 1991). Over all
 pages, a node of that reference page either holds the same text nearly everywhere, so it is
-template, or it is a slot whose text varies. The wrapper of a host names the element
-that holds most of the varying text; on each page its counterpart gives the main text, without
-template and without elements that announce themselves as something else (menus, forms, ...).
-Where a page doesn't fit its host's wrapper, its own masses of text decide.
+template, or it is a slot whose text varies. All slots of a page give its main text, or those
+in its <article> or <main> if that holds most of them; elements that announce themselves as
+something else (menus, forms, ...) are left out.
 
 Only sums per host and reference node are gathered. The wrappers of hosts with a thousandth of
 all pages, a thousand hosts at most, are broadcast; so no hot host is shuffled, and pages of
@@ -38,7 +37,6 @@ RAW = frozenset("script style textarea title noscript template xmp iframe noembe
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q s samp small "
     "span strike strong sub sup time tt u var wbr".split())
-PARTS = frozenset("html body main article section div center table tbody thead tfoot tr td th".split())
 BOILERPLATE = frozenset(
     "head nav header footer aside form script style noscript template iframe svg button select option textarea menu "
     "dialog object embed canvas audio video map noembed noframes title".split())
@@ -231,27 +229,21 @@ def match(left: Node, right: Node) -> dict[int, Node]:
     return found
 
 
-def main_number(children: dict[int, list[int]], parts: set[int], mass: dict[int, float]) -> int:
-    """From the root down to the element whose child doesn't hold most of its text any more."""
-    total = dict(mass)
-    for number in sorted(children, reverse=True):  # children have larger numbers
-        for child in children[number]:
-            total[number] = total.get(number, 0) + total.get(child, 0)
-    at = 0
-    while True:
-        best = max((c for c in children.get(at, ()) if c in parts), key=lambda c: total.get(c, 0), default=None)
-        if best is None or total.get(best, 0) <= 0.6 * total.get(at, 0):
-            return at
-        at = best
-
-
-def page_masses(page: Node) -> int:
-    """The main element of a page by itself."""
+def main_element(page: Node, template: set[int]) -> Node:
+    """The outermost <article> or <main> that holds most of the text that isn't template, or the
+    whole page."""
     all_nodes = nodes(page)
-    return main_number(
-        {n.number: [c.number for c in n.children] for n in all_nodes},
-        {n.number for n in all_nodes if n.tag in PARTS and not n.skipped},
-        {n.number: float(len(n.text())) for n in all_nodes if not n.skipped})
+    total = {}
+    for node in reversed(all_nodes):
+        own = 0 if node.skipped or id(node) in template else len(node.text())
+        total[node.number] = own + sum(total[c.number] for c in node.children)
+    at = page
+    while at.tag not in ("article", "main"):
+        best = max(at.children, key=lambda c: total[c.number], default=None)
+        if best is None or total[best.number] <= 0.6 * total[page.number]:
+            return page
+        at = best
+    return at
 
 
 def compared(reference: Node, page: Node) -> dict[int, tuple[int, int, int]]:
@@ -279,7 +271,6 @@ class Wrapper:
         """sums: reference node, pages that have it, pages with the same text, characters, more
         characters in children without a counterpart."""
         self.reference = parse(html)
-        all_nodes = nodes(self.reference)
         constant, mass = set(), {}
         for n, pages, same, chars, extra in sums:
             if pages >= TEMPLATE_PAGES and same >= TEMPLATE_SHARE * pages:
@@ -291,18 +282,11 @@ class Wrapper:
             # mostly copies of one page, which tell nothing about what is template
             constant, mass = set(), {s[0]: float(s[3] + s[4]) for s in sums}
         self.constant = constant
-        self.main = main_number(
-            {n.number: [c.number for c in n.children] for n in all_nodes},
-            {n.number for n in all_nodes if n.tag in PARTS and not n.skipped}, mass)
 
     def text(self, page: Node) -> str:
         matched = match(self.reference, page)
-        main = matched.get(self.main)
-        if main is None or not main.parts:
-            own = page_masses(page)
-            main = next(n for n in nodes(page) if n.number == own)
         template = {id(matched[n]) for n in self.constant if n in matched}
-        return "\n".join(blocks(main, template))
+        return "\n".join(blocks(main_element(page, template), template))
 
 
 def blocks(node: Node, template: set[int] = frozenset()) -> Iterator[str]:

@@ -67,3 +67,20 @@ def test_matching_is_the_largest():
     right = html.parse("<div><ul><li>a<li>b<li>c</ul><h2>t</h2><p>2</p></div>")
     assert len(html.match(left, right)) == 6  # html, div, ul, two li, p
     assert len(html.match(left, left)) == len(html.nodes(left))
+
+
+def _texts(spark, pages):
+    frame = spark.createDataFrame([(i, url, page) for i, (url, page) in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(html.main_texts(frame).collect(), key=lambda r: r.page_id)]
+
+
+def test_no_part_of_an_article_is_dropped(spark, site):
+    pages, texts = site
+    found = _texts(spark, [("http://site.example/p", p) for p in pages])
+    assert found == ["\n".join([f"Head {n}", *said]) for n, said in enumerate(texts)]
+    long = "long " * 60
+    odd = ["<article><h1>Title</h1><div class=body><p>" + long + "</div></article>",
+           "<article><section>some " + long[:100] + "</section><section>" + long + "</section></article>",
+           "<table><tr><td>one<td>" + long + "</table>"]
+    found = _texts(spark, [(f"http://h{i}/", page) for i, page in enumerate(odd)])
+    assert found == ["Title\n" + long.strip(), "some " + long[:100].strip() + "\n" + long.strip(), "one\n" + long.strip()]
