@@ -6,7 +6,8 @@ template, or it is a slot whose text varies. All slots of a page give its main t
 in its <article> or <main> if that holds most of them; elements that announce themselves as
 something else (menus, forms, ...) are left out.
 
-Only sums per host and reference node are gathered. The wrappers of hosts with a thousandth of
+Each html of a host counts once, and what may be a copy of the reference only if many different ones
+are. Only sums per host and reference node are gathered. The wrappers of hosts with a thousandth of
 all pages, a thousand hosts at most, are broadcast; so no hot host is shuffled, and pages of
 other hosts are joined to theirs.
 """
@@ -18,6 +19,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ohlcraft.llm.common import stage
@@ -28,8 +30,10 @@ REFERENCE_CHARS = 4000
 HOT_SHARE, HOT_CHARS = 0.001, 1 << 16
 #: Trees are walked recursively; elements may be nested that deep.
 DEPTH = 1_000_000
-#: A node is template if it is the same on this share of at least so many pages.
-TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 10
+#: A node is template if it is the same on this share of at least so many pages beside the reference.
+TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 9
+#: A page that shares so much of its text with the reference may be a copy of it.
+COPY_SHARE = 0.9
 
 # HTML's elements by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,7 +68,7 @@ _BLANKS = re.compile(r"\s+")
 class Node:
     """An element; ``parts`` are its texts and child elements in order."""
 
-    __slots__ = ("tag", "parts", "children", "skipped", "size", "number", "links")
+    __slots__ = ("tag", "parts", "children", "skipped", "number", "own")
 
     def __init__(self, tag: str, skipped: bool) -> None:
         self.tag, self.skipped = tag, skipped
@@ -246,47 +250,51 @@ def main_element(page: Node, template: set[int]) -> Node:
     return at
 
 
-def compared(reference: Node, page: Node) -> dict[int, tuple[int, int, int]]:
-    """By reference node that has a counterpart: 1 if the texts agree, the page's characters
-    there, and those in children without a counterpart."""
-    matched = match(reference, page)
-    counterparts = {id(node) for node in matched.values()}
-    own = {node.number: node for node in nodes(reference)}
-    found = {}
-    for n, node in matched.items():
+def compared(reference: Node, page: Node) -> tuple[list[int], list[int], float]:
+    """The reference nodes with a text (and the root) that have a counterpart, those of them
+    with the same text, and the share of the page's text in the latter."""
+    seen, same, common = [], [], 0
+    for n, node in match(reference, page).items():
         if node.skipped:
             continue
-        text, extra = node.text(), 0
-        for child in node.children:
-            if id(child) not in counterparts and not child.skipped:
-                extra += sum(len(x.text()) for x in nodes(child) if not x.skipped)
-        found[n] = int(bool(text) and text == own[n].text()), len(text), extra
-    return found
+        text = reference.own[n].text()
+        if text or not n:
+            seen.append(n)
+        if text and text == node.text():
+            same.append(n)
+            common += len(text)
+    whole = sum(len(x.text()) for x in nodes(page) if not x.skipped)
+    return seen, same, common / whole if whole else 1.0
+
+
+def indexed(html: str) -> Node:
+    """A page's tree; its root knows all nodes by number."""
+    root = parse(html)
+    root.own = {node.number: node for node in nodes(root)}
+    return root
 
 
 class Wrapper:
     """What the sums of a host say about its reference page."""
 
     def __init__(self, html: str, sums: list[tuple[int, int, int, int, int]]) -> None:
-        """sums: reference node, pages that have it, pages with the same text, characters, more
-        characters in children without a counterpart."""
-        self.reference = parse(html)
-        constant, mass = set(), {}
-        for n, pages, same, chars, extra in sums:
-            if pages >= TEMPLATE_PAGES and same >= TEMPLATE_SHARE * pages:
-                constant.add(n)
-                mass[n] = float(extra)
-            else:
-                mass[n] = float(chars + extra)
-        if sum(mass.values()) < sum(s[3] + s[4] for s in sums) / 2:
-            # mostly copies of one page, which tell nothing about what is template
-            constant, mass = set(), {s[0]: float(s[3] + s[4]) for s in sums}
-        self.constant = constant
+        """sums: reference node, pages that have it, pages with the same text, and both numbers
+        of likely copies of the reference."""
+        self.reference = indexed(html)
+        self.template = {}
+        evidence = next((s[1:] for s in sums if s[0] == 0), (0, 0, 0, 0))
+        copies = evidence[2] >= TEMPLATE_PAGES  # so many different ones aren't copies
+        for n, pages, same, more, more_same in sums:
+            if copies:
+                pages, same = pages + more, same + more_same
+            if pages >= TEMPLATE_PAGES and same and same >= TEMPLATE_SHARE * pages:
+                self.template[n] = self.reference.own[n].text()
 
     def text(self, page: Node) -> str:
         matched = match(self.reference, page)
-        template = {id(matched[n]) for n in self.constant if n in matched}
-        return "\n".join(blocks(main_element(page, template), template))
+        template = {
+            id(matched[n]) for n, text in self.template.items() if n in matched and matched[n].text() == text}
+        return "\n".join(blocks(main_element(page, template), template)) or "\n".join(blocks(main_element(page, set())))
 
 
 def blocks(node: Node, template: set[int] = frozenset()) -> Iterator[str]:
@@ -347,32 +355,53 @@ def references(pages: DataFrame) -> DataFrame:
 def induce(pages: DataFrame) -> DataFrame:
     """host, reference, hot, sums: the wrappers of rows (host, html), from all pages."""
     hosts = stage(references(pages), "references")
-    kind = "host string, node int, pages long, same long, chars long, extra long"
+    kind = "host string, digest binary, seen binary, same binary, copy boolean"
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(DEPTH)
         trees: dict[str, Node] = {}
+        done: set = set()
         for batch in batches:
-            sums: dict[str, np.ndarray] = {}
+            rows = []
             for host, html, reference in zip(*(c.to_pylist() for c in batch.columns)):
+                digest = xxhash.xxh3_128_digest(html)
+                if (host, digest) in done or html == reference:
+                    continue
+                if len(done) > 100_000:
+                    done.clear()
+                done.add((host, digest))
                 if host not in trees:
                     if len(trees) > 2000:
                         trees.clear()
-                    trees[host] = parse(reference)
-                if host not in sums:
-                    sums[host] = np.zeros((len(nodes(trees[host])), 4), np.int64)
-                for n, (same, chars, extra) in compared(trees[host], parse(html)).items():
-                    sums[host][n] += (1, same, chars, extra)
-            rows = [(host, n, *map(int, s)) for host, table in sums.items() for n, s in enumerate(table) if s[0]]
+                    trees[host] = indexed(reference)
+                seen, same, share = compared(trees[host], parse(html))
+                rows.append((host, digest, np.array(seen, "<i4").tobytes(), np.array(same, "<i4").tobytes(), share))
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([
+                pa.array(columns[0], pa.string()), *(pa.array(columns[i], pa.binary()) for i in (1, 2, 3)),
+                pa.array([share >= COPY_SHARE for share in columns[4]], pa.bool_())],
+                names=["host", "digest", "seen", "same", "copy"])
+
+    aligned = _with_hosts(pages, hosts).select("host", "html", "reference").mapInArrow(align, kind)
+    once = aligned.dropDuplicates(["host", "digest"]).drop("digest")
+    names = ["pages", "same", "copies", "copies_same"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums: dict[tuple[str, int], list[int]] = {}
+            for host, seen, same, copy in zip(*(c.to_pylist() for c in batch.columns)):
+                for at, raw in ((2 * copy, seen), (2 * copy + 1, same)):
+                    for n in np.frombuffer(raw, "<i4").tolist():
+                        sums.setdefault((host, n), [0, 0, 0, 0])[at] += 1
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int32(), *[pa.int64()] * 4))],
-                names=["host", "node", "pages", "same", "chars", "extra"])
+                pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()),
+                *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4))], names=["host", "node", *names])
 
-    rows = _with_hosts(pages, hosts).select("host", "html", "reference").mapInArrow(align, kind)
-    summed = rows.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("pages", "same", "chars", "extra")))
+    rows = once.mapInArrow(count, "host string, node int, " + ", ".join(f"{c} long" for c in names))
+    summed = rows.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in names))
     # a reference's nodes: bounded by its length
-    listed = summed.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "chars", "extra")).alias("sums"))
-    return stage(hosts.join(listed, "host"), "wrappers")
+    listed = summed.groupBy("host").agg(F.collect_list(F.struct("node", *names)).alias("sums"))
+    return stage(hosts.join(listed, "host", "left"), "wrappers")
 
 
 def main_texts(
@@ -402,7 +431,7 @@ def main_texts(
                 if host not in known:
                     if len(known) > 2000:
                         known.clear()
-                    known[host] = Wrapper(reference, [tuple(s.values()) for s in batch.column("sums")[i].as_py()])
+                    known[host] = Wrapper(reference, [tuple(s.values()) for s in batch.column("sums")[i].as_py() or ()])
                 texts.append(known[host].text(parse(html)))
             yield pa.RecordBatch.from_arrays([
                 batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

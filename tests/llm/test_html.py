@@ -84,3 +84,15 @@ def test_no_part_of_an_article_is_dropped(spark, site):
            "<table><tr><td>one<td>" + long + "</table>"]
     found = _texts(spark, [(f"http://h{i}/", page) for i, page in enumerate(odd)])
     assert found == ["Title\n" + long.strip(), "some " + long[:100].strip() + "\n" + long.strip(), "one\n" + long.strip()]
+
+
+def test_templates_are_hidden_by_their_text(spark):
+    """Larger than the articles, in plain elements; a page's own text in such a place stays."""
+    draw = random.Random(6)
+    said = [" ".join(draw.choices([f"word{i}" for i in range(500)], k=40)) for _ in range(24)]
+    menu, notes = "menu of the site " * 40, ["This note is on nearly all pages"] * 24
+    notes[7] = "A paragraph of the page's own"
+    pages = [f"<div><div>{menu}</div><div>{x}</div><p>{note}</p></div>" for x, note in zip(said, notes)]
+    # copies of one page tell nothing
+    found = _texts(spark, [("http://one/", p) for p in pages + pages[:1] * 40])
+    assert found == [x if n != 7 else f"{x}\n{notes[7]}" for n, x in enumerate(said)] + said[:1] * 40
