@@ -30,7 +30,8 @@ REFERENCE_CHARS = 4000
 HOT_SHARE, HOT_CHARS = 0.001, 1 << 16
 #: Trees are walked recursively; elements may be nested that deep.
 DEPTH = 1_000_000
-#: A node is template if it is the same on this share of at least so many pages beside the reference.
+#: A node is template if it is the same on this share of the pages beside the reference that have it:
+#: half of the host's pages or more, or so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 9
 #: A page that shares so much of its text with the reference may be a copy of it.
 COPY_SHARE = 0.9
@@ -284,10 +285,11 @@ class Wrapper:
         self.template = {}
         evidence = next((s[1:] for s in sums if s[0] == 0), (0, 0, 0, 0))
         copies = evidence[2] >= TEMPLATE_PAGES  # so many different ones aren't copies
+        least = max(1, min(TEMPLATE_PAGES, (evidence[0] + copies * evidence[2]) / 2))
         for n, pages, same, more, more_same in sums:
             if copies:
                 pages, same = pages + more, same + more_same
-            if pages >= TEMPLATE_PAGES and same and same >= TEMPLATE_SHARE * pages:
+            if pages >= least and same and same >= TEMPLATE_SHARE * pages:
                 self.template[n] = self.reference.own[n].text()
 
     def text(self, page: Node) -> str:

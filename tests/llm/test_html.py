@@ -96,3 +96,13 @@ def test_templates_are_hidden_by_their_text(spark):
     # copies of one page tell nothing
     found = _texts(spark, [("http://one/", p) for p in pages + pages[:1] * 40])
     assert found == [x if n != 7 else f"{x}\n{notes[7]}" for n, x in enumerate(said)] + said[:1] * 40
+
+
+def test_small_hosts_lose_their_templates(spark):
+    draw = random.Random(7)
+    pages, texts = [], []
+    for host in range(2, 7):
+        for _ in range(host):
+            texts.append(" ".join(draw.choices([f"word{i}" for i in range(500)], k=40)))
+            pages.append((f"http://h{host}/", f"<div>Home About</div><div><p>{texts[-1]}</p></div><p>The makers of this site</p>"))
+    assert _texts(spark, pages) == texts
