@@ -4,7 +4,8 @@ The pages of a host are aligned with one of them by simple tree matching (Yang,
 pages, a node of that reference page either holds the same text nearly everywhere, so it is
 template, or it is a slot whose text varies. All slots of a page give its main text, or those
 in its <article> or <main> if that holds most of them; elements that announce themselves as
-something else (menus, forms, ...) are left out.
+something else (menus, forms, ...) are left out. A class name announces nothing on a host where
+the elements that bear it hold most of the varying text.
 
 Each html of a host counts once, and what may be a copy of the reference only if many different ones
 are. Only sums per host and reference node are gathered. The wrappers of hosts with a thousandth of
@@ -60,19 +61,20 @@ NAMES = re.compile(
 WHOLE = re.compile(r"content|article|main|post|entry|story|body|page|wrapper|container|has|with|no")
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden(?=[\s/=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _BLANKS = re.compile(r"\s+")
 
 
 class Node:
-    """An element; ``parts`` are its texts and child elements in order."""
+    """An element; ``parts`` are its texts and child elements in order, ``names`` the words of its
+    class, id or role that announce something else than main text."""
 
-    __slots__ = ("tag", "parts", "children", "skipped", "number", "own")
+    __slots__ = ("tag", "parts", "children", "skipped", "names", "number", "own")
 
-    def __init__(self, tag: str, skipped: bool) -> None:
-        self.tag, self.skipped = tag, skipped
+    def __init__(self, tag: str, skipped: bool, names: frozenset[str] = frozenset()) -> None:
+        self.tag, self.skipped, self.names = tag, skipped, names
         self.parts: list = []
         self.children: list[Node] = []
 
@@ -84,7 +86,7 @@ class Node:
         for part in self.parts:
             if isinstance(part, str):
                 yield part
-            elif part.skipped:
+            elif part.skipped or part.names:
                 yield " "
             elif part.tag in INLINE:
                 yield from part._own() if part.tag != "br" else " "
@@ -92,20 +94,24 @@ class Node:
                 yield " "
 
 
-def _announced(tag: str, marks: str, inside: bool) -> bool:
-    """Is the element no main text by its name? Headers inside an article are."""
+def _announced(tag: str, marks: str, inside: bool) -> tuple[bool, frozenset[str]]:
+    """Is the element no main text by its tag or hidden, and the words that say so by name.
+    Headers inside an article are main text."""
     if tag in BOILERPLATE:
-        return not (tag == "header" and inside)
+        return not (tag == "header" and inside), frozenset()
     if not marks or tag in ("html", "body", "main", "article"):
-        return False
-    if _HIDDEN.search(marks):
-        return True
-    for found in _MARK.finditer(marks):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
-            words = [w for w in re.split(r"[-_:]+", name) if w]
-            if any(map(NAMES.fullmatch, words)) and not any(map(WHOLE.fullmatch, words)):
-                return True
-    return False
+        return False, frozenset()
+    words: set[str] = set()
+    for found in _ATTRIBUTE.finditer(marks):
+        key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
+            return True, frozenset()
+        if key in ("class", "id", "role"):
+            for name in value.lower().split():
+                parts = [w for w in re.split(r"[-_:]+", name) if w]
+                if not any(map(WHOLE.fullmatch, parts)):
+                    words.update(filter(NAMES.fullmatch, parts))
+    return False, frozenset(words)
 
 
 def parse(html: str) -> Node:
@@ -144,7 +150,8 @@ def parse(html: str) -> Node:
                     break
                 if tag not in INLINE and tag != "p" and not (closed and tag in ("tbody", "thead", "tfoot", "td", "th")):
                     break
-        node = Node(name, stack[-1].skipped or _announced(name, found[3], inside > 0))
+        announced, words = _announced(name, found[3], inside > 0)
+        node = Node(name, stack[-1].skipped or announced, words)
         stack[-1].parts.append(node)
         stack[-1].children.append(node)
         if name in RAW:
@@ -174,7 +181,7 @@ def _blocks(node: Node) -> Iterator[Node]:
     """Child elements that aren't inline, those inside inline ones included."""
     for child in node.parts:
         if not isinstance(child, str):
-            if child.tag in INLINE and not child.skipped:
+            if child.tag in INLINE and not child.skipped and not child.names:
                 yield from _blocks(child)
             else:
                 yield child
@@ -193,6 +200,40 @@ def _key(node: Node) -> tuple[str, bool]:
     return node.tag, node.skipped
 
 
+def name_masses(page: Node, constant: set[int]) -> dict[str, int]:
+    """By name, the text in elements that bear it, apart from nodes whose id is in ``constant``;
+    under "" all such text. No names count if an <article> or <main> outside them holds some."""
+    found: dict[str, int] = {"": 0}
+    marked = False
+    left = [(page, page.names, False)]
+    while left:
+        node, names, inside = left.pop()
+        if node.skipped:
+            continue
+        inside = inside or node.tag in ("article", "main")
+        size = 0 if id(node) in constant else len(node.text())
+        if size:
+            marked = marked or inside and not names
+            for name in ("", *names):
+                found[name] = found.get(name, 0) + size
+        left.extend((child, names | child.names, inside) for child in node.children)
+    return {"": found[""]} if marked else found
+
+
+def void_names(masses: dict[str, int]) -> set[str]:
+    """The names that hold most of the text."""
+    return {name for name, size in masses.items() if name and 2 * size > masses[""]}
+
+
+def skip_named(page: Node, void: set[str]) -> None:
+    """Skips the elements that are announced by other names, and what is in them."""
+    left = [(page, False)]
+    while left:
+        node, skipped = left.pop()
+        node.skipped = node.skipped or skipped or bool(node.names - void)
+        left.extend((child, node.skipped) for child in node.children)
+
+
 def match(left: Node, right: Node) -> dict[int, Node]:
     """Simple tree matching: the numbers of left's nodes with their counterparts in right, as many
     as possible, in order and below matched parents. Skipped subtrees match as a whole."""
@@ -251,10 +292,11 @@ def main_element(page: Node, template: set[int]) -> Node:
     return at
 
 
-def compared(reference: Node, page: Node) -> tuple[list[int], list[int], float]:
+def compared(reference: Node, page: Node) -> tuple[list[int], list[int], float, dict[str, int]]:
     """The reference nodes with a text (and the root) that have a counterpart, those of them
-    with the same text, and the share of the page's text in the latter."""
-    seen, same, common = [], [], 0
+    with the same text, the share of the page's text in the latter, and the name masses of
+    the rest."""
+    seen, same, common, constant = [], [], 0, set()
     for n, node in match(reference, page).items():
         if node.skipped:
             continue
@@ -264,8 +306,9 @@ def compared(reference: Node, page: Node) -> tuple[list[int], list[int], float]:
         if text and text == node.text():
             same.append(n)
             common += len(text)
+            constant.add(id(node))
     whole = sum(len(x.text()) for x in nodes(page) if not x.skipped)
-    return seen, same, common / whole if whole else 1.0
+    return seen, same, common / whole if whole else 1.0, name_masses(page, constant)
 
 
 def indexed(html: str) -> Node:
@@ -278,11 +321,14 @@ def indexed(html: str) -> Node:
 class Wrapper:
     """What the sums of a host say about its reference page."""
 
-    def __init__(self, html: str, sums: list[tuple[int, int, int, int, int]]) -> None:
-        """sums: reference node, pages that have it, pages with the same text, and both numbers
-        of likely copies of the reference."""
+    def __init__(self, html: str, sums: list[tuple[int, str, int, int, int, int]]) -> None:
+        """sums: reference node, "", pages that have it, pages with the same text, and both
+        numbers of likely copies of the reference; or -1, a name and its mass."""
         self.reference = indexed(html)
         self.template = {}
+        masses = {s[1]: s[2] for s in sums if s[0] < 0}
+        self.void = void_names(masses) if masses else None
+        sums = [(s[0], *s[2:]) for s in sums if s[0] >= 0]
         evidence = next((s[1:] for s in sums if s[0] == 0), (0, 0, 0, 0))
         copies = evidence[2] >= TEMPLATE_PAGES  # so many different ones aren't copies
         least = max(1, min(TEMPLATE_PAGES, (evidence[0] + copies * evidence[2]) / 2))
@@ -296,6 +342,7 @@ class Wrapper:
         matched = match(self.reference, page)
         template = {
             id(matched[n]) for n, text in self.template.items() if n in matched and matched[n].text() == text}
+        skip_named(page, void_names(name_masses(page, set())) if self.void is None else self.void)
         return "\n".join(blocks(main_element(page, template), template)) or "\n".join(blocks(main_element(page, set())))
 
 
@@ -357,7 +404,7 @@ def references(pages: DataFrame) -> DataFrame:
 def induce(pages: DataFrame) -> DataFrame:
     """host, reference, hot, sums: the wrappers of rows (host, html), from all pages."""
     hosts = stage(references(pages), "references")
-    kind = "host string, digest binary, seen binary, same binary, copy boolean"
+    kind = "host string, digest binary, seen binary, same binary, copy boolean, masses map<string, long>"
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sys.setrecursionlimit(DEPTH)
@@ -376,33 +423,37 @@ def induce(pages: DataFrame) -> DataFrame:
                     if len(trees) > 2000:
                         trees.clear()
                     trees[host] = indexed(reference)
-                seen, same, share = compared(trees[host], parse(html))
-                rows.append((host, digest, np.array(seen, "<i4").tobytes(), np.array(same, "<i4").tobytes(), share))
-            columns = list(zip(*rows)) or [()] * 5
+                seen, same, share, masses = compared(trees[host], parse(html))
+                rows.append((host, digest, np.array(seen, "<i4").tobytes(), np.array(same, "<i4").tobytes(), share, list(masses.items())))
+            columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([
                 pa.array(columns[0], pa.string()), *(pa.array(columns[i], pa.binary()) for i in (1, 2, 3)),
-                pa.array([share >= COPY_SHARE for share in columns[4]], pa.bool_())],
-                names=["host", "digest", "seen", "same", "copy"])
+                pa.array([share >= COPY_SHARE for share in columns[4]], pa.bool_()),
+                pa.array(columns[5], pa.map_(pa.string(), pa.int64()))],
+                names=["host", "digest", "seen", "same", "copy", "masses"])
 
     aligned = _with_hosts(pages, hosts).select("host", "html", "reference").mapInArrow(align, kind)
-    once = aligned.dropDuplicates(["host", "digest"]).drop("digest")
+    once = aligned.groupBy("host", "digest").agg(*(F.first(c).alias(c) for c in ("seen", "same", "copy", "masses"))).drop("digest")
     names = ["pages", "same", "copies", "copies_same"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, int], list[int]] = {}
-            for host, seen, same, copy in zip(*(c.to_pylist() for c in batch.columns)):
+            sums: dict[tuple[str, int, str], list[int]] = {}
+            for host, seen, same, copy, masses in zip(*(c.to_pylist() for c in batch.columns)):
                 for at, raw in ((2 * copy, seen), (2 * copy + 1, same)):
                     for n in np.frombuffer(raw, "<i4").tolist():
-                        sums.setdefault((host, n), [0, 0, 0, 0])[at] += 1
+                        sums.setdefault((host, n, ""), [0, 0, 0, 0])[at] += 1
+                for name, size in masses:
+                    sums.setdefault((host, -1, name), [0, 0, 0, 0])[0] += size
             yield pa.RecordBatch.from_arrays([
                 pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()),
-                *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4))], names=["host", "node", *names])
+                pa.array([k[2] for k in sums], pa.string()),
+                *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4))], names=["host", "node", "name", *names])
 
-    rows = once.mapInArrow(count, "host string, node int, " + ", ".join(f"{c} long" for c in names))
-    summed = rows.groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in names))
+    rows = once.mapInArrow(count, "host string, node int, name string, " + ", ".join(f"{c} long" for c in names))
+    summed = rows.groupBy("host", "node", "name").agg(*(F.sum(c).alias(c) for c in names))
     # a reference's nodes: bounded by its length
-    listed = summed.groupBy("host").agg(F.collect_list(F.struct("node", *names)).alias("sums"))
+    listed = summed.groupBy("host").agg(F.collect_list(F.struct("node", "name", *names)).alias("sums"))
     return stage(hosts.join(listed, "host", "left"), "wrappers")
 
 

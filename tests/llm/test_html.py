@@ -106,3 +106,16 @@ def test_small_hosts_lose_their_templates(spark):
             texts.append(" ".join(draw.choices([f"word{i}" for i in range(500)], k=40)))
             pages.append((f"http://h{host}/", f"<div>Home About</div><div><p>{texts[-1]}</p></div><p>The makers of this site</p>"))
     assert _texts(spark, pages) == texts
+
+
+def test_names_and_hidden_attributes_by_what_they_hold(spark):
+    draw = random.Random(9)
+    words = [f"word{i}" for i in range(500)]
+    said = [[" ".join(draw.choices(words, k=40)) for _ in range(5)] for _ in range(6)]
+    widget = "<div class='elementor-widget elementor-widget-text-editor'><p>{}</p></div>"
+    pages = ["<div class=menu>Home</div>" + "".join(map(widget.format, x)) + f"<div class=comments>Nice {x[0][:9]}</div>" for x in said]
+    found = _texts(spark, [("http://w/", p) for p in pages] + [("http://alone/", pages[0])])
+    assert found == ["\n".join(x) for x in said + said[:1]]
+    odd = ["<div class='overflow-hidden p-4'>text</div><p title='hidden gems'>more</p><p hidden>no</p>"
+           "<p style='display: none'>no</p><p aria-hidden=true>no</p><p data-class=menu>end</p>"]
+    assert _texts(spark, [("http://o/", p) for p in odd]) == ["text\nmore\nend"]
