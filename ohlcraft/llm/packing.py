@@ -40,7 +40,8 @@ def token_pieces(
     """Documents as pieces of token ids, an end id after each document.
 
     Columns: the id, start (ids before it), length, ids_crc32, doc_tokens (with the end id).
-    Null or empty text: the end id alone. Rows with the same or a null id are cut one by one.
+    Null or empty text: the end id alone. Special tokens in a text get their own ids. Long texts
+    are encoded whole, by themselves. Rows with the same or a null id are cut one by one.
     """
     path = tokenizer or tokens.default_path()
     kind = docs.schema[id_col].dataType
@@ -48,7 +49,7 @@ def token_pieces(
         T.StructField(name, T.LongType()) for name in ("start", "length", "ids_crc32", "doc_tokens"))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = tokens.encoder(path), np.array([END_ID], dtype="<u4").tobytes()
+        encoder, end = tokens.encoder(path, plain=False), np.array([END_ID], dtype="<u4").tobytes()
         rests = [cuts(rest, capacity) for rest in range(capacity)]
         for batch in batches:
             for a, b in tokens.slices(batch.column(1)):

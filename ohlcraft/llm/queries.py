@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import attribution, dedup, html, licences, mixing, neighbours, packing, quality, sharding, warc
+from ohlcraft.llm import attribution, bestfit, dedup, html, licences, mixing, neighbours, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
+BEST_FIT_TOKENS = 2048
 SHARDS = 24
 
 
@@ -48,6 +49,10 @@ def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op12_certified_best_fit(spark, sf_dir):
+    return bestfit.pack_documents(table(spark, sf_dir, "documents"), BEST_FIT_TOKENS)
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
@@ -59,6 +64,7 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_offset_attribution": op9_offset_attribution,
     "op10_jump_sharding": op10_jump_sharding,
+    "op12_certified_best_fit": op12_certified_best_fit,
 }
 
 SQL = {

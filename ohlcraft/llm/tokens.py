@@ -1,11 +1,15 @@
-"""Token ids of whole texts by a byte-level BPE file of the ``tokenizers`` library.
+"""Token ids of whole texts by BPE files of the ``tokenizers`` library.
 
-A text of this pre-tokenizer falls into units that are encoded alike wherever they stand: a
-word with the space or line break before it. Most units of a corpus repeat, so each worker
-keeps the ids of the units it met and encodes only new ones, many in one call. Texts that begin with or hold
+A text falls into units that are encoded alike wherever they stand: a word with the space or
+line break before it. Most units of a corpus repeat, so each worker keeps the ids of the units
+it met and encodes only new ones, many in one call. By byte-level BPE, texts that begin with or hold
 neighbouring white space, where a unit depends on another, are encoded directly.
 """
 
+import re
+import sys
+import types
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -13,6 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 #: Units a worker keeps; beyond that it forgets all and starts anew. It changes no ids.
 KEPT_UNITS = 1_000_000
 #: Units encoded in one call.
@@ -21,26 +26,64 @@ UNITS_A_CALL = 20_000
 # every character that the pre-tokenizer or Python takes for white space
 _SPACE = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _NEIGHBOURS = f"^{_SPACE}|{_SPACE}{_SPACE}"
-_encoders: dict[str, "Encoder"] = {}
+_KEPT = "ohlcraft_kept"
+
+
+def kept() -> dict:
+    """What this Python process keeps from task to task. A task may bring its own copy of this
+    module, whose globals go with it; so they are held under a module name of their own."""
+    return vars(sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)))
 
 
 def default_path() -> str:
     return public_tokenizers.path(BYTE_BPE)
 
 
-def encoder(path: str) -> "Encoder":
-    """The worker's encoder of a tokenizer file; loaded once per Python process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, plain: bool = True) -> "Encoder":
+    """The worker's encoder of a byte-level file; loaded once per Python process."""
+    key = ("bytes", path, plain)
+    if key not in kept():
+        kept()[key] = Encoder(path, plain)
+    return kept()[key]
+
+
+def word_encoder(path: str) -> "WordEncoder":
+    """The worker's encoder of a file that drops white space; loaded once per Python process."""
+    if ("words", path) not in kept():
+        kept()["words", path] = WordEncoder(path)
+    return kept()["words", path]
+
+
+def distinct_units(lists: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct strings of lists, the number of each place's string, and the lists' bounds."""
+    units = lists.flatten().dictionary_encode()
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    return units.dictionary.to_pylist(), units.indices.to_numpy(), bounds.astype(np.int64)
+
+
+def gathered(ids: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the units numbered ``at``, one after the other, and where each unit's ids
+    begin, with their end."""
+    pool = np.frombuffer(b"".join(ids), "<u4")
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.cumsum(sizes) - sizes
+    lengths = sizes[at]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    whence = np.repeat(starts[at] - ends[:-1], lengths)
+    whence += np.arange(len(whence))
+    return pool[whence], ends
 
 
 class Encoder:
-    """Strings of special tokens in a text count as ordinary text."""
+    """``plain``: strings of special tokens in a text count as ordinary text, else they get
+    their own ids."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = True) -> None:
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = plain
+        specials = [] if plain else [
+            re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._odd = "|".join([_NEIGHBOURS, *specials])
         names = [self._tokenizer.id_to_token(i) or "" for i in range(self._tokenizer.get_vocab_size())]
         # in the byte alphabet a name has a character per byte; the space and line break:
         space, newline = "Ġ", "Ċ"
@@ -82,28 +125,19 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each whole text; a null text has none."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
-        odd = pc.match_substring_regex(texts, _NEIGHBOURS)
+        odd = pc.match_substring_regex(texts, self._odd)
         # a break of ours opens each text; then every unit but those with a break follows a blank
         opened = pc.binary_join_element_wise(
             "\n", pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n"), "")
         lists = pc.split_pattern(opened, " ")
-        units = lists.flatten().dictionary_encode()
-        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-        names, at = units.dictionary.to_pylist(), units.indices.to_numpy()
+        names, at, bounds = distinct_units(lists)
         if len(self._units) > KEPT_UNITS:
             self._units = {}
         ids = list(map(self._units.get, names))
         if None in ids:
             self._learn({name for name, known in zip(names, ids) if known is None})
             ids = list(map(self._units.__getitem__, names))
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        lengths = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        whence = np.repeat(starts[at] - ends[:-1], lengths)
-        whence += np.arange(len(whence))
-        flat = pool[whence]
+        flat, ends = gathered(ids, at)
         first, last = ends[bounds[:-1]] + 1, ends[bounds[1:]]  # without the break of ours
         found = [flat[a:b] for a, b in zip(first.tolist(), last.tolist())]
         for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
@@ -111,6 +145,53 @@ class Encoder:
         return found
 
 
+class WordEncoder:
+    """Special tokens in a text get their ids, as by the library's plain call.
+
+    White space parts words and gives no ids, and no special token holds any, so a text's ids
+    are those of its blank-separated units in turn.
+    """
+
+    def __init__(self, path: str) -> None:
+        self._tokenizer = Tokenizer.from_file(path)
+        self._units: dict[str, bytes] = {}
+        self._marks = {mark: self._direct([mark])[0] for mark in ".,"}
+
+    def _direct(self, units: list[str]) -> list[bytes]:
+        found = []
+        for first in range(0, len(units), UNITS_A_CALL):
+            some = self._tokenizer.encode_batch_fast(units[first:first + UNITS_A_CALL], add_special_tokens=False)
+            found += [np.array(one.ids, dtype="<u4").tobytes() for one in some]
+        return found
+
+    def _learn(self, units: set[str]) -> None:
+        known, plain, marked = self._units, set(), []
+        for unit in units:
+            if unit[-1:] in self._marks and unit[:-1].isascii() and unit[:-1].isalpha():
+                marked.append(unit)  # the mark is parted from the letters before it
+                if unit[:-1] not in known:
+                    plain.add(unit[:-1])
+            else:
+                plain.add(unit)
+        plain = list(plain)
+        known.update(zip(plain, self._direct(plain)))
+        for unit in marked:
+            known[unit] = known[unit[:-1]] + self._marks[unit[-1]]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each whole text; a null text has none."""
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " ")
+        names, at, bounds = distinct_units(pc.split_pattern(texts, " "))
+        if len(self._units) > KEPT_UNITS:
+            self._units = {}
+        ids = list(map(self._units.get, names))
+        if None in ids:
+            self._learn({name for name, known in zip(names, ids) if known is None})
+            ids = list(map(self._units.__getitem__, names))
+        flat, ends = gathered(ids, at)
+        return [flat[a:b] for a, b in zip(ends[bounds[:-1]].tolist(), ends[bounds[1:]].tolist())]
+
+
 def slices(texts: pa.Array, size: int = 16_000_000) -> list[tuple[int, int]]:
     """Bounds of runs of texts of about so many bytes in all, a longer text by itself."""
     bounds, first, held = [], 0, 0

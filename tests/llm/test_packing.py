@@ -13,7 +13,6 @@ from tests.conftest import SF_DIR
 
 def _ids(text):
     tokenizer = Tokenizer.from_file(tokens.default_path())
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
 
 
@@ -53,7 +52,8 @@ def test_whole_table_with_little_padding(spark):
 
 @pytest.mark.parametrize("capacity", [1, 7, 64])
 def test_odd_texts_and_clashing_names(spark, capacity):
-    texts = {1: None, 2: "", 3: "  two  spaces \n", 4: "word " * 500, 5: "word " * 500, 6: "ß\n中 a"}
+    texts = {1: None, 2: "", 3: "  two  spaces \n", 4: "word " * 500, 5: "word " * 500, 6: "ß\n中 a", 7: "a <|endoftext|> b",
+             8: "<|endoftext|>", 9: "x<|endoftext|>\ny <|endoftext|>", 10: "lorem ipsum dolor " * 20_000}
     docs = spark.createDataFrame(
         [(i, t, 0, 0) for i, t in texts.items()], "doc_id long, text string, length int, sequence_id int")
     _check(packing.pack_documents(docs, capacity).collect(), texts, capacity)
