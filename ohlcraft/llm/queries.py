@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from ohlcraft.llm import attribution, bestfit, dedup, html, licences, mixing, neighbours, packing, quality, sharding, warc
+from ohlcraft.llm import alignment, attribution, bestfit, dedup, html, lexical, licences, mixing, neighbours, packing, quality, sharding, warc
 from ohlcraft.llm.common import new_folder, stage, table
 
 SEQUENCE_TOKENS = 1024
@@ -49,10 +49,19 @@ def op10_jump_sharding(spark, sf_dir):
     return sharding.jump_sharding(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_stratified_search(spark, sf_dir):
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def op12_certified_best_fit(spark, sf_dir):
     return bestfit.pack_documents(table(spark, sf_dir, "documents"), BEST_FIT_TOKENS)
 
 
+def op13_pair_alignment(spark, sf_dir):
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_subset_sum_mixing": op2_subset_sum_mixing,
@@ -64,7 +73,9 @@ QUERIES = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_offset_attribution": op9_offset_attribution,
     "op10_jump_sharding": op10_jump_sharding,
+    "op11_stratified_search": op11_stratified_search,
     "op12_certified_best_fit": op12_certified_best_fit,
+    "op13_pair_alignment": op13_pair_alignment,
 }
 
 SQL = {
@@ -102,4 +113,18 @@ crc AS (
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
 FROM crc JOIN shards USING (doc_id)""",
+    "op11_stratified_search": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+p AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf
+      FROM (SELECT doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+      FROM p, s GROUP BY term, docs),
+r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN p USING (term), s GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 10""",
 }

@@ -6,6 +6,7 @@ it met and encodes only new ones, many in one call. By byte-level BPE, texts tha
 neighbouring white space, where a unit depends on another, are encoded directly.
 """
 
+import os
 import re
 import sys
 import types
@@ -35,6 +36,12 @@ def kept() -> dict:
     return vars(sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)))
 
 
+def load(path: str) -> Tokenizer:
+    """A tokenizer that keeps to the one core of its task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(path)
+
+
 def default_path() -> str:
     return public_tokenizers.path(BYTE_BPE)
 
