@@ -10,6 +10,7 @@ import os
 import re
 import sys
 import types
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -20,9 +21,9 @@ from tokenizers import Tokenizer
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 #: Units a worker keeps; beyond that it forgets all and starts anew. It changes no ids.
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 700_000
 #: Units encoded in one call.
-UNITS_A_CALL = 20_000
+UNITS_A_CALL = 5_000
 
 # every character that the pre-tokenizer or Python takes for white space
 _SPACE = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -86,7 +87,7 @@ class Encoder:
     their own ids."""
 
     def __init__(self, path: str, plain: bool = True) -> None:
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer = load(path)
         self._tokenizer.encode_special_tokens = plain
         specials = [] if plain else [
             re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
@@ -152,6 +153,12 @@ class Encoder:
         return found
 
 
+def _stays_letters(word: str) -> bool:
+    """Whether a word is of letters alone after the tokenizer's normalization, too."""
+    return word.isalpha() and (
+        word.isascii() or unicodedata.is_normalized("NFC", word) and word.lower().isalpha())
+
+
 class WordEncoder:
     """Special tokens in a text get their ids, as by the library's plain call.
 
@@ -160,28 +167,42 @@ class WordEncoder:
     """
 
     def __init__(self, path: str) -> None:
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer = load(path)
+        size = self._tokenizer.get_vocab_size()
+        self._closes = np.array([(self._tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self._units: dict[str, bytes] = {}
         self._marks = {mark: self._direct([mark])[0] for mark in ".,"}
 
     def _direct(self, units: list[str]) -> list[bytes]:
-        found = []
-        for first in range(0, len(units), UNITS_A_CALL):
-            some = self._tokenizer.encode_batch_fast(units[first:first + UNITS_A_CALL], add_special_tokens=False)
-            found += [np.array(one.ids, dtype="<u4").tobytes() for one in some]
-        return found
+        found = self._tokenizer.encode_batch_fast(units, add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+
+    def _words(self, units: list[str]) -> list[bytes]:
+        """Ids of units of letters, each a word as a rule: encoded together and cut after the
+        tokens that end a word."""
+        joined = self._tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, dtype="<u4")
+        ends = np.flatnonzero(self._closes[ids]) + 1
+        if len(ends) != len(units):  # every unit ends a word, so one of them ends two
+            return self._direct(units)
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, units: set[str]) -> None:
-        known, plain, marked = self._units, set(), []
+        known, words, others, marked = self._units, set(), [], []
         for unit in units:
-            if unit[-1:] in self._marks and unit[:-1].isascii() and unit[:-1].isalpha():
+            if unit.isalpha():
+                words.add(unit)
+            elif unit[-1:] in self._marks and _stays_letters(unit[:-1]):
                 marked.append(unit)  # the mark is parted from the letters before it
                 if unit[:-1] not in known:
-                    plain.add(unit[:-1])
+                    words.add(unit[:-1])
             else:
-                plain.add(unit)
-        plain = list(plain)
-        known.update(zip(plain, self._direct(plain)))
+                others.append(unit)
+        for encode, some in ((self._words, list(words)), (self._direct, others)):
+            for first in range(0, len(some), UNITS_A_CALL):
+                part = some[first:first + UNITS_A_CALL]
+                known.update(zip(part, encode(part)))
         for unit in marked:
             known[unit] = known[unit[:-1]] + self._marks[unit[-1]]
 
