@@ -38,8 +38,8 @@ def _session(cpus: str) -> SparkSession:
 
 
 def _queries(bars, hits):
-    frames = [f.name for f in FAMILIES.values() if f.frame_lines]
-    recursive = [f.name for f in FAMILIES.values() if f.slice_lines and not f.by_date]
+    frames = [f.name for f in FAMILIES.values() if f.framed]
+    recursive = [f.name for f in FAMILIES.values() if not f.framed and not f.by_date]
     breadth = [f.name for f in FAMILIES.values() if f.by_date]
     return {
         "change_pct": lambda: change.change_percentage(bars),

@@ -1,8 +1,7 @@
-"""Named columns of an indicator run: expressions and frames over rows.
+"""Named columns of an indicator run: expressions over a bar and the ones before it.
 
 An indicator adds the columns it needs by name; equal ones are computed once. Columns
-built on other columns go to a later ``withColumns``. All frames share one partitioning
-and order.
+built on other columns go to a later ``withColumns``. All share one partitioning and order.
 """
 
 import re
@@ -33,30 +32,6 @@ class Columns:
     def lag(self, x: str, k: int = 1) -> str:
         return self.let(f"{x}_lag{k}", f"lag({x}, {k}) OVER ({_ORDER})")
 
-    def frame(self, function: str, x: str, n: int) -> str:
-        """Aggregate of the last ``n`` rows, null unless all of them have ``x``."""
-        over = f"OVER ({_ORDER} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-        return self.let(
-            f"{x}_{function}{n}", f"CASE WHEN count({x}) {over} = {n} THEN {function}({x}) {over} END")
-
-    def mean(self, x: str, n: int) -> str:
-        return self.frame("avg", x, n)
-
-    def total(self, x: str, n: int) -> str:
-        return self.frame("sum", x, n)
-
-    def highest(self, x: str, n: int) -> str:
-        return self.frame("max", x, n)
-
-    def lowest(self, x: str, n: int) -> str:
-        return self.frame("min", x, n)
-
-    def spread(self, x: str, n: int) -> str:
-        return self.frame("stddev_pop", x, n)
-
-    def rows(self, x: str, n: int) -> str:
-        return self.frame("collect_list", x, n)
-
     def add_to(self, bars: DataFrame) -> DataFrame:
         for step in self._steps:
             bars = bars.withColumns({name: F.expr(sql) for name, sql in step.items()})

@@ -4,14 +4,14 @@ import datetime as dt
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ohlcraft.functions import frames
 from ohlcraft.operators import history
 from ohlcraft.operators.history import WARMUP
 from ohlcraft.operators.indicators import slices
 from ohlcraft.operators.indicators.columns import Columns
-from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES, Family, line_name
+from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES, Family
 
 log = logging.getLogger(__name__)
 
@@ -32,43 +32,41 @@ def chosen_families(names: Iterable[str] | None) -> list[Family]:
 def _with_lines(
     bars: DataFrame, families: list[Family], ids: list[str], anchor: str,
 ) -> DataFrame:
-    """Columns ``ids`` and the families' lines for the rows flagged ``_emit``.
+    """Columns ``ids``, the families' lines and the bits of those that failed, for the rows
+    flagged ``_emit``.
 
-    The frame families stay Spark expressions. The slice families take one Arrow pass over
-    the same sorted partitions, so all families together cost one shuffle and one sort.
+    One Arrow pass over the sorted partitions computes all families, so together they cost one
+    shuffle and one sort.
     """
-    table, frame_lines, inputs = Columns(), {}, {}
-    column_of = {}
+    table, inputs, failed = Columns(), {}, 0
     for family in families:
-        if family.slice_lines is None:
-            for i, sql in enumerate(family.frame_lines(table)):
-                column = f"_frame_{len(frame_lines)}"
-                frame_lines[column] = sql
-                column_of[line_name(family.name, i)] = column
-        else:
+        try:
             inputs[family.name] = family.inputs(table)
-    slice_names = [name for family in inputs for name in LINE_NAMES[family]]
-    column_of |= dict(zip(slice_names, slices.slice_columns(inputs)))
-    bars = table.add_to(bars).withColumns(
-        {column: F.expr(sql).cast("double") for column, sql in frame_lines.items()})
+        except Exception:
+            log.exception("indicator family %r left out", family.name)
+            failed |= slices.family_bit(family.name)
+    column_of = dict(zip(
+        (name for family in inputs for name in LINE_NAMES[family]), slices.slice_columns(inputs)))
     order = [name for family in families for name in LINE_NAMES[family.name]]
-    if not inputs:
-        lines = bars.where(F.col("_emit"))
-    elif anchor == "bar":
-        lines = slices.lines_by_bar(
-            bars.withColumn("_position", F.row_number().over(frames.in_order())),
-            inputs, ids + list(frame_lines))
-    else:
-        lines = slices.lines_by_range(
-            bars.withColumn("_position", F.row_number().over(frames.in_order())),
-            inputs, ids + list(frame_lines))
-    return lines.select(*ids, *(F.col(column_of[name]).alias(name) for name in order))
+    bars = table.add_to(bars).withColumn("_position", F.row_number().over(frames.in_order()))
+    by_anchor = slices.lines_by_bar if anchor == "bar" else slices.lines_by_range
+    return by_anchor(bars, inputs, ids).select(
+        *ids, *((F.col(column_of[name]) if name in column_of else F.lit(None).cast("double")).alias(name)
+                for name in order),
+        F.col(slices.FAILED).bitwiseOR(F.lit(failed).cast("long")).alias(slices.FAILED))
+
+
+def failed_families(failed: Observation) -> list[str]:
+    """The families that :func:`indicators` had to leave out, once its rows have been used."""
+    bits = failed.get.get("failed") or 0
+    return [name for name in FAMILIES if bits & slices.family_bit(name)]
 
 
 def indicators(
     bars: DataFrame, names: Iterable[str] | None = None,
     start: dt.date | None = None, end: dt.date | None = None, *,
     anchor: str = "bar", keep: tuple[str, ...] = (), breadth_bars: DataFrame | None = None,
+    breadth: DataFrame | None = None, failed: Observation | None = None,
 ) -> DataFrame:
     """Wide frame: ``chart_id``, the bars' columns named in ``keep``, and one column per
     indicator line.
@@ -78,7 +76,11 @@ def indicators(
     ``anchor="range"`` starts them once, 60 bars ahead of the stock's first bar in the
     range, for the stocks that have these 60; without ``start`` at the stock's first bar.
     ``breadth_bars`` are the bars whose net advances count for the families of the whole
-    market (see ``history.market_bars``); the given ones unless said.
+    market (see ``history.market_bars``); the given ones unless said. ``breadth`` gives these
+    net advances themselves, by date.
+
+    A family that raises has empty lines, and the others go on; ``failed`` observes which ones
+    did (:func:`failed_families`).
     """
     if anchor not in ("bar", "range"):
         raise ValueError(f"anchor must be 'bar' or 'range', not {anchor!r}")
@@ -107,10 +109,18 @@ def indicators(
         sliced.withColumn("_emit", emitted), own,
         list(dict.fromkeys([*ids, *(["chart_date"] if shared else [])])), anchor)
     if shared:
-        by_date = _breadth(market, shared, start, anchor)
+        if breadth is None:
+            breadth = net_advances(market)
+        elif end is not None:
+            breadth = breadth.where(F.col("chart_date") <= end)
+        by_date = _breadth(breadth, shared, start, anchor).withColumnRenamed(slices.FAILED, "_failed_by_date")
+        bits = F.col(slices.FAILED).bitwiseOR(F.coalesce("_failed_by_date", F.lit(0).cast("long")))
         wide = wide.join(by_date, "chart_date", "left").select(
-            *ids, *(F.col(frames.quoted(name)) for f in own + shared for name in LINE_NAMES[f.name]))
-    return wide
+            *ids, *(F.col(frames.quoted(name)) for f in own + shared for name in LINE_NAMES[f.name]),
+            bits.alias(slices.FAILED))
+    if failed is not None:
+        wide = wide.observe(failed, F.bit_or(slices.FAILED).alias("failed"))
+    return wide.drop(slices.FAILED)
 
 
 def net_advances(bars: DataFrame) -> DataFrame:
@@ -122,10 +132,10 @@ def net_advances(bars: DataFrame) -> DataFrame:
 
 
 def _breadth(
-    bars: DataFrame, families: list[Family], start: dt.date | None, anchor: str,
+    net: DataFrame, families: list[Family], start: dt.date | None, anchor: str,
 ) -> DataFrame:
     # One row per calendar date: small however many stocks there are.
-    dates = history.numbered(net_advances(bars).withColumn("stock_id", F.lit(0)))
+    dates = history.numbered(net.withColumn("stock_id", F.lit(0)))
     if anchor == "range" and start is not None:
         dates = history.range_slice(dates, start)
     dates = dates.withColumn("_emit", F.col("bar_no") > WARMUP)

@@ -3,18 +3,19 @@
 Formulas are the published standard ones; every length and smoothing constant is a module
 constant or stands in the formula. A zero denominator gives null.
 
-A frame family adds the columns it needs to a :class:`Columns` and returns one SQL
-expression per line. A slice family smooths recursively: it names the columns it reads, and
-is called with their values as arrays of shape (position in the slice, slice), so one call
-computes many bars. Its recursion starts at the first bar of the slice, which ends at the
-bar the value is for; a value thus depends on that slice alone and not on how the history
-was loaded. It returns one array per line, of which the last ``keep`` positions count.
+A family names the columns it reads and is called with their values as arrays of shape (position
+in the slice, slice), so one call computes many bars. It returns one array per line, of
+which the last ``keep`` positions count. Recursions start at the first bar of the slice, which
+ends at the bar the value is for; a value thus depends on that slice alone and not on how the
+history was loaded. What looks at the last n bars is taken over views of the arrays, which hold no
+copies; a missing value among them leaves the line empty.
 """
 
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 
 from ohlcraft.operators.indicators.columns import Columns
 
@@ -79,38 +80,31 @@ def line_name(family: str, i: int) -> str:
 class Family:
     key: str
     name: str
-    frame_lines: Callable[[Columns], list[str]] | None = None
-    inputs: Callable[[Columns], list[str]] | None = None
-    slice_lines: Callable[..., list[np.ndarray]] | None = None
+    inputs: Callable[[Columns], list[str]]
+    slice_lines: Callable[..., list[np.ndarray]]
     by_date: bool = False
+    #: Whether the lines depend on nothing but the last bars, so that no recursion is needed.
+    framed: bool = False
 
 
 FAMILIES: dict[str, Family] = {}
 
 
-def _frames(key: str, name: str):
+def _slices(key: str, name: str, inputs, by_date: bool = False, framed: bool = False):
     def register(lines):
-        FAMILIES[name] = Family(key, name, frame_lines=lines)
+        FAMILIES[name] = Family(key, name, inputs, lines, by_date, framed)
         return lines
     return register
 
 
-def _slices(key: str, name: str, inputs, by_date: bool = False):
-    def register(lines):
-        FAMILIES[name] = Family(key, name, inputs=inputs, slice_lines=lines, by_date=by_date)
-        return lines
-    return register
+def _frames(key: str, name: str, inputs):
+    return _slices(key, name, inputs, framed=True)
 
 
 def _ratio(num: str, den: str) -> str:
     return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
 
 
-def _with_signal(t: Columns, name: str, sql: str, n: int = SIGNAL) -> list[str]:
-    value = t.let(name, sql)
-    return [value, t.mean(value, n)]
-
-
 # -- shared per-bar quantities --------------------------------------------------------
 
 def _change(t: Columns, x: str = "c") -> str:
@@ -146,16 +140,6 @@ def _bar_range(t: Columns) -> str:
     return t.let("bar_range", "h - l")
 
 
-def _chande(t: Columns, n: int) -> str:
-    up, down = t.total(_gain(t), n), t.total(_loss(t), n)
-    return t.let(f"chande{n}", f"100 * {_ratio(f'{up} - {down}', f'{up} + {down}')}")
-
-
-def _fast_k(t: Columns) -> str:
-    low, high = t.lowest("l", 5), t.highest("h", 5)
-    return t.let("fast_k", f"100 * {_ratio(f'c - {low}', f'{high} - {low}')}")
-
-
 # -- array steps ----------------------------------------------------------------------
 
 def _since(k: int, x: np.ndarray) -> np.ndarray:
@@ -197,6 +181,59 @@ def _trailing(x: np.ndarray, weights, keep: int) -> np.ndarray:
     return sum(w * x[n - keep - i:n - i] for i, w in enumerate(weights))
 
 
+def _last(x: np.ndarray, keep: int, back: int = 0) -> np.ndarray:
+    """The last ``keep`` positions, or those ``back`` before them."""
+    return x[len(x) - keep - back:len(x) - back]
+
+
+def _views(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    """The last n values, oldest first, at each of the last ``keep`` positions: an array of
+    shape (n, keep, slices) that shares the memory of ``x``."""
+    return np.moveaxis(sliding_window_view(x[len(x) - keep - n + 1:], n, axis=0), -1, 0)
+
+
+def _sum(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    return _views(x, n, keep).sum(axis=0)
+
+
+def _mean(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    return _views(x, n, keep).sum(axis=0) / n
+
+
+def _highest(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    return _views(x, n, keep).max(axis=0)
+
+
+def _lowest(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    return _views(x, n, keep).min(axis=0)
+
+
+def _spread(x: np.ndarray, n: int, keep: int) -> np.ndarray:
+    return _views(x, n, keep).std(axis=0)
+
+
+def _full(frame, x: np.ndarray, n: int) -> np.ndarray:
+    """A frame at all positions, empty at the first ones that have fewer values."""
+    found = np.full_like(x, np.nan)
+    found[n - 1:] = frame(x, n, len(x) - n + 1)
+    return found
+
+
+def _with_signal(value: np.ndarray, keep: int) -> list[np.ndarray]:
+    """A line of ``keep + SIGNAL - 1`` positions, and its mean."""
+    return [value, _signal(value, keep)]
+
+
+def _chande(gain: np.ndarray, loss: np.ndarray, n: int, keep: int) -> np.ndarray:
+    up, down = _sum(gain, n, keep), _sum(loss, n, keep)
+    return 100 * _quotient(up - down, up + down)
+
+
+def _fast_k(h: np.ndarray, l: np.ndarray, c: np.ndarray, keep: int) -> np.ndarray:
+    low, high = _lowest(l, 5, keep), _highest(h, 5, keep)
+    return 100 * _quotient(_last(c, keep) - low, high - low)
+
+
 def _signal(x: np.ndarray, keep: int) -> np.ndarray:
     return _trailing(x, [1.0] * SIGNAL, keep) / SIGNAL
 
@@ -210,25 +247,25 @@ def _cumulated(step: np.ndarray) -> np.ndarray:
 
 # -- price ----------------------------------------------------------------------------
 
-@_frames("moving_average", "이동평균(라인3개)")
-def _(t):
-    return [t.mean("c", n) for n in (5, 20, 60)]
+@_frames("moving_average", "이동평균(라인3개)", lambda t: ["c"])
+def _(keep, c):
+    return [_mean(c, n, keep) for n in (5, 20, 60)]
 
 
-@_frames("high_low_average", "고저이동평균")
-def _(t):
-    return [t.mean("h", 10), t.mean("l", 10)]
+@_frames("high_low_average", "고저이동평균", lambda t: ["h", "l"])
+def _(keep, h, l):
+    return [_mean(h, 10, keep), _mean(l, 10, keep)]
 
 
-@_frames("bollinger", "Bollinger Band")
-def _(t):
-    middle, width = t.mean("c", 20), t.spread("c", 20)
-    return [f"{middle} + 2 * {width}", middle, f"{middle} - 2 * {width}"]
+@_frames("bollinger", "Bollinger Band", lambda t: ["c"])
+def _(keep, c):
+    middle, width = _mean(c, 20, keep), _spread(c, 20, keep)
+    return [middle + 2 * width, middle, middle - 2 * width]
 
 
-@_frames("median_price", "중간값(Median Price)")
-def _(t):
-    return ["(h + l) / 2"]
+@_frames("median_price", "중간값(Median Price)", lambda t: ["h", "l"])
+def _(keep, h, l):
+    return [(h + l) / 2]
 
 
 @_slices("dema", "DEMA", lambda t: ["c"])
@@ -237,49 +274,44 @@ def _(keep, c):
     return [2 * once - _ema(once, 20)]
 
 
-@_frames("envelope", "Envelope")
-def _(t):
-    middle = t.mean("c", 20)
-    return [f"{middle} * 1.06D", middle, f"{middle} * 0.94D"]
+@_frames("envelope", "Envelope", lambda t: ["c"])
+def _(keep, c):
+    middle = _mean(c, 20, keep)
+    return [middle * 1.06, middle, middle * 0.94]
 
 
-@_frames("price_channel", "Price Channel")
-def _(t):
-    upper, lower = t.highest("h", 20), t.lowest("l", 20)
-    return [upper, lower, f"({upper} + {lower}) / 2"]
+@_frames("price_channel", "Price Channel", lambda t: ["h", "l"])
+def _(keep, h, l):
+    upper, lower = _highest(h, 20, keep), _lowest(l, 20, keep)
+    return [upper, lower, (upper + lower) / 2]
 
 
-@_frames("projection_bands", "Projection Bands")
-def _(t):
+@_frames("projection_bands", "Projection Bands", lambda t: ["h", "l"])
+def _(keep, h, l):
     n = 14
-    count = t.total("bar_no", n)
+    at = np.arange(n).reshape(-1, 1, 1)
 
-    def band(x: str, pick: str) -> str:
+    def projected(x: np.ndarray) -> np.ndarray:
         # least-squares slope over n consecutive rows, in whole numbers up to the division
-        weighted = t.total(t.let(f"{x}_at", f"{x} * bar_no"), n)
-        slope = t.let(
-            f"{x}_slope",
-            f"({n} * {weighted} - {count} * {t.total(x, n)}) / {n * n * (n * n - 1) // 12}D")
-        return f"{pick}(transform({t.rows(x, n)}, (y, i) -> y + ({n - 1} - i) * {slope}))"
+        views = _views(x, n, keep)
+        slope = ((2 * at - n + 1) * views).sum(axis=0) / (n * (n * n - 1) / 6)
+        return views + (n - 1 - at) * slope
 
-    return [band("h", "array_max"), band("l", "array_min")]
+    return [projected(h).max(axis=0), projected(l).min(axis=0)]
 
 
-@_frames("typical_price", "대표값(Typical Price)")
-def _(t):
-    return [f"{_price_sum(t)} / 3"]
+@_frames("typical_price", "대표값(Typical Price)", lambda t: [_price_sum(t)])
+def _(keep, price):
+    return [price / 3]
 
 
-def _vidya_inputs(t: Columns) -> list[str]:
+@_slices("vidya", "VIDYA", lambda t: ["c", _gain(t), _loss(t)])
+def _(keep, c, gain, loss):
+    n = 9
+    up, down = _full(_sum, gain, n), _full(_sum, loss, n)
     # no movement at all leaves the average where it is
-    pace = t.let(
-        "vidya_pace", f"if({t.total(_move(t), 9)} = 0, 0D, abs({_chande(t, 9)}) / 100)")
-    return ["c", pace]
-
-
-@_slices("vidya", "VIDYA", _vidya_inputs)
-def _(keep, c, pace):
-    value = _smooth(c, _since(9, pace) * (2 / 13))
+    pace = np.where(up + down == 0, 0, abs(_quotient(up - down, up + down)))
+    value = _smooth(c, _since(n, pace) * (2 / 13))
     return [value, _signal(value, keep)]
 
 
@@ -300,32 +332,34 @@ def _(keep, plus, minus, reach):
     return [100 * _quotient(p, r), 100 * _quotient(m, r), adx, (adx + earlier) / 2]
 
 
-def _aroon(t: Columns) -> tuple[str, str]:
+def _aroon(h: np.ndarray, l: np.ndarray, keep: int) -> list[np.ndarray]:
     n = 25
-    # the newest of equal extremes counts
-    top = t.highest(t.let("high_at", "struct(h AS price, bar_no AS at)"), n + 1)
-    low = t.lowest(t.let("low_at", "struct(l AS price, -bar_no AS at)"), n + 1)
-    return (f"100 * ({n} - (bar_no - {top}.at)) / {n}", f"100 * ({n} - (bar_no + {low}.at)) / {n}")
 
+    def line(x: np.ndarray, newest) -> np.ndarray:
+        # the newest of equal extremes counts
+        views = _views(x, n + 1, keep)[::-1]
+        return np.where(np.isnan(views).any(axis=0), np.nan, 100 * (n - newest(views, axis=0)) / n)
 
-@_frames("aroon", "Aroon")
-def _(t):
-    return list(_aroon(t))
+    return [line(h, np.argmax), line(l, np.argmin)]
 
 
-@_frames("aroon_oscillator", "Aroon Osillator")
-def _(t):
-    up, down = _aroon(t)
-    return [f"{up} - {down}"]
+@_frames("aroon", "Aroon", lambda t: ["h", "l"])
+def _(keep, h, l):
+    return _aroon(h, l, keep)
 
 
-@_frames("cci", "CCI")
-def _(t):
-    n, price = 20, _price_sum(t)
-    mean = t.mean(price, n)
-    spread = f"aggregate({t.rows(price, n)}, 0D, (s, y) -> s + abs(y - {mean})) / {n}"
-    return _with_signal(
-        t, "cci", f"try_divide({price} - {mean}, 0.015D * ({spread}))")
+@_frames("aroon_oscillator", "Aroon Osillator", lambda t: ["h", "l"])
+def _(keep, h, l):
+    up, down = _aroon(h, l, keep)
+    return [up - down]
+
+
+@_frames("cci", "CCI", lambda t: [_price_sum(t)])
+def _(keep, price):
+    n, keep_value = 20, keep + SIGNAL - 1
+    mean = _mean(price, n, keep_value)
+    spread = abs(_views(price, n, keep_value) - mean).sum(axis=0) / n
+    return _with_signal(_quotient(_last(price, keep_value) - mean, 0.015 * spread), keep)
 
 
 @_slices("elder_ray", "Elder-Ray", lambda t: ["h", "l", "c"])
@@ -346,19 +380,23 @@ def _(keep, c):
     return [macd, signal, macd - signal]
 
 
-@_frames("mao", "MAO")
-def _(t):
-    return _with_signal(t, "mao", f"{t.mean('c', 5)} - {t.mean('c', 20)}")
+@_frames("mao", "MAO", lambda t: ["c"])
+def _(keep, c):
+    short, long = (_mean(c, n, keep + SIGNAL - 1) for n in (5, 20))
+    return _with_signal(short - long, keep)
 
 
-@_frames("mfi", "MFI")
-def _(t):
+def _mfi_inputs(t: Columns) -> list[str]:
     price = _price_sum(t)
     change = _change(t, price)
-    up = t.let("flow_in", f"if({change} > 0, {price} * v, {change} * 0)")
-    down = t.let("flow_out", f"if({change} < 0, {price} * v, {change} * 0)")
-    gained, lost = t.total(up, 14), t.total(down, 14)
-    return _with_signal(t, "mfi", f"100 * {_ratio(gained, f'{gained} + {lost}')}")
+    return [t.let("flow_in", f"if({change} > 0, {price} * v, {change} * 0)"),
+            t.let("flow_out", f"if({change} < 0, {price} * v, {change} * 0)")]
+
+
+@_frames("mfi", "MFI", _mfi_inputs)
+def _(keep, flow_in, flow_out):
+    gained, lost = (_sum(x, 14, keep + SIGNAL - 1) for x in (flow_in, flow_out))
+    return _with_signal(100 * _quotient(gained, gained + lost), keep)
 
 
 @_slices("sonar", "SONAR", lambda t: ["c"])
@@ -383,10 +421,11 @@ def _(keep, change, move):
     return [value, _signal(value, keep)]
 
 
-@_frames("vhf", "VHF")
-def _(t):
-    reach = f"{t.highest('c', 28)} - {t.lowest('c', 28)}"
-    return _with_signal(t, "vhf", _ratio(reach, t.total(_move(t), 28)))
+@_frames("vhf", "VHF", lambda t: ["c", _move(t)])
+def _(keep, c, move):
+    n, keep_value = 28, keep + SIGNAL - 1
+    reach = _highest(c, n, keep_value) - _lowest(c, n, keep_value)
+    return _with_signal(_quotient(reach, _sum(move, n, keep_value)), keep)
 
 
 # -- volatility -----------------------------------------------------------------------
@@ -404,20 +443,15 @@ def _(keep, reach):
     return [100 * _quotient(average - earlier, earlier)]
 
 
-def _rvi_inputs(t: Columns) -> list[str]:
-    spread, d = t.spread("c", 10), _change(t)
-    return [t.let("spread_up", f"if({d} > 0, {spread}, 0D)"),
-            t.let("spread_down", f"if({d} < 0, {spread}, 0D)")]
-
-
-def _relative_volatility(up: np.ndarray, down: np.ndarray) -> np.ndarray:
-    up, down = (_wilder(_since(9, x), 14) for x in (up, down))
+def _relative_volatility(c: np.ndarray, change: np.ndarray) -> np.ndarray:
+    spread = _full(_spread, c, 10)
+    up, down = (_wilder(_since(9, np.where(moved, spread, 0)), 14) for moved in (change > 0, change < 0))
     return 100 * _quotient(up, up + down)
 
 
-@_slices("rvi", "Relative Volatility Index", _rvi_inputs)
-def _(keep, up, down):
-    value = _relative_volatility(up, down)
+@_slices("rvi", "Relative Volatility Index", lambda t: ["c", _change(t)])
+def _(keep, c, change):
+    value = _relative_volatility(c, change)
     return [value, _signal(value, keep)]
 
 
@@ -428,30 +462,33 @@ def _end_point_weights(n: int) -> list[float]:
     return [1 / n + (middle - i) * middle / squares for i in range(n)]
 
 
-@_slices("inertia", "Inertia", _rvi_inputs)
-def _(keep, up, down):
+@_slices("inertia", "Inertia", lambda t: ["c", _change(t)])
+def _(keep, c, change):
     value = _trailing(
-        _relative_volatility(up, down), _end_point_weights(20), keep + SIGNAL - 1)
+        _relative_volatility(c, change), _end_point_weights(20), keep + SIGNAL - 1)
     return [value, _signal(value, keep)]
 
 
 # -- momentum -------------------------------------------------------------------------
 
-@_frames("disparity", "이격도")
-def _(t):
-    return [f"100 * {_ratio('c', t.mean('c', n))}" for n in (5, 10, 20, 60)]
+@_frames("disparity", "이격도", lambda t: ["c"])
+def _(keep, c):
+    return [100 * _quotient(_last(c, keep), _mean(c, n, keep)) for n in (5, 10, 20, 60)]
 
 
-@_frames("ease_of_movement", "Ease of Movement")
-def _(t):
+def _ease_inputs(t: Columns) -> list[str]:
     middle = _change(t, t.let("high_plus_low", "h + l"))
-    step = t.let("ease", _ratio(f"{middle} * (h - l)", "2 * v"))
-    return _with_signal(t, "ease_mean", t.mean(step, 14))
+    return [t.let("ease", _ratio(f"{middle} * (h - l)", "2 * v"))]
+
 
+@_frames("ease_of_movement", "Ease of Movement", _ease_inputs)
+def _(keep, ease):
+    return _with_signal(_mean(ease, 14, keep + SIGNAL - 1), keep)
 
-@_frames("cmo", "Chande Momentum Oscillator")
-def _(t):
-    return [_chande(t, 14)]
+
+@_frames("cmo", "Chande Momentum Oscillator", lambda t: [_gain(t), _loss(t)])
+def _(keep, gain, loss):
+    return [_chande(gain, loss, 14, keep)]
 
 
 @_slices("mass_index", "Mass Index", lambda t: [_bar_range(t)])
@@ -461,9 +498,10 @@ def _(keep, reach):
     return [value, _signal(value, keep)]
 
 
-@_frames("momentum", "Momentum")
-def _(t):
-    return _with_signal(t, "momentum", f"100 * {_ratio('c', t.lag('c', 10))}")
+@_frames("momentum", "Momentum", lambda t: ["c"])
+def _(keep, c):
+    keep_value = keep + SIGNAL - 1
+    return _with_signal(100 * _quotient(_last(c, keep_value), _last(c, keep_value, 10)), keep)
 
 
 def _nvi_inputs(t: Columns) -> list[str]:
@@ -486,45 +524,49 @@ def _(keep, gain, loss):
     return [value, _signal(value, keep)]
 
 
-def _smi_inputs(t: Columns) -> list[str]:
-    high, low = t.highest("h", 10), t.lowest("l", 10)
-    return [t.let("smi_offset", f"c - ({high} + {low}) / 2"),
-            t.let("smi_reach", f"{high} - {low}")]
-
-
-@_slices("smi", "SMI", _smi_inputs)
-def _(keep, offset, reach):
-    num, den = (_ema(_ema(_since(9, x), 3), 3) for x in (offset, reach))
+@_slices("smi", "SMI", lambda t: ["h", "l", "c"])
+def _(keep, h, l, c):
+    high, low = _full(_highest, h, 10), _full(_lowest, l, 10)
+    num, den = (_ema(_ema(_since(9, x), 3), 3) for x in (c - (high + low) / 2, high - low))
     value = 100 * _quotient(num, den / 2)
     return [value, _ema(value, 3)]
 
 
-@_frames("stochastic_fast", "Stochastic Fast")
-def _(t):
-    return [_fast_k(t), t.mean(_fast_k(t), 3)]
+@_frames("stochastic_fast", "Stochastic Fast", lambda t: ["h", "l", "c"])
+def _(keep, h, l, c):
+    value = _fast_k(h, l, c, keep + 2)
+    return [value, _mean(value, 3, keep)]
 
 
-@_frames("stochastic_slow", "Stochastic Slow")
-def _(t):
-    slow = t.mean(_fast_k(t), 3)
-    return [slow, t.mean(slow, 3)]
+@_frames("stochastic_slow", "Stochastic Slow", lambda t: ["h", "l", "c"])
+def _(keep, h, l, c):
+    slow = _mean(_fast_k(h, l, c, keep + 4), 3, keep + 2)
+    return [slow, _mean(slow, 3, keep)]
 
 
-@_frames("ultimate", "Ultimate Oscillator")
-def _(t):
+def _ultimate_inputs(t: Columns) -> list[str]:
     pressure = t.let("pressure", f"if({t.lag('c')} IS NULL, NULL, c - least(l, {t.lag('c')}))")
-    share = [_ratio(t.total(pressure, n), t.total(_true_range(t), n)) for n in (7, 14, 28)]
-    return _with_signal(
-        t, "ultimate", f"100 * (4 * {share[0]} + 2 * {share[1]} + {share[2]}) / 7")
+    return [pressure, _true_range(t)]
+
+
+@_frames("ultimate", "Ultimate Oscillator", _ultimate_inputs)
+def _(keep, pressure, reach):
+    keep_value = keep + SIGNAL - 1
+    week, two, four = (
+        _quotient(_sum(pressure, n, keep_value), _sum(reach, n, keep_value)) for n in (7, 14, 28))
+    return _with_signal(100 * (4 * week + 2 * two + four) / 7, keep)
 
 
 # -- volume ---------------------------------------------------------------------------
 
-@_frames("chaikin_money_flow", "Chaikin's Money Flow")
-def _(t):
+def _money_flow_inputs(t: Columns) -> list[str]:
     # a bar without a range moves no money either way
-    flow = t.let("money_flow", "if(h = l, 0D, (2 * c - l - h) * v / (h - l))")
-    return [_ratio(t.total(flow, 21), t.total("v", 21))]
+    return [t.let("money_flow", "if(h = l, 0D, (2 * c - l - h) * v / (h - l))"), "v"]
+
+
+@_frames("chaikin_money_flow", "Chaikin's Money Flow", _money_flow_inputs)
+def _(keep, flow, v):
+    return [_quotient(_sum(flow, 21, keep), _sum(v, 21, keep))]
 
 
 def _williams_inputs(t: Columns) -> list[str]:
@@ -541,10 +583,10 @@ def _(keep, step):
     return [value, _signal(value, keep)]
 
 
-@_frames("volume_oscillator", "Volume Oscillator")
-def _(t):
-    short, long = t.mean("v", 5), t.mean("v", 10)
-    return _with_signal(t, "volume_oscillator", f"100 * {_ratio(f'{short} - {long}', long)}")
+@_frames("volume_oscillator", "Volume Oscillator", lambda t: ["v"])
+def _(keep, v):
+    short, long = (_mean(v, n, keep + SIGNAL - 1) for n in (5, 10))
+    return _with_signal(100 * _quotient(short - long, long), keep)
 
 
 # -- breadth: over dates, ``net`` is advancing minus declining stocks of a date --------

@@ -1,10 +1,11 @@
-"""Slice families on sorted bars: Arrow batches in, one array call per family and chunk.
+"""Indicator families on sorted bars: Arrow batches in, one array call per family and chunk.
 
 Only the 60 rows before a batch are held over to the next one, so memory does not depend
 on how many bars a stock has.
 """
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,21 @@ cloudpickle.register_pickle_by_value(ohlcraft)
 
 CHUNK = 2048
 _EMIT, _POSITION, _DATE = "_emit", "_position", "chart_date"
+#: A bit for each family that raised on a row's batch; its lines are empty there.
+FAILED = "_failed"
+
+
+@dataclass(frozen=True)
+class Call:
+    """A family's lines: the function, its inputs, how many lines it gives, its bit if it fails."""
+    lines: Callable
+    inputs: list[str]
+    count: int
+    bit: int
+
+
+def family_bit(name: str) -> int:
+    return 1 << list(FAMILIES).index(name)
 
 
 def _values(table: pa.Table, name: str) -> np.ndarray:
@@ -31,28 +47,38 @@ def _finite(values: np.ndarray) -> pa.Array:
     return pa.array(values, from_pandas=True)
 
 
-def _call(lines: Callable, arrays: list[np.ndarray], keep: int) -> list[np.ndarray]:
-    with np.errstate(invalid="ignore"):
-        return [line[-keep:] for line in lines(keep, *arrays)]
+def _call(call: Call, arrays: list[np.ndarray], keep: int) -> tuple[list[np.ndarray], int]:
+    """The lines and 0, or empty lines and the family's bit: one that fails leaves the others be."""
+    try:
+        with np.errstate(invalid="ignore"):
+            found = [line[-keep:] for line in call.lines(keep, *arrays)]
+        if len(found) != call.count:
+            raise ValueError(f"{len(found)} lines instead of {call.count}")
+        return found, 0
+    except Exception:
+        return [np.full((keep, arrays[0].shape[1]), np.nan)] * call.count, call.bit
 
 
-def _bar_slices(calls: list[tuple[Callable, list[str]]]) -> Callable:
-    """Per batch: a slice of 61 rows for every bar to emit."""
+def _bar_slices(calls: list[Call]) -> Callable:
+    """Per batch: a slice of 61 rows for every bar to emit; the lines and the bits of what failed."""
     back = np.arange(-WARMUP, 1)[:, None]
 
-    def lines(table: pa.Table, ends: np.ndarray) -> list[np.ndarray]:
+    def lines(table: pa.Table, ends: np.ndarray) -> tuple[list[np.ndarray], int]:
         position = table[_POSITION].to_numpy()
         if not (position[ends - WARMUP] == position[ends] - WARMUP).all():
             raise ValueError("bars are not sorted by stock, part and date")
-        columns = {name: _values(table, name) for _, names in calls for name in names}
-        parts = []
+        columns = {name: _values(table, name) for call in calls for name in call.inputs}
+        parts, failed = [], 0
         for at in range(0, len(ends), CHUNK):
             rows = ends[at:at + CHUNK] + back
             gathered = {name: values[rows] for name, values in columns.items()}
-            parts.append([
-                line[0] for call, names in calls
-                for line in _call(call, [gathered[name] for name in names], 1)])
-        return [np.concatenate(line) for line in zip(*parts)]
+            part = []
+            for call in calls:
+                found, bit = _call(call, [gathered[name] for name in call.inputs], 1)
+                part += [line[0] for line in found]
+                failed |= bit
+            parts.append(part)
+        return [np.concatenate(line) for line in zip(*parts)], failed
 
     return lines
 
@@ -72,17 +98,18 @@ def _prepared(bars: DataFrame, inputs: dict[str, list[str]], carry_on: list[str]
         *(F.col(name).cast("double").alias(f"_in_{name}") for name in needed))
     schema = T.StructType(
         [source.schema[name] for name in carry_on]
-        + [T.StructField(name, T.DoubleType()) for name in slice_columns(inputs)])
-    calls = [(FAMILIES[family].slice_lines, [f"_in_{n}" for n in names])
-             for family, names in inputs.items()]
+        + [T.StructField(name, T.DoubleType()) for name in slice_columns(inputs)]
+        + [T.StructField(FAILED, T.LongType())])
+    calls = [Call(FAMILIES[family].slice_lines, [f"_in_{n}" for n in names], len(LINE_NAMES[family]),
+                  family_bit(family)) for family, names in inputs.items()]
     return source, calls, schema
 
 
-def _with_lines(table, carry_on, rows, names, lines) -> pa.Table:
+def _with_lines(table, carry_on, rows, names, lines, failed) -> pa.Table:
     out = table.select(carry_on).take(pa.array(rows))
     for name, values in zip(names, lines):
         out = out.append_column(name, _finite(values))
-    return out.combine_chunks()
+    return out.append_column(FAILED, pa.array(np.full(len(rows), failed, np.int64))).combine_chunks()
 
 
 def lines_by_bar(
@@ -110,7 +137,7 @@ def lines_by_bar(
             emit[:seen] = False
             ends = np.flatnonzero(emit)
             if len(ends):
-                out = _with_lines(table, carry_on, ends, names, lines_of(table, ends))
+                out = _with_lines(table, carry_on, ends, names, *lines_of(table, ends))
                 yield from out.to_batches()
             held = table.slice(max(0, table.num_rows - WARMUP)).combine_chunks()
 
@@ -146,7 +173,7 @@ def lines_by_range(
         emit = np.flatnonzero(table[_EMIT].to_numpy() & (position > WARMUP))
         if not len(emit):
             return
-        lines = [np.full(len(emit), np.nan) for _ in names]
+        lines, failed = [np.full(len(emit), np.nan) for _ in names], 0
         lengths = np.diff([*starts, table.num_rows])
         for alike in _alike(lengths):
             place = np.full(len(starts), -1)
@@ -163,11 +190,14 @@ def lines_by_range(
 
             at = (position[emit[mine]] - 1 - WARMUP, place[of[emit[mine]]])
             keep = len(steps) - WARMUP
-            found = (line for call, columns in calls
-                     for line in _call(call, [side_by_side(c) for c in columns], keep))
+            found = []
+            for call in calls:
+                own, bit = _call(call, [side_by_side(c) for c in call.inputs], keep)
+                found += own
+                failed |= bit
             for line, values in zip(lines, found):
                 line[mine] = values[at]
-        yield from _with_lines(table, carry_on, emit, names, lines).to_batches()
+        yield from _with_lines(table, carry_on, emit, names, lines, failed).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
