@@ -6,14 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks import indicator_sql
+from checks import daily_queries, indicator_sql
 from checks import pattern_sql as ps
 from checks import table_sql as ts
-from ohlcraft import schema
 from ohlcraft.functions import scalar
 from ohlcraft.operators import change, detect, history, lookup, merge, reshape
 from ohlcraft.operators.indicators.compute import indicators
-from ohlcraft.operators.indicators.families import FAMILIES
+from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES
 from ohlcraft.operators.patterns import PATTERNS
 from ohlcraft.sources import bars as bar_source
 from ohlcraft.sources import derived, symbols
@@ -332,40 +331,44 @@ _register(
     f"""{ps.WITH_BARS}, {ps.facts()}, {ts.HITS}
 SELECT chart_id, pattern_id FROM hits WHERE pattern_id >= 40""")
 
-_LINES = [(1, "단기 이동평균"), (2, "중기 이동평균")]
+_LINE_IDS = {line: i for i, line in enumerate((line for name in FAMILIES for line in LINE_NAMES[name]), 1)}
 
 
 def _new_indicators(spark, sf_dir):
-    """Values of two known lines and an unknown one, those below 3000 being there already."""
-    lines = spark.createDataFrame(_LINES, schema.INDICATOR_LINES)
-    values = lookup.with_line_ids(_long(spark, sf_dir, ["moving_average"]), lines)
-    return merge.new_rows(
-        values.where("daily_indicator_value < 3000"), values, ["indicator_line_id", "chart_id"])
+    """Values of all lines; the lines of a chart with a value below 3000 are there already."""
+    wide = indicators(derived.bars(spark, sf_dir))
+    wide = _rounded(wide, *_LINE_IDS)
+    lines = spark.createDataFrame(list(_LINE_IDS.items()), "indicator_line_name string, indicator_line_id int")
+    known = reshape.indicators_long(wide).where("daily_indicator_value < 3000").join(
+        F.broadcast(lines), "indicator_line_name")
+    stored = merge.stored_lines(known, _LINE_IDS.values())
+    return merge.melted(merge.new_line_values(stored, wide, _LINE_IDS), wide, _LINE_IDS)
 
 
 _register(
     "insert_ignore_indicators", _new_indicators,
     f"""SELECT chart_id, indicator_line_id, daily_indicator_value
-FROM ({ts.long_of(['moving_average'])})
-JOIN (VALUES (1, '단기 이동평균'), (2, '중기 이동평균')) AS l(indicator_line_id, indicator_line_name)
+FROM ({ts.long_of([family.key for family in FAMILIES.values()])})
+JOIN (VALUES {", ".join(f"({i}, '{line.replace(chr(39), chr(39) * 2)}')" for line, i in _LINE_IDS.items())})
+  AS l(indicator_line_id, indicator_line_name)
 USING (indicator_line_name) WHERE daily_indicator_value >= 3000""")
 
 
 def _upserted_caps(spark, sf_dir):
     stocks = derived.stocks(spark, sf_dir)
     known = stocks.where("sector_id < 10").select("stock_id", F.lit(0).cast("long").alias("cap"))
-    caps = _caps_twice(spark, sf_dir).where("cap > 100000")
-    mapped = lookup.market_caps_by_stock(caps, stocks, "at")
+    known = known.unionByName(known.withColumn("stock_id", -F.col("stock_id")))  # not in the batch
+    mapped = lookup.market_caps_by_stock(_caps_twice(spark, sf_dir), stocks, "at")
     return merge.upserted(known, mapped.select("stock_id", "cap", "at"), ["stock_id"], "at")
 
 
 _register(
     "upsert_market_cap", _upserted_caps,
     f"""{ts.ctes('caps', 'stocks')},
-c AS (SELECT stock_id, cap + cap // 10 AS cap FROM caps JOIN stocks ON symbol = 'A' || ticker
-      WHERE cap + cap // 10 > 100000)
+c AS (SELECT stock_id, cap + cap // 10 AS cap FROM caps JOIN stocks ON symbol = 'A' || ticker)
 SELECT stock_id, cap FROM c UNION ALL
-SELECT stock_id, 0 FROM stocks WHERE sector_id < 10 AND stock_id NOT IN (SELECT stock_id FROM c)""")
+SELECT x, 0 FROM (SELECT unnest([stock_id, -stock_id]) AS x FROM stocks WHERE sector_id < 10)
+WHERE x NOT IN (SELECT stock_id FROM c)""")
 _register(
     "new_sectors",
     lambda spark, sf_dir: merge.new_sectors(
@@ -411,3 +414,9 @@ _register(
     "breadth_in_range", _breadth_in_range,
     f"""SELECT x.* FROM ({ts.long_of(["ad_line", "mcclellan"])}) x
 JOIN ({ps.BARS}) b USING (chart_id) WHERE b.chart_date BETWEEN DATE '{START}' AND DATE '{END}'""")
+
+
+# -- what the loads and the daily run store -----------------------------------------------
+
+for _name, (_run, _sql) in daily_queries.QUERIES.items():
+    _register(_name, _run, _sql)

@@ -105,3 +105,44 @@ def market_bars(
         earlier.select("stock_id").distinct(), "stock_id", "left_anti")
     earlier = earlier.unionByName(old.join(without, "stock_id", "left_semi"))
     return recent.unionByName(prior_bars(earlier, first or start, 1).drop("rank"))
+
+
+def calendar(added: DataFrame) -> DataFrame:
+    """Per stock and month its bars, their first and last date and the last close, from the
+    rows that loads have added."""
+    return added.groupBy("stock_id", "chart_month").agg(
+        F.sum("bars").alias("bars"), F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"), F.max_by("last_close", "last_date").alias("last_close"))
+
+
+def month_calendar(charts: DataFrame) -> DataFrame:
+    """The calendar of some charts, see :func:`calendar`."""
+    return charts.groupBy("stock_id", F.trunc("chart_date", "month").alias("chart_month")).agg(
+        F.count(F.lit(1)).alias("bars"), F.min("chart_date").alias("first_date"),
+        F.max("chart_date").alias("last_date"), F.max_by("chart_close", "chart_date").alias("last_close"))
+
+
+def reach(months: DataFrame, start: dt.date, end: dt.date, n: int = WARMUP) -> DataFrame:
+    """The months (stock_id, chart_month) that hold the range and the last ``n`` bars before it of
+    the stocks with charts in it.
+
+    ``months`` is a calendar: a row per stock and month, however many bars there are. Of a
+    month that the range begins in, bars before it are not counted.
+    """
+    first = start.replace(day=1)
+    newest_first = Window.partitionBy("stock_id").orderBy(F.desc("chart_month"))
+    earlier = F.when(F.col("last_date") < start, F.col("bars")).otherwise(0)
+    inside = (F.col("last_date") >= start) & (F.col("first_date") <= end)
+    return (
+        months.where((F.col("chart_month") <= end))
+        .withColumns({
+            "_newer": F.coalesce(F.sum(earlier).over(newest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_inside": F.max(inside).over(Window.partitionBy("stock_id"))})
+        .where(F.col("_inside") & ((F.col("chart_month") >= first) | (F.col("_newer") < n)))
+        .select("stock_id", "chart_month"))
+
+
+def previous_closes(months: DataFrame, before: dt.date) -> DataFrame:
+    """Each stock's last bar (stock_id, chart_date, chart_close) of the months before a date's."""
+    return months.where(F.col("chart_month") < before.replace(day=1)).groupBy("stock_id").agg(
+        F.max("last_date").alias("chart_date"), F.max_by("last_close", "last_date").alias("chart_close"))

@@ -1,7 +1,12 @@
 """What a load adds to or changes in a table, as DataFrames."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import add
 
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ohlcraft.functions import scalar
+from ohlcraft.functions.frames import quoted
 
 NUMBERING_BUCKETS = 1024
 
@@ -18,6 +23,10 @@ def one_per_key(
     others = [c for c in rows.columns if c not in keys]
     if not others:
         return rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    if len(others) == 1:
+        picked = F.max(others[0]) if last else F.min(others[0])
+        return rows.groupBy(*keys).agg(picked.alias(others[0]), F.count("*").alias("_rows")).select(
+            *rows.columns, "_rows")
     first = [order_by] if order_by else []
     ranked = F.struct(*first, *(c for c in others if c not in first))
     picked = rows.groupBy(*keys).agg(
@@ -119,3 +128,113 @@ def new_stocks(existing: DataFrame, listed: DataFrame) -> DataFrame:
         listed.select("ticker", "stock_name", "sector_name").distinct()
         .join(existing.select("stock_name"), "stock_name", "left_anti")
         .select("ticker", "stock_name", "sector_name"))
+
+
+def new_charts(known: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Incoming charts with ``_new``, true for one row per stock and date that is not known;
+    these have the change from the stock's previous bar, known or new, and its direction.
+
+    ``known`` holds (stock_id, chart_date, chart_close) of the range and of each stock's last
+    bar before it. One shuffle and one sort by stock do it all: a known row comes before incoming
+    ones of its date, and of these the smallest counts, so that a task run again picks
+    the same. Rows without stock or date are not new, and are spread over the tasks.
+    """
+    others = [c for c in incoming.columns if c not in ("stock_id", "chart_date", "chart_change_percentage")]
+    given = incoming.select("stock_id", "chart_date", *others).withColumn("_known", F.lit(False))
+    both = given.unionByName(
+        known.select("stock_id", "chart_date", "chart_close").withColumn("_known", F.lit(True)),
+        allowMissingColumns=True)
+    nameless = F.col("stock_id").isNull() | F.col("chart_date").isNull()
+    both = both.withColumn("_spread", F.when(nameless, F.pmod(F.xxhash64(*others), F.lit(NUMBERING_BUCKETS))).otherwise(0))
+    history = Window.partitionBy("stock_id", "_spread").orderBy("chart_date", F.desc("_known"), *others)
+    both = both.withColumn("_first", ~F.col("chart_date").eqNullSafe(F.lag("chart_date").over(history)))
+    earlier = history.rowsBetween(Window.unboundedPreceding, -1)
+    # in a struct, as a null close is a previous one, too
+    close = F.last(F.when(F.col("_first"), F.struct("chart_close")), ignorenulls=True).over(earlier)
+    both = both.withColumns({
+        "_new": F.col("_first") & ~F.col("_known") & ~nameless, "_previous": close["chart_close"]})
+    previous = F.col("_previous").cast("double")
+    change = F.try_divide(F.col("chart_close").cast("double") - previous, previous) * 100
+    return (
+        both.where(~F.col("_known"))
+        .select(
+            "stock_id", "chart_date", *others,
+            F.when(F.col("_previous") != 0, change).alias("chart_change_percentage"),
+            direction(F.col("chart_close"), F.col("_previous")).alias("chart_direction"), "_new",
+            F.lit(1).cast("long").alias("_rows")))
+
+
+def direction(close: Column, previous: Column) -> Column:
+    """1, 0 or -1 as the close rose, stayed or fell; 0 without a previous one."""
+    return F.coalesce(F.signum(close.cast("double") - previous.cast("double")), F.lit(0)).cast("int")
+
+
+# -- lines stored per chart, as bits ---------------------------------------------------
+
+def word_count(line_ids) -> int:
+    return max(line_ids, default=0) // 64 + 1
+
+
+def stored_lines(values: DataFrame, line_ids, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per chart the ids of its lines with a value, as bits: ``chart_id``, the columns of
+    ``keep``, ``words``."""
+    line = F.col("indicator_line_id")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (line % 64).cast("int"))
+    words = [F.bit_or(F.when(F.floor(line / 64) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"_word{w}")
+             for w in range(word_count(line_ids))]
+    return values.groupBy("chart_id", *keep).agg(*words).select(
+        "chart_id", *keep, F.array(*(f"_word{w}" for w in range(len(words)))).alias("words"))
+
+
+def joined_lines(stored: DataFrame, line_ids) -> DataFrame:
+    """Per chart the lines of all its loads."""
+    words = [F.bit_or(F.coalesce(F.get("words", F.lit(w)), F.lit(0).cast("long"))).alias(f"_word{w}")
+             for w in range(word_count(line_ids))]
+    return stored.groupBy("chart_id").agg(*words).select(
+        "chart_id", F.array(*(f"_word{w}" for w in range(len(words)))).alias("_words"))
+
+
+def new_line_values(
+    stored: DataFrame, wide: DataFrame, line_ids: dict[str, int], keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Charts with the values of the lines that are not stored for them yet, before the melt:
+    ``chart_id``, the columns of ``keep``, ``_values`` (by line in the order of
+    ``line_ids``, null unless new), ``_rows`` (all values) and ``_inserted`` (the new ones).
+
+    ``wide`` has a row per chart; its other columns are lines. Lines without an id are not
+    new. Nothing is shuffled or sorted by line or value.
+    """
+    kinds = dict(wide.dtypes)
+
+    def number(name: str) -> Column:
+        value = F.col(quoted(name))
+        return F.nullif(value, F.lit(float("nan"))) if kinds[name] == "double" else scalar.number_or_null(value)
+
+    def some(columns: list[Column]) -> Column:
+        return reduce(add, (F.when(c.isNotNull(), 1).otherwise(0) for c in columns), F.lit(0)).cast("long")
+
+    def unstored(name: str) -> Column:
+        word = F.coalesce(F.get("_words", F.lit(line_ids[name] // 64)), F.lit(0).cast("long"))
+        return F.shiftrightunsigned(word, line_ids[name] % 64).bitwiseAND(F.lit(1).cast("long")) == 0
+
+    names = [c for c in wide.columns if c not in ("chart_id", *keep)]
+    told = [name for name in line_ids if name in names]
+    ids = ["chart_id", *keep]
+    numbers = wide.select(*ids, *(number(c).alias(f"_line{i}") for i, c in enumerate(names)))
+    at = {name: F.col(f"_line{i}") for i, name in enumerate(names)}
+    fresh = numbers.join(joined_lines(stored, line_ids.values()), "chart_id", "left").select(
+        *ids, some(list(at.values())).alias("_rows"),
+        *(F.when(unstored(name), at[name]).alias(f"_new{i}") for i, name in enumerate(told)))
+    values = [F.col(f"_new{i}") for i in range(len(told))]
+    return fresh.select(
+        *ids, F.array(*values).cast("array<double>").alias("_values"), "_rows", some(values).alias("_inserted"))
+
+
+def melted(new: DataFrame, wide: DataFrame, line_ids: dict[str, int], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The new values of :func:`new_line_values`, a row each."""
+    told = [i for name, i in line_ids.items() if name in wide.columns and name not in ("chart_id", *keep)]
+    ids = F.array(*(F.lit(i).cast("int") for i in told))
+    return (
+        new.select("chart_id", *keep, F.posexplode("_values").alias("_line", "daily_indicator_value"))
+        .where(F.col("daily_indicator_value").isNotNull())
+        .select("chart_id", ids[F.col("_line")].alias("indicator_line_id"), "daily_indicator_value", *keep))

@@ -36,3 +36,15 @@ DAILY_INDICATORS = _schema(
     chart_id=LONG, indicator_line_id=INT, daily_indicator_value=DOUBLE)
 
 LATEST_DATE = _schema(latest_date_name=STRING, latest_date=DATE)
+
+# What loads keep beside the eight tables, to read and compare less later.
+
+#: Per load: bars of a stock in a month, their first and last date, and the close of the last.
+CHART_CALENDAR = _schema(
+    stock_id=LONG, chart_month=DATE, bars=LONG, first_date=DATE, last_date=DATE, last_close=LONG)
+
+#: Per load: what a date's advancing less declining stocks have changed by.
+NET_ADVANCES = _schema(chart_date=DATE, net=LONG)
+
+#: Per load: the lines of a chart that have a value, as bits of 64 ids a word.
+STORED_LINES = _schema(chart_id=LONG, words=T.ArrayType(LONG))

@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from checks import catalogue
+from checks import catalogue, daily_queries
 from tests.conftest import SF_DIR
 
 SOME = ["patterns_slice", "ti_dmi", "ti_bollinger", "indicators_range_anchor", "load_stats",
-        "upsert_market_cap", "charts_by_date"]
+        "upsert_market_cap", "charts_by_date", "insert_ignore_indicators", "ti_projection_bands", "ti_cci",
+        *daily_queries.QUERIES]
 
 
 def test_every_query_has_its_sql():

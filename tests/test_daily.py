@@ -1,11 +1,14 @@
+import dataclasses
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from ohlcraft.operators import detect, history, lookup
+from ohlcraft.operators import detect, history, lookup, merge
+from ohlcraft.operators.indicators import families
 from ohlcraft.operators.indicators.compute import indicators
 from ohlcraft.plans import daily
+from ohlcraft.plans.commits import Commits
 from ohlcraft.plans.tables import MONTH, Tables
 from ohlcraft.sources import derived, symbols
 from tests.conftest import SF_DIR
@@ -61,7 +64,8 @@ def test_daily_run_is_idempotent_and_complete(spark, tmp_path):
 
     # changes equal those against the previous row, and other rows were left alone
     changed = charts.where(F.col("chart_change_percentage").isNotNull())
-    assert changed.count() == report.changes
+    assert changed.where(F.col("chart_date").between(start, end)).count() == report.changes
+    assert charts.count() - changed.count() == charts.select("stock_id").distinct().count()
     assert charts.count() == before + report.charts.inserted
     assert charts.where(F.trunc("chart_date", "month") != F.col(MONTH)).count() == 0
 
@@ -144,7 +148,7 @@ def test_broken_replacements_leave_the_old_rows(spark, tmp_path, monkeypatch):
         return [r.latest_date for r in tables.read("latest_date").collect()]
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "_point", lambda *_: (_ for _ in ()).throw(OSError("broken off")))
+        patch.setattr(Commits, "_create", lambda *_: (_ for _ in ()).throw(OSError("broken off")))
         with pytest.raises(OSError):
             tables.set_latest_date("charts", later)
     assert mark() == [day]
@@ -155,6 +159,159 @@ def test_broken_replacements_leave_the_old_rows(spark, tmp_path, monkeypatch):
     assert sorted(mark()) == [day, later + dt.timedelta(days=1)]
 
 
+def _stored(tables):
+    """What a daily run leaves, as comparable rows."""
+    return {name: sorted(map(tuple, tables.read(name).drop(MONTH).collect()), key=str)
+            for name in ("charts", "pattern_records", "daily_indicators", "latest_date", "stored_lines")}
+
+
+STEPS = ["insert_charts", "update_changes", "set_latest_date", "insert_patterns", "insert_wide_indicators"]
+
+
+@pytest.fixture(scope="module")
+def whole_run(spark, tmp_path_factory):
+    start, end = dt.date(1991, 2, 27), dt.date(1991, 3, 3)
+    tables, raw, listed = _loaded(spark, tmp_path_factory.mktemp("whole"), start - dt.timedelta(days=1))
+    report = daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    return _stored(tables), report
+
+
+@pytest.mark.parametrize("broken", range(len(STEPS)))
+def test_broken_runs_go_on_where_they_broke_off(spark, tmp_path, monkeypatch, whole_run, broken):
+    """Breaks right after a step was committed; run again, the steps so far are left out."""
+    start, end = dt.date(1991, 2, 27), dt.date(1991, 3, 3)
+    tables, raw, listed = _loaded(spark, tmp_path, start - dt.timedelta(days=1))
+    step, calls = getattr(Tables, STEPS[broken]), []
+
+    def breaking(self, *args, **options):
+        step(self, *args, **options)
+        raise OSError("broken off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, STEPS[broken], breaking)
+        with pytest.raises(OSError):
+            daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    assert len(tables.commits.latest().journal) == 1
+    for name in STEPS[1:]:
+        own = getattr(Tables, name)
+        monkeypatch.setattr(Tables, name, lambda self, *a, _own=own, _name=name, **k: (calls.append(_name), _own(self, *a, **k))[1])
+    report = daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    assert report == whole_run[1] and _stored(tables) == whole_run[0]
+    assert tables.commits.latest().journal == {}
+    expected = STEPS[max(broken + 1, 1):]  # the last mark ends the run, always
+    assert sorted(set(calls)) == sorted({*expected, "set_latest_date"})
+
+
+def test_new_bars_start_a_broken_run_anew(spark, tmp_path, monkeypatch):
+    start, end = dt.date(1991, 2, 27), dt.date(1991, 3, 3)
+    tables, raw, listed = _loaded(spark, tmp_path, start - dt.timedelta(days=1))
+    with monkeypatch.context() as patch:
+        patch.setattr(daily, "store_indicators", lambda *a, **k: (_ for _ in ()).throw(OSError("broken off")))
+        with pytest.raises(OSError):
+            daily.run_daily(tables, raw.where("date <> 19910301"), listed, start, end, FAMILIES)
+    report = daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    assert report.charts.inserted > 0 and report.patterns.skipped > 0
+    stored = tables.read("pattern_records").select("chart_id", "pattern_id")
+    expected = detect.detect_patterns(tables.read("charts"), start, end)
+    assert {*map(tuple, expected.collect())} <= {*map(tuple, stored.collect())}
+
+
+def _raise(keep, *arrays):
+    raise ArithmeticError("no lines")
+
+
+@pytest.mark.parametrize("name", ["MACD", "A/D Line", "이동평균(라인3개)"])
+def test_a_family_that_raises_goes_alone(spark, tmp_path, monkeypatch, name):
+    start, end = dt.date(1991, 3, 1), dt.date(1991, 3, 2)
+    tables, raw, listed = _loaded(spark, tmp_path, start - dt.timedelta(days=1))
+    family = families.FAMILIES[name]
+    broken = {"inputs": lambda t: 1 / 0} if family.framed else {"slice_lines": _raise}
+    monkeypatch.setitem(families.FAMILIES, name, dataclasses.replace(family, **broken))
+    report = daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    assert report.failed == (name,)
+    lines = {r[0] for r in tables.read("daily_indicators").join(
+        tables.read("indicators_lines"), "indicator_line_id").select("indicator_line_name").distinct().collect()}
+    assert lines == {line for n in FAMILIES if n != name for line in families.LINE_NAMES[n]}
+    monkeypatch.setitem(families.FAMILIES, name, family)
+    again = daily.run_daily(tables, raw, listed, start, end, FAMILIES)
+    assert again.failed == () and again.indicators.inserted == report.charts.inserted * len(families.LINE_NAMES[name])
+
+
+def test_lines_are_compared_before_the_melt(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    names = [f"line {i}" for i in range(130)]
+    tables.register_lines(names)
+    month = dt.date(2024, 1, 1)
+    wide = spark.range(50).select(
+        F.col("id").alias("chart_id"), F.lit(month).alias(MONTH),
+        *(F.when(F.col("id") % 5 != i % 5, F.col("id") * i * 1.0).alias(n) for i, n in enumerate(names)),
+        F.lit("3.5").alias("nobody's line"))
+    some = wide.select("chart_id", MONTH, *names[:70]).where("chart_id < 30")
+    first = tables.insert_wide_indicators(some)
+    assert first.inserted == first.total == 30 * 70 * 4 / 5
+    stats = tables.insert_wide_indicators(wide)
+    assert stats.total == 50 * (104 + 1) and stats.inserted == 50 * 104 - first.inserted
+    values = tables.read("daily_indicators")
+    assert values.count() == values.select("chart_id", "indicator_line_id").distinct().count() == 50 * 104
+    again = tables.insert_wide_indicators(wide)
+    assert again.inserted == 0 and again.total == stats.total
+    # the same values one by one
+    long = wide.select("chart_id", MONTH, F.lit(" line 3").alias("indicator_line_name"),
+                       F.col("line 3").alias("daily_indicator_value"))
+    assert tables.insert_indicators(long).inserted == 0
+    ids = {r.indicator_line_name: r.indicator_line_id for r in tables.read("indicators_lines").collect()}
+    new = merge.new_line_values(tables.read("stored_lines"), wide, ids, (MONTH,))
+    plan = merge.melted(new, wide, ids, (MONTH,))._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "Exchange" not in above.replace("AdaptiveSparkPlan", "") and "SortAggregate" not in plan
+
+
+def test_runs_read_the_months_that_hold_the_last_bars(spark, tmp_path):
+    """A new listing and a halted stock: only months with one of a stock's last 61 bars are read."""
+    tables = Tables(spark, str(tmp_path))
+    tables.append("stocks", spark.createDataFrame(
+        [(i, str(i), f"s{i}", 1) for i in (1, 2, 3, 4)], Tables.SCHEMAS["stocks"]))
+    kind = ("ticker string, chart_date date, chart_open long, chart_high long, chart_low long,"
+            " chart_close long, chart_volume long, chart_turnover long")
+    day, first = dt.date(2024, 6, 3), dt.date(2010, 1, 1)
+
+    def rows(ticker, start, n):
+        found = []
+        for i in range(n):
+            c = 100 + (i * 37 + int(ticker)) % 50
+            found.append((ticker, start + dt.timedelta(days=i), c - 3, c + 5, c - 6, c, 10 + i % 9, c * 10))
+        return found
+
+    # 1: every day since 2023; 2: listed on the day; 3: 70 days of 2012, then halted; 4: ended in 2010
+    old = [*rows("1", dt.date(2023, 1, 1), 519), *rows("3", dt.date(2012, 3, 1), 70), *rows("4", first, 90)]
+    tables.insert_charts(spark.createDataFrame(old, kind))
+    tables.insert_charts(spark.createDataFrame(
+        [r for t in "123" for r in rows(t, day, 1)], kind), day, day)
+    charts = tables.charts_in_reach(day, day)
+    read = {f.split(f"{MONTH}=")[1][:7] for f in charts.inputFiles() if "/charts/" in f}
+    assert read == {"2024-06", "2024-05", "2024-04", "2012-05", "2012-04", "2012-03"}
+    assert charts.where("stock_id = 4").isEmpty() and charts.where("stock_id = 2").count() == 1
+    whole = tables.read("charts")
+    assert sorted(detect.detect_patterns(charts, day, day).collect()) == sorted(
+        detect.detect_patterns(whole, day, day).collect())
+    names = ["MACD", "Bollinger Band", "RSI"]
+    found = sorted(indicators(charts, names, day, day).collect())
+    assert len(found) == 2 and found == sorted(indicators(whole, names, day, day).collect())
+
+
+def test_breadth_from_the_kept_table_after_a_correction(spark, tmp_path):
+    start, end = dt.date(1991, 3, 1), dt.date(1991, 3, 3)
+    tables, raw, listed = _loaded(spark, tmp_path, dt.date(1990, 1, 1))
+    everything = (raw, listed, dt.date(1990, 1, 1), end)
+    daily.load_bars(tables, raw.where("volume % 5 > 0"), *everything[1:])
+    daily.load_bars(tables, *everything)
+    names = ["A/D Line", "McCellan Oscillator"]
+    charts = tables.read("charts")
+    expected = indicators(charts, names, start, end)
+    found = indicators(charts, names, start, end, breadth=tables.net_advances())
+    assert sorted(found.collect()) == sorted(expected.collect()) and not found.isEmpty()
+
+
 def test_unknown_mark_changes_nothing(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     day = dt.date(2024, 1, 2)
