@@ -19,6 +19,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -80,8 +82,7 @@ def pair_bound(a: list[bytes], b: list[bytes]) -> int:
     return ends(counts_a, counts_b, True) + ends(counts_b, counts_a, False)
 
 
-@dataclass
-class Unit:
+class Unit(NamedTuple):
     """An aligned unit: tokens of each kind, the pairs linked, and its groups in decimal, each
     with a mark after it. ``same``: the tokens' bytes are the unit's."""
     n_a: int
@@ -110,67 +111,84 @@ class Aligner:
         self._len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self._len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self._blank = self._b.piece_to_id("▁")
-
-        def decimals(n: int, mark: str) -> np.ndarray:
-            return np.array([f"{i}{mark}".encode() for i in range(n)], dtype=object)
-
-        self._text_a = decimals(len(self.bytes_a), ","), decimals(len(self.bytes_a), "|")
-        self._text_b = decimals(self.size_b, ","), decimals(self.size_b, ";")
+        # what an id is written as, and from the size of the vocabulary on as the last of its group
+        self._text_a = [f"{i}{mark}".encode() for mark in ",|" for i in range(len(self.bytes_a))]
+        self._text_b = [f"{i}{mark}".encode() for mark in ",;" for i in range(self.size_b)]
+        self._texts = np.array(self._text_a + self._text_b, dtype=object)
+        self._text_sizes = np.array([len(t) for t in self._texts], np.int64)
         self._plain: dict[str, Unit] = {}
         self._odd: dict[str, Unit] = {}
 
-    def _ids(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [one.ids for one in self._a.encode_batch_fast(units, add_special_tokens=False)]
+    def _ids_a(self, units: list[str], joinable: bool) -> np.ndarray:
+        whole = ["".join(units)] if joinable else units
+        found = self._a.encode_batch_fast(whole, add_special_tokens=False)
+        return np.array([i for one in found for i in one.ids], np.int64)
+
+    def _ids_b(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units in turn, and how many each has."""
         # the model puts a blank before what it is given; before a line break it stands alone
-        b = self._b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        for i, unit in enumerate(units):
-            if unit[0] != " ":
-                if b[i][:1] != [self._blank]:
-                    raise ValueError("not a tokenizer that puts a blank before a text")
-                b[i] = b[i][1:]
-        return a, b
-
-    def _aligned(self, units: list[str]) -> list[Unit]:
-        """Units as they stand in the text, with the blank or line break before them."""
-        ids_a, ids_b = self._ids(units)
-        raw = [unit.encode() for unit in units]
-        same = [x == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b])
-                for x, a, b in zip(raw, ids_a, ids_b)]
-        kept = [i for i, good in enumerate(same) if good]
-        a = np.array([x for i in kept for x in ids_a[i]], np.int64)
-        b = np.array([x for i in kept for x in ids_b[i]], np.int64)
+        found = self._b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        counts = np.array([len(ids) for ids in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
+        broken = np.array([u[0] != " " for u in units], bool)
+        blanks = (np.cumsum(counts) - counts)[broken]
+        if (ids[blanks] != self._blank).any():
+            raise ValueError("not a tokenizer that puts a blank before a text")
+        return np.delete(ids, blanks), counts - broken
+
+    def _aligned(self, units: list[str], joinable: bool) -> list[Unit]:
+        """Units as they stand in the text, with the blank or line break before them; joined
+        they are a text of the same units if they are ``joinable``."""
+        raw = "".join(units).encode()
+        sizes = pc.binary_length(pa.array(units, pa.string())).to_numpy().astype(np.int64)
+        unit_ends = np.cumsum(sizes)
+        a, (b, n_b) = self._ids_a(units, joinable), self._ids_b(units)
+        ends_a, of_b = np.cumsum(self._len_a[a]), np.repeat(np.arange(len(units)), n_b)
+        own_b = np.bincount(of_b, self._len_b[b], minlength=len(units)).astype(np.int64)
+        if b"".join([self.bytes_a[i] for i in a.tolist()]) != raw:
+            raise ValueError("not a tokenizer of bytes")
+        same = own_b == sizes
+        if b"".join([self.bytes_b[i] for i in b.tolist()]) != raw:
+            at_b = np.cumsum(n_b) - n_b
+            for i in np.flatnonzero(same).tolist():
+                mine = b"".join([self.bytes_b[x] for x in b[at_b[i]:at_b[i] + n_b[i]].tolist()])
+                same[i] = mine == raw[unit_ends[i] - sizes[i]:unit_ends[i]]
+        of_a = np.searchsorted(unit_ends, ends_a)
+        if not same.all():
+            a, b, of_a, of_b = a[same[of_a]], b[same[of_b]], of_a[same[of_a]], of_b[same[of_b]]
         ends_a, ends_b = np.cumsum(self._len_a[a]), np.cumsum(self._len_b[b])
         marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, np.int8)
         marks[ends_a] += 1
         marks[ends_b] += 2
         cut_a, cut_b = marks[ends_a] == 3, marks[ends_b] == 3
         last_a, last_b = np.flatnonzero(cut_a), np.flatnonzero(cut_b)
-        pairs = a[last_a] * self.size_b + b[last_b]
+        pairs = (a[last_a] * self.size_b + b[last_b]).tobytes()
         # a group's tokens of the first kind, then those of the second
         group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
-        written = np.empty(len(a) + len(b), object)
+        written = np.empty(len(a) + len(b), np.int64)
         before_b = np.concatenate([[0], last_b + 1])
-        written[np.arange(len(a)) + before_b[group_a]] = np.where(cut_a, self._text_a[1][a], self._text_a[0][a])
-        written[np.arange(len(b)) + last_a[group_b] + 1] = np.where(cut_b, self._text_b[1][b], self._text_b[0][b])
-        written = written.tolist()
-        found = [Unit(0, 0, b"", b"", good) for good in same]
-        unit_ends = np.cumsum([len(raw[i]) for i in kept])
-        links = np.searchsorted(ends_a[last_a], unit_ends, "right").tolist()
-        at_text = at_link = 0
-        for i, link_end in zip(kept, links):
-            unit, text_end = found[i], at_text + len(ids_a[i]) + len(ids_b[i])
-            unit.n_a, unit.n_b = len(ids_a[i]), len(ids_b[i])
-            unit.pairs = pairs[at_link:link_end].tobytes()
-            unit.groups = b"".join(written[at_text:text_end])
-            at_text, at_link = text_end, link_end
-        return found
+        written[np.arange(len(a)) + before_b[group_a]] = a + len(self.bytes_a) * cut_a
+        written[np.arange(len(b)) + last_a[group_b] + 1] = b + self.size_b * cut_b + len(self._text_a)
+        text = b"".join(self._texts[written].tolist())
+        text_ends = np.concatenate([[0], np.cumsum(self._text_sizes[written])])
+
+        def bounds(counts: np.ndarray) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(counts)])
+
+        n_a = np.bincount(of_a, minlength=len(units))
+        n_b = np.bincount(of_b, minlength=len(units))
+        links = (8 * bounds(np.bincount(of_a[last_a], minlength=len(units)))).tolist()
+        texts = text_ends[bounds(n_a + n_b)].tolist()
+        return [Unit(*values) for values in zip(
+            n_a.tolist(), n_b.tolist(), [pairs[x:y] for x, y in zip(links, links[1:])],
+            [text[x:y] for x, y in zip(texts, texts[1:])], same.tolist())]
 
     def _known(self, store: dict[str, Unit], names: list[str], plain: bool) -> list[Unit]:
         new = [name for name in names if name not in store]
         for first in range(0, len(new), UNITS_A_CALL):
             some = new[first:first + UNITS_A_CALL]
             whole = [n if n[0] == "\n" else f" {n}" for n in some] if plain else some
-            store.update(zip(some, self._aligned(whole)))
+            store.update(zip(some, self._aligned(whole, plain)))
         return [store[name] for name in names]
 
     def align(self, texts: pa.Array) -> Slice:
