@@ -72,15 +72,17 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(F.col(f"`{name}`"), 6) for name in names})
 
 
-def _indicator(name: str):
+def _indicator(name: str, anchor: str = "bar"):
     def run(spark, sf_dir):
-        wide = indicators(derived.bars(spark, sf_dir), [name])
+        wide = indicators(derived.bars(spark, sf_dir), [name], anchor=anchor)
         return _rounded(wide, *(c for c in wide.columns if c != "chart_id"))
     return run
 
 
 for _family in FAMILIES.values():
     _register(f"ti_{_family.key}", _indicator(_family.name), indicator_sql.SQL[_family.key])
+    if not _family.framed:  # one recursion over the whole history
+        _register(f"once_{_family.key}", _indicator(_family.name, "range"), indicator_sql.SQL[_family.key].once)
 
 
 # -- indicators together ---------------------------------------------------------------

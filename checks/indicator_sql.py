@@ -90,12 +90,44 @@ def mean(value: str, first: int = 52, last: int = 60) -> str:
     return f"CASE WHEN count({cases}) = {last - first + 1} THEN avg({cases}) END"
 
 
+class Stepped(str):
+    """SQL that starts its steps anew for each bar; ``once`` starts them at a stock's first bar."""
+    once: str
+
+
+def _stepped(sql: str, once: str) -> Stepped:
+    found = Stepped(sql)
+    found.once = once
+    return found
+
+
+#: The last 61 steps up to each bar, out of one chain from the first bar on.
+_LAST_STEPS = """
+f AS (SELECT t.{id}, c.* EXCLUDE ({id}, k), c.k - t.k + 60 AS k
+      FROM chain t JOIN chain c ON c.{of} = t.{of} AND c.k BETWEEN t.k - 60 AND t.k WHERE t.k >= 60)"""
+
+
 def by_steps(
     states: dict[str, tuple[str, str]], lines: dict[str, str], *levels: dict[str, str],
     keep: str = "",
-) -> str:
+) -> Stepped:
     """``states`` maps a state to its value at the first bar ``e`` and its update."""
     text, source = _levels(list(levels))
+    first = "".join(f", ({sql})::DOUBLE AS {name}" for name, (sql, _) in states.items())
+    update = "".join(f", {sql}" for _, sql in states.values())
+    kept = "".join(f", e.{name}" for name in keep.split())
+    once = f"""{START}{text},
+chain AS (
+  SELECT e.chart_id, e.stock_id, 0 AS k{kept}{first} FROM {source} e WHERE e.rn = 1
+  UNION ALL
+  SELECT e.chart_id, f.stock_id, f.k + 1{kept}{update}
+  FROM chain f JOIN {source} e ON e.stock_id = f.stock_id AND e.rn = f.k + 2),
+{_LAST_STEPS.format(id="chart_id", of="stock_id")}
+SELECT chart_id, {_lines(lines)} FROM f GROUP BY chart_id"""
+    return _stepped(_by_steps(states, lines, text, source, keep), once)
+
+
+def _by_steps(states, lines, text: str, source: str, keep: str) -> str:
     keep_first = "".join(f", t.{name}" for name in keep.split())
     keep_next = "".join(f", f.{name}" for name in keep.split())
     first = "".join(f", ({sql})::DOUBLE AS {name}" for name, (sql, _) in states.items())
@@ -165,10 +197,18 @@ net AS (SELECT chart_date, row_number() OVER (ORDER BY chart_date) AS dn,
         coalesce(sum(sign(d)), 0)::DOUBLE AS net FROM b2 GROUP BY chart_date)"""
 
 
-def by_dates(states: dict[str, tuple[str, str]], lines: dict[str, str]) -> str:
+def by_dates(states: dict[str, tuple[str, str]], lines: dict[str, str]) -> Stepped:
     first = "".join(f", {sql} AS {name}" for name, (sql, _) in states.items())
     update = "".join(f", {sql}" for _, sql in states.values())
-    return f"""{START}{_net},
+    once = f"""{START}{_net},
+chain AS (
+  SELECT e.chart_date, 1 AS one, 0 AS k{first} FROM net e WHERE e.dn = 1
+  UNION ALL
+  SELECT e.chart_date, 1, f.k + 1{update} FROM chain f JOIN net e ON e.dn = f.k + 2),
+{_LAST_STEPS.format(id="chart_date", of="one")},
+g AS (SELECT chart_date, {_lines(lines)} FROM f GROUP BY chart_date)
+SELECT chart_id, g.* EXCLUDE (chart_date) FROM b2 LEFT JOIN g USING (chart_date) WHERE rn > 60"""
+    return _stepped(f"""{START}{_net},
 f AS (
   SELECT t.chart_date, t.dn - 60 AS first_dn, 0 AS k{first}
   FROM net t JOIN net e ON e.dn = t.dn - 60
@@ -176,7 +216,7 @@ f AS (
   SELECT f.chart_date, f.first_dn, f.k + 1{update}
   FROM f JOIN net e ON e.dn = f.first_dn + f.k + 1 WHERE f.k < 60),
 g AS (SELECT chart_date, {_lines(lines)} FROM f GROUP BY chart_date)
-SELECT chart_id, g.* EXCLUDE (chart_date) FROM b2 LEFT JOIN g USING (chart_date) WHERE rn > 60"""
+SELECT chart_id, g.* EXCLUDE (chart_date) FROM b2 LEFT JOIN g USING (chart_date) WHERE rn > 60""", once)
 
 
 SQL = {

@@ -5,9 +5,9 @@ constant or stands in the formula. A zero denominator gives null.
 
 A family names the columns it reads and is called with their values as arrays of shape (position
 in the slice, slice), so one call computes many bars. It returns one array per line, of
-which the last ``keep`` positions count. Recursions start at the first bar of the slice, which
-ends at the bar the value is for; a value thus depends on that slice alone and not on how the
-history was loaded. What looks at the last n bars is taken over views of the arrays, which hold no
+which the last ``keep`` positions count. Recursions start at the first bar of the slice, so that
+a value depends on that slice alone and not on how the history was loaded; ``keep`` is a
+:class:`Run`, which lets them go on where a part of a long slice was computed before. What looks at the last n bars is taken over views of the arrays, which hold no
 copies; a missing value among them leaves the line empty.
 """
 
@@ -142,32 +142,64 @@ def _bar_range(t: Columns) -> str:
 
 # -- array steps ----------------------------------------------------------------------
 
-def _since(k: int, x: np.ndarray) -> np.ndarray:
-    """``x`` without its first ``k`` positions, whose values look back out of the slice."""
+class Run(int):
+    """How many positions at the end count, and how to go on where an earlier run of the same slice
+    stopped.
+
+    The arrays of a run that goes on begin at position ``passed`` of the slice. Its recursions
+    begin ``edge`` positions later, from the values in ``before``; the positions ahead are there for
+    frames. ``left`` gets the recursions' values, in the order of their calls, ``tail``
+    positions before the last.
+    """
+
+    def __new__(cls, keep: int, before: list[np.ndarray] | None = None, edge: int = 0, passed: int = 0, tail: int = 0):
+        run = super().__new__(cls, keep)
+        run.before, run.edge, run.passed, run.tail, run.left = before, edge, passed, tail, []
+        return run
+
+    def recursion(self, x: np.ndarray, first: Callable, step: Callable) -> np.ndarray:
+        """``out[0] = first()`` and ``out[k] = step(k, out[k - 1])``, or on from where it stopped."""
+        out = np.full(x.shape, np.nan)
+        if self.before is None:
+            out[0], start = first(), 1
+        else:
+            start = self.edge
+            out[start] = step(start, self.before[len(self.left)])
+            start += 1
+        for k in range(start, len(x)):
+            out[k] = step(k, out[k - 1])
+        self.left.append(out[len(x) - 1 - self.tail].copy())
+        return out
+
+
+def _since(run: Run, k: int, x: np.ndarray) -> np.ndarray:
+    """``x`` without the first ``k`` positions of the slice, whose values look back out of it."""
     known = x.copy()
-    known[:k] = np.nan
+    known[:max(0, k - run.passed)] = np.nan
     return known
 
 
-def _smooth(x: np.ndarray, weight) -> np.ndarray:
+def _smooth(run: Run, x: np.ndarray, weight) -> np.ndarray:
     """Exponential smoothing that starts at the first value of ``x``; ``weight`` may vary."""
     weights = np.broadcast_to(weight, x.shape)
     missing = np.isnan(x) | np.isnan(weights)
-    out = np.empty_like(x)
-    out[0] = x[0]
-    for k in range(1, len(x)):
-        out[k] = out[k - 1] + (x[k] - out[k - 1]) * weights[k]
-        if missing[k - 1:k + 1].any():
-            out[k] = np.where(np.isnan(out[k]), x[k], out[k])
-    return out
+    gaps = missing.any(axis=1)
 
+    def step(k: int, before: np.ndarray) -> np.ndarray:
+        value = before + (x[k] - before) * weights[k]
+        if gaps[k] or k == run.edge or gaps[k - 1]:
+            value = np.where(np.isnan(value), x[k], value)
+        return value
 
-def _ema(x: np.ndarray, n: int) -> np.ndarray:
-    return _smooth(x, 2 / (n + 1))
+    return run.recursion(x, lambda: x[0], step)
 
 
-def _wilder(x: np.ndarray, n: int) -> np.ndarray:
-    return _smooth(x, 1 / n)
+def _ema(run: Run, x: np.ndarray, n: int) -> np.ndarray:
+    return _smooth(run, x, 2 / (n + 1))
+
+
+def _wilder(run: Run, x: np.ndarray, n: int) -> np.ndarray:
+    return _smooth(run, x, 1 / n)
 
 
 def _quotient(num: np.ndarray, den: np.ndarray) -> np.ndarray:
@@ -238,11 +270,9 @@ def _signal(x: np.ndarray, keep: int) -> np.ndarray:
     return _trailing(x, [1.0] * SIGNAL, keep) / SIGNAL
 
 
-def _cumulated(step: np.ndarray) -> np.ndarray:
-    """Running sum that starts from zero at the first position."""
-    inside = step.copy()
-    inside[0] = 0
-    return np.cumsum(inside, axis=0)
+def _cumulated(run: Run, step: np.ndarray, first: Callable) -> np.ndarray:
+    """Running sum that starts with ``first()`` at the first position."""
+    return run.recursion(step, first, lambda k, before: before + step[k])
 
 
 # -- price ----------------------------------------------------------------------------
@@ -270,8 +300,8 @@ def _(keep, h, l):
 
 @_slices("dema", "DEMA", lambda t: ["c"])
 def _(keep, c):
-    once = _ema(c, 20)
-    return [2 * once - _ema(once, 20)]
+    once = _ema(keep, c, 20)
+    return [2 * once - _ema(keep, once, 20)]
 
 
 @_frames("envelope", "Envelope", lambda t: ["c"])
@@ -311,7 +341,7 @@ def _(keep, c, gain, loss):
     up, down = _full(_sum, gain, n), _full(_sum, loss, n)
     # no movement at all leaves the average where it is
     pace = np.where(up + down == 0, 0, abs(_quotient(up - down, up + down)))
-    value = _smooth(c, _since(n, pace) * (2 / 13))
+    value = _smooth(keep, c, _since(keep, n, pace) * (2 / 13))
     return [value, _signal(value, keep)]
 
 
@@ -326,8 +356,8 @@ def _dmi_inputs(t: Columns) -> list[str]:
 
 @_slices("dmi", "DMI", _dmi_inputs)
 def _(keep, plus, minus, reach):
-    p, m, r = (_wilder(_since(1, x), 14) for x in (plus, minus, reach))
-    adx = _wilder(100 * _quotient(abs(p - m), p + m), 14)
+    p, m, r = (_wilder(keep, _since(keep, 1, x), 14) for x in (plus, minus, reach))
+    adx = _wilder(keep, 100 * _quotient(abs(p - m), p + m), 14)
     earlier = np.roll(adx, 14, axis=0)
     return [100 * _quotient(p, r), 100 * _quotient(m, r), adx, (adx + earlier) / 2]
 
@@ -364,19 +394,19 @@ def _(keep, price):
 
 @_slices("elder_ray", "Elder-Ray", lambda t: ["h", "l", "c"])
 def _(keep, h, l, c):
-    average = _ema(c, 13)
+    average = _ema(keep, c, 13)
     return [h - average, l - average]
 
 
 @_slices("force_index", "Force Index", lambda t: [t.let("force", f"{_change(t)} * v")])
 def _(keep, force):
-    return [_ema(_since(1, force), n) for n in (2, 13)]
+    return [_ema(keep, _since(keep, 1, force), n) for n in (2, 13)]
 
 
 @_slices("macd", "MACD", lambda t: ["c"])
 def _(keep, c):
-    macd = _ema(c, 12) - _ema(c, 26)
-    signal = _ema(macd, 9)
+    macd = _ema(keep, c, 12) - _ema(keep, c, 26)
+    signal = _ema(keep, macd, 9)
     return [macd, signal, macd - signal]
 
 
@@ -401,14 +431,14 @@ def _(keep, flow_in, flow_out):
 
 @_slices("sonar", "SONAR", lambda t: ["c"])
 def _(keep, c):
-    average = _ema(c, 20)
+    average = _ema(keep, c, 20)
     value = average - np.roll(average, 9, axis=0)
     return [value, _signal(value, keep)]
 
 
 @_slices("trix", "TRIX", lambda t: ["c"])
 def _(keep, c):
-    third = _ema(_ema(_ema(c, 12), 12), 12)
+    third = _ema(keep, _ema(keep, _ema(keep, c, 12), 12), 12)
     earlier = np.roll(third, 1, axis=0)
     value = 100 * _quotient(third - earlier, earlier)
     return [value, _signal(value, keep)]
@@ -416,7 +446,7 @@ def _(keep, c):
 
 @_slices("tsi", "TSI", lambda t: [_change(t), _move(t)])
 def _(keep, change, move):
-    net, gross = (_ema(_ema(_since(1, x), 25), 13) for x in (change, move))
+    net, gross = (_ema(keep, _ema(keep, _since(keep, 1, x), 25), 13) for x in (change, move))
     value = 100 * _quotient(net, gross)
     return [value, _signal(value, keep)]
 
@@ -432,26 +462,26 @@ def _(keep, c, move):
 
 @_slices("atr", "ATR", lambda t: [_true_range(t)])
 def _(keep, reach):
-    value = _wilder(_since(1, reach), 14)
+    value = _wilder(keep, _since(keep, 1, reach), 14)
     return [value, _signal(value, keep)]
 
 
 @_slices("chaikin_volatility", "Chaikin's Volatility", lambda t: [_bar_range(t)])
 def _(keep, reach):
-    average = _ema(reach, 10)
+    average = _ema(keep, reach, 10)
     earlier = np.roll(average, 10, axis=0)
     return [100 * _quotient(average - earlier, earlier)]
 
 
-def _relative_volatility(c: np.ndarray, change: np.ndarray) -> np.ndarray:
+def _relative_volatility(keep: Run, c: np.ndarray, change: np.ndarray) -> np.ndarray:
     spread = _full(_spread, c, 10)
-    up, down = (_wilder(_since(9, np.where(moved, spread, 0)), 14) for moved in (change > 0, change < 0))
+    up, down = (_wilder(keep, _since(keep, 9, np.where(moved, spread, 0)), 14) for moved in (change > 0, change < 0))
     return 100 * _quotient(up, up + down)
 
 
 @_slices("rvi", "Relative Volatility Index", lambda t: ["c", _change(t)])
 def _(keep, c, change):
-    value = _relative_volatility(c, change)
+    value = _relative_volatility(keep, c, change)
     return [value, _signal(value, keep)]
 
 
@@ -465,7 +495,7 @@ def _end_point_weights(n: int) -> list[float]:
 @_slices("inertia", "Inertia", lambda t: ["c", _change(t)])
 def _(keep, c, change):
     value = _trailing(
-        _relative_volatility(c, change), _end_point_weights(20), keep + SIGNAL - 1)
+        _relative_volatility(keep, c, change), _end_point_weights(20), keep + SIGNAL - 1)
     return [value, _signal(value, keep)]
 
 
@@ -493,8 +523,8 @@ def _(keep, gain, loss):
 
 @_slices("mass_index", "Mass Index", lambda t: [_bar_range(t)])
 def _(keep, reach):
-    once = _ema(reach, 9)
-    value = _trailing(_quotient(once, _ema(once, 9)), [1.0] * 25, keep + SIGNAL - 1)
+    once = _ema(keep, reach, 9)
+    value = _trailing(_quotient(once, _ema(keep, once, 9)), [1.0] * 25, keep + SIGNAL - 1)
     return [value, _signal(value, keep)]
 
 
@@ -511,15 +541,13 @@ def _nvi_inputs(t: Columns) -> list[str]:
 
 @_slices("nvi", "Negative Volume Index", _nvi_inputs)
 def _(keep, change):
-    growth = 1 + change
-    growth[0] = 1000
-    value = np.cumprod(growth, axis=0)
+    value = keep.recursion(change, lambda: np.full(change.shape[1], 1000.0), lambda k, before: before * (1 + change[k]))
     return [value, _signal(value, keep)]
 
 
 @_slices("rsi", "RSI", lambda t: [_gain(t), _loss(t)])
 def _(keep, gain, loss):
-    up, down = (_wilder(_since(1, x), 14) for x in (gain, loss))
+    up, down = (_wilder(keep, _since(keep, 1, x), 14) for x in (gain, loss))
     value = 100 * _quotient(up, up + down)
     return [value, _signal(value, keep)]
 
@@ -527,9 +555,9 @@ def _(keep, gain, loss):
 @_slices("smi", "SMI", lambda t: ["h", "l", "c"])
 def _(keep, h, l, c):
     high, low = _full(_highest, h, 10), _full(_lowest, l, 10)
-    num, den = (_ema(_ema(_since(9, x), 3), 3) for x in (c - (high + low) / 2, high - low))
+    num, den = (_ema(keep, _ema(keep, _since(keep, 9, x), 3), 3) for x in (c - (high + low) / 2, high - low))
     value = 100 * _quotient(num, den / 2)
-    return [value, _ema(value, 3)]
+    return [value, _ema(keep, value, 3)]
 
 
 @_frames("stochastic_fast", "Stochastic Fast", lambda t: ["h", "l", "c"])
@@ -579,7 +607,7 @@ def _williams_inputs(t: Columns) -> list[str]:
 
 @_slices("williams_ad", "Williams Accumulation Distribution", _williams_inputs)
 def _(keep, step):
-    value = _cumulated(step)
+    value = _cumulated(keep, step, lambda: np.zeros(step.shape[1]))
     return [value, _signal(value, keep)]
 
 
@@ -593,13 +621,13 @@ def _(keep, v):
 
 @_slices("ad_line", "A/D Line", lambda t: ["net"], by_date=True)
 def _(keep, net):
-    value = np.cumsum(net, axis=0)
+    value = _cumulated(keep, net, lambda: net[0])
     return [value, _signal(value, keep)]
 
 
 @_slices("mcclellan", "McCellan Oscillator", lambda t: ["net"], by_date=True)
 def _(keep, net):
-    return [_ema(net, 19) - _ema(net, 39)]
+    return [_ema(keep, net, 19) - _ema(keep, net, 39)]
 
 
 def _check_names() -> None:

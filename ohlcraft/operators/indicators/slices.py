@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 import ohlcraft
 from ohlcraft.functions.frames import HISTORY
 from ohlcraft.operators.history import WARMUP
-from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES
+from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES, Run
 
 # Executors get the array functions with the task and need no copy of this package.
 cloudpickle.register_pickle_by_value(ohlcraft)
 
 CHUNK = 2048
+#: Rows ahead of the look-back that frames inside a recursion's input need.
+EDGE = 10
 _EMIT, _POSITION, _DATE = "_emit", "_position", "chart_date"
 #: A bit for each family that raised on a row's batch; its lines are empty there.
 FAILED = "_failed"
@@ -35,6 +37,13 @@ class Call:
     bit: int
 
 
+@dataclass(frozen=True)
+class _Held:
+    """Of a slice that goes on: its last rows, and each family's recursions before the last 60."""
+    table: pa.Table
+    states: list[list[np.ndarray]]
+
+
 def family_bit(name: str) -> int:
     return 1 << list(FAMILIES).index(name)
 
@@ -47,11 +56,12 @@ def _finite(values: np.ndarray) -> pa.Array:
     return pa.array(values, from_pandas=True)
 
 
-def _call(call: Call, arrays: list[np.ndarray], keep: int) -> tuple[list[np.ndarray], int]:
+def _call(call: Call, arrays: list[np.ndarray], run: Run) -> tuple[list[np.ndarray], int]:
     """The lines and 0, or empty lines and the family's bit: one that fails leaves the others be."""
+    keep = int(run)
     try:
         with np.errstate(invalid="ignore"):
-            found = [line[-keep:] for line in call.lines(keep, *arrays)]
+            found = [line[-keep:] for line in call.lines(run, *arrays)]
         if len(found) != call.count:
             raise ValueError(f"{len(found)} lines instead of {call.count}")
         return found, 0
@@ -74,7 +84,7 @@ def _bar_slices(calls: list[Call]) -> Callable:
             gathered = {name: values[rows] for name, values in columns.items()}
             part = []
             for call in calls:
-                found, bit = _call(call, [gathered[name] for name in call.inputs], 1)
+                found, bit = _call(call, [gathered[name] for name in call.inputs], Run(1))
                 part += [line[0] for line in found]
                 failed |= bit
             parts.append(part)
@@ -159,14 +169,15 @@ def lines_by_range(
     """Like :func:`lines_by_bar`, but each stock is one slice from its first row on.
 
     A batch holds many slices; those of similar length are computed side by side, so that
-    padding at most doubles them. Only the slice that a batch may have cut is held over, which
-    a stock's one bar a day bounds.
+    padding at most doubles them. Of the last one, which the batch may have cut, the look-back
+    and the state of its recursions are held over, however long it is.
     """
     ordered = bars.sortWithinPartitions(*HISTORY, _DATE)
     source, calls, schema = _prepared(ordered, inputs, carry_on, _POSITION)
     names = slice_columns(inputs)
 
     def finished(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Slices that begin and end in the table."""
         position = table[_POSITION].to_numpy()
         starts = np.flatnonzero(position == 1)
         of = np.cumsum(position == 1) - 1
@@ -189,28 +200,58 @@ def lines_by_range(
                 return np.where(outside, np.nan, _values(table, column)[rows])
 
             at = (position[emit[mine]] - 1 - WARMUP, place[of[emit[mine]]])
-            keep = len(steps) - WARMUP
             found = []
             for call in calls:
-                own, bit = _call(call, [side_by_side(c) for c in call.inputs], keep)
+                own, bit = _call(call, [side_by_side(c) for c in call.inputs], Run(len(steps) - WARMUP))
                 found += own
                 failed |= bit
             for line, values in zip(lines, found):
                 line[mine] = values[at]
         yield from _with_lines(table, carry_on, emit, names, lines, failed).to_batches()
 
+    def part(table: pa.Table, before: _Held | None) -> tuple[pa.Table, _Held]:
+        """The lines of a part of one slice, which begins with what was held of it, and what to
+        hold of it now."""
+        seen = before.table.num_rows if before else WARMUP
+        keep = table.num_rows - seen
+        position = table[_POSITION].to_numpy()
+        lines, failed, left = [], 0, []
+        for i, call in enumerate(calls):
+            run = Run(keep, tail=WARMUP) if not before else Run(
+                keep, before.states[i], before.table.num_rows - WARMUP, int(position[0]) - 1, WARMUP)
+            # a family that failed on an earlier part has no state to go on from
+            own, bit = _call(call, [_values(table, c)[:, None] for c in call.inputs], run)
+            lines += [line[:, 0] for line in own]
+            failed |= bit
+            left.append([] if bit else run.left)
+        emit = np.flatnonzero(table[_EMIT].to_numpy()[seen:])
+        out = _with_lines(table, carry_on, emit + seen, names, [line[emit] for line in lines], failed)
+        return out, _Held(table.slice(max(0, table.num_rows - WARMUP - EDGE)).combine_chunks(), left)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        rows: pa.Table | None = None  # of a slice of which nothing was computed yet
+        held: _Held | None = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            starts = np.flatnonzero(table[_POSITION].to_numpy() == 1)
-            if len(starts) > 1:
-                yield from finished(table.slice(0, starts[-1]))
-                table = table.slice(starts[-1])
-            held = table.combine_chunks()
-        if held is not None and held.num_rows:
-            yield from finished(held)
+            if held or rows is not None:
+                table = pa.concat_tables([held.table if held else rows, table])
+            starts = np.flatnonzero(table[_POSITION].to_numpy() == 1).tolist()
+            if held:
+                # held rows may begin the slice, too
+                end = next((start for start in starts if start), table.num_rows)
+                if end > held.table.num_rows:
+                    out, held = part(table.slice(0, end), held)
+                    yield from out.to_batches()
+                if end == table.num_rows:
+                    continue
+                table, starts, held = table.slice(end), [s - end for s in starts if s >= end], None
+            if not starts:
+                continue
+            yield from finished(table.slice(0, starts[-1]))
+            rows = table.slice(starts[-1]).combine_chunks()
+            if rows.num_rows > WARMUP:
+                out, held = part(rows, None)
+                rows = None
+                yield from out.to_batches()
 
     return source.mapInArrow(run, schema)

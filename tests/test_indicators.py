@@ -69,17 +69,28 @@ def test_both_anchors_agree_on_the_first_day(spark, bars):
     first = {r[0] for r in bars.where(F.col("chart_date") == start).select("chart_id").collect()}
     assert first and all(by_bar[c] == by_range[c] for c in first)
     assert by_bar != by_range
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "61")
-    try:
-        assert _rows(indicators(bars, names, start, end, anchor="range")) == by_range
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     # stocks of unlike lengths side by side, over all of their history
     uneven = bars.where("stock_id % 3 <> 0 OR chart_date > '1991-01-01'")
     some = _rows(indicators(uneven.where("stock_id IN (3, 4)"), names, anchor="range"))
     assert some.items() <= _rows(indicators(uneven, names, anchor="range")).items()
 
 
+@pytest.mark.parametrize("size", [1, 13, 60, 61, 62, 97, 331])
+def test_recursions_go_on_from_batch_to_batch(spark, bars, size):
+    names = [name for name, f in FAMILIES.items() if not f.by_date]
+    some = bars.where("stock_id IN (0, 1) OR chart_date < '1990-03-20'").where("chart_date < '1990-07-20'")
+    start, end = dt.date(1990, 3, 5), dt.date(1990, 7, 10)
+    whole = [_rows(indicators(some, names, anchor="range")),
+             _rows(indicators(some, names, start, end, anchor="range"))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    try:
+        parts = [_rows(indicators(some, names, anchor="range")),
+                 _rows(indicators(some, names, start, end, anchor="range"))]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(whole) and parts == whole
+
+
 def test_recursions_against_plain_loops(bars):
     closes = [r[0] for r in bars.where("stock_id = 1").orderBy("chart_date").select("chart_close").collect()]
 
