@@ -10,6 +10,7 @@ from a seeded order.
 
 import math
 import random
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -67,28 +68,61 @@ def fit_counts(sizes: list[int], counts: list[int], budget: float) -> list[int]:
         owed += sizes[i] * counts[i] * share
         taken[i] = min(counts[i], int(owed / sizes[i]))
         owed -= sizes[i] * taken[i]
-    # bit b of sums: some of the documents left over have b words together
-    goal, sums, steps = round(budget - sum(s * t for s, t in zip(sizes, taken))), 1, []
-    mask = (1 << (goal + longest + 1)) - 1
+    goal = round(budget - sum(s * t for s, t in zip(sizes, taken)))
     random.Random(SEED).shuffle(order)  # else short documents would fill the rest
-    for i in order:
-        left, times = min(counts[i] - taken[i], (goal + longest) // sizes[i]), 1
-        while left and not sums >> goal & 1:
-            times = min(times, left)
-            steps.append((i, times, sums))
-            sums |= (sums << (times * sizes[i])) & mask
-            left, times = left - times, 2 * times
-    below = (sums & ((1 << (goal + 1)) - 1)).bit_length() - 1
-    above = sums >> goal
+    steps, kept, final = _reached(sizes, [c - t for c, t in zip(counts, taken)], order, goal, goal + longest)
+    below = (final & ((1 << (goal + 1)) - 1)).bit_length() - 1
+    above = final >> goal
     above = goal + (above & -above).bit_length() - 1 if above else 2 * goal + 1
     at = below if goal - below <= above - goal else above
-    for i, times, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += times
-            at -= times * sizes[i]
+    for i, times in _way_back(sizes, steps, kept, at, goal + longest):
+        taken[i] += times
     return taken
 
 
+def _reached(
+    sizes: list[int], left: list[int], order: list[int], goal: int, most: int,
+) -> tuple[list[tuple[int, int]], dict[int, int], int]:
+    """The programme's steps (which size, how many), the sums that could be reached before some of
+    the steps, and after all: bit b says that some of the documents have b words together.
+
+    Sums are kept before every k-th step, k growing with the steps so that about as many are kept
+    as lie between two; the others are formed again on the way back. So memory grows with the
+    square root of the steps.
+    """
+    mask, sums, steps, kept, stride = (1 << (most + 1)) - 1, 1, [], {}, 1
+    for i in order:
+        rest, times = min(left[i], most // sizes[i]), 1
+        while rest and not sums >> goal & 1:
+            times = min(times, rest)
+            if len(steps) % stride == 0:
+                kept[len(steps)] = sums
+                if len(kept) > 2 * stride:
+                    stride *= 2
+                    kept = {n: s for n, s in kept.items() if n % stride == 0}
+            steps.append((i, times))
+            sums |= (sums << (times * sizes[i])) & mask
+            rest, times = rest - times, 2 * times
+    return steps, kept, sums
+
+
+def _way_back(
+    sizes: list[int], steps: list[tuple[int, int]], kept: dict[int, int], at: int, most: int,
+) -> Iterator[tuple[int, int]]:
+    """The steps that make up the sum ``at``, last first: those without which it can't be reached."""
+    mask, end = (1 << (most + 1)) - 1, len(steps)
+    for first in sorted(kept, reverse=True):
+        before = [kept[first]]
+        for i, times in steps[first:end - 1]:
+            before.append(before[-1] | (before[-1] << (times * sizes[i])) & mask)
+        for n in range(end - 1, first - 1, -1):
+            i, times = steps[n]
+            if not before[n - first] >> at & 1:
+                yield i, times
+                at -= times * sizes[i]
+        end = first
+
+
 def _fit_source(cap: float):
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("size", ignore_index=True)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ohlcraft.llm.common import stage
+from ohlcraft.llm.common import numbered, stage
 
 
 @dataclass(frozen=True)
@@ -111,28 +111,34 @@ def _emit(node, near, score, kind: T.StructType) -> pa.RecordBatch:
 
 
 def _first_graph(codes: DataFrame, settings: Settings) -> DataFrame:
-    """Candidates from blocks of vectors that stand together by random planes' signs."""
-    kind = _scored(codes.schema["node"].dataType)
+    """Candidates from blocks of vectors that stand together by random planes' signs.
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, x = batch.column(0).to_numpy(), _decoded(batch.column(1))
-            for a in range(0, len(ids), settings.block):
-                own, some = ids[a:a + settings.block], x[a:a + settings.block]
-                scores = some @ some.T
-                np.fill_diagonal(scores, -np.inf)
-                most = min(settings.neighbours, len(own) - 1)
-                if most < 1:
-                    continue
-                near = np.argpartition(-scores, most - 1, axis=1)[:, :most]
-                yield _emit(
-                    np.repeat(own, most), own[near].ravel(), np.take_along_axis(scores, near, 1).ravel(), kind)
+    Blocks are cut by the place in the whole order, whatever the partitions; they are of even size,
+    from ``block`` members to less than twice as many, or one if there are fewer vectors.
+    """
+    kind = _scored(codes.schema["node"].dataType)
+    blocks = max(1, codes.count() // settings.block)
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids, x = rows["node"].to_numpy(), _decoded(rows["code"].combine_chunks())
+        most = min(settings.neighbours, len(ids) - 1)
+        if most < 1:
+            return pa.Table.from_batches([_emit(ids[:0], ids[:0], np.empty(0), kind)])
+        order = np.argsort(ids)  # rows come in any order
+        ids, x = ids[order], x[order]
+        scores = x @ x.T
+        np.fill_diagonal(scores, -np.inf)
+        near = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+        return pa.Table.from_batches([_emit(
+            np.repeat(ids, most), ids[near].ravel(), np.take_along_axis(scores, near, 1).ravel(), kind)])
 
     found = None
     for i in range(settings.passes):
-        key = F.element_at("keys", i + 1)
-        near = codes.select("node", "code", key.alias("key")).repartitionByRange("key", "node").sortWithinPartitions(
-            "key", "node").select("node", "code").mapInArrow(blocks, kind)
+        keyed = codes.select("node", "code", F.element_at("keys", i + 1).alias("key"))
+        placed = numbered(keyed, [], ["key", "node"], "place", few=True)
+        # the last block takes what is left over
+        block = F.least(F.floor(F.col("place") / settings.block), F.lit(blocks - 1))
+        near = placed.select("node", "code", block.alias("block")).groupBy("block").applyInArrow(compare, kind)
         found = near if found is None else found.union(near)
     return found
 

@@ -1,6 +1,7 @@
 """Mixing against a loop over the sources."""
 
 import re
+import tracemalloc
 from collections import defaultdict
 from itertools import product
 
@@ -70,3 +71,17 @@ def test_fit_is_a_subset_near_the_budget():
             assert got in sums and abs(budget - got) == min(abs(budget - x) for x in sums)
     many = mixing.fit_counts(list(range(1, 400)), [30] * 399, 1_000_003)
     assert sum(s * n for s, n in zip(range(1, 400), many)) == 1_000_003
+
+
+def test_one_very_long_text_needs_little_memory():
+    """2000 lengths of 500 documents, and a text of 5 million words."""
+    sizes, counts = [*range(1, 2001), 5_000_000], [500] * 2000 + [1]
+    budget = 0.7 * sum(s * c for s, c in zip(sizes, counts))
+    tracemalloc.start()
+    try:
+        taken = mixing.fit_counts(sizes, counts, budget)
+        assert tracemalloc.get_traced_memory()[1] < 500_000_000
+    finally:
+        tracemalloc.stop()
+    assert sum(s * t for s, t in zip(sizes, taken)) == round(budget)
+    assert all(0 <= t <= c for t, c in zip(taken, counts))

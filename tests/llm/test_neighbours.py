@@ -1,6 +1,7 @@
 """Nearest neighbours against all inner products."""
 
 import numpy as np
+import pytest
 
 from ohlcraft.llm import neighbours
 
@@ -50,3 +51,32 @@ def test_odd_vectors(spark):
     assert neighbours.nearest(frame.limit(0)).count() == 0
     one = spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>")
     assert neighbours.nearest(one).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 64, 211])
+def test_small_tables_on_many_partitions(spark, partitions):
+    """Nothing is lost where partitions hold one vector or none."""
+    draw = np.random.default_rng(8)
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        for n in (2, 15):
+            rows = [(i, v.astype(np.float32).astype(float).tolist()) for i, v in enumerate(draw.standard_normal((n, 6)))]
+            frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(partitions)
+            settings = neighbours.Settings(passes=2, rounds=1)
+            assert _found(neighbours.nearest(frame, settings=settings).collect()) == _expected(rows, 20, 20)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_first_graph_has_even_blocks(spark):
+    draw = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.standard_normal((300, 8)))]
+    settings = neighbours.Settings(passes=1, block=32, neighbours=5)
+    nodes = neighbours._nodes(spark.createDataFrame(rows, "vec_id long, vector array<double>"), 3)
+    codes = neighbours.stage(neighbours._rounded(nodes, settings), "codes")
+    edges = [neighbours._first_graph(codes.repartition(n), settings).collect() for n in (1, 50)]
+    assert sorted(edges[0]) == sorted(edges[1]) and len(edges[0]) == 300 * 5
