@@ -3,9 +3,13 @@
 The pages of a host are aligned with one of them by simple tree matching (Yang, 1991). Over all
 pages, a node of that reference page either holds the same text nearly everywhere, so it is
 template, or it is a slot whose text varies. All slots of a page give its main text, or those
-in its <article> or <main> if that holds most of them; elements that announce themselves as
-something else (menus, forms, ...) are left out. A class name announces nothing on a host where
-the elements that bear it hold most of the varying text.
+in its <article> and <main> elements, with the headline before them, if these hold most of them;
+elements that announce themselves as something else (menus, forms, ...) are left out. A class name
+announces nothing on a host where the elements that bear it hold most of the varying text, nor on
+a heading, and inside an article only if it says nothing else.
+
+Subtrees of equal shape match as a whole, and of two lists of children only what lies between
+their equal ends is aligned, in memory that grows with the lists.
 
 Each html of a host counts once, and what may be a copy of the reference only if many different ones
 are. Only sums per host and reference node are gathered. The wrappers of hosts with a thousandth of
@@ -34,6 +38,10 @@ DEPTH = 1_000_000
 #: A node is template if it is the same on this share of the pages beside the reference that have it:
 #: half of the host's pages or more, or so many.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 9
+#: Inside an article, so many pages must be the same: two articles may end alike.
+ARTICLE_PAGES = 3
+#: Cells of an alignment that are held at once.
+CELLS = 1 << 20
 #: A page that shares so much of its text with the reference may be a copy of it.
 COPY_SHARE = 0.9
 
@@ -58,6 +66,14 @@ NAMES = re.compile(
     r"breadcrumbs?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|"
     r"social|share|sharing|related|recommended|recommendations|promo|promoted|sponsored?|sponsor|comments?|disqus|replies|"
     r"widget|toolbar|login|signin|signup|search|pagination|pager|copyright|contentinfo|complementary|dialog|skip")
+# of these, what the parts of an article may be, too
+OF_ARTICLES = re.compile(
+    r"header|masthead|footer|notices?|alert|modal|overlay|search|copyright|contentinfo|complementary|dialog|skip")
+# says nothing about what an element holds
+PLAIN = re.compile(
+    r"box|blocks?|lists?|links?|buttons?|bar|area|inner|outer|wrap|wrapper|container|section|panel|items?|icons?|posts?|"
+    r"articles?|stories|top|bottom|left|right")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WHOLE = re.compile(r"content|article|main|post|entry|story|body|page|wrapper|container|has|with|no")
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
@@ -71,7 +87,7 @@ class Node:
     """An element; ``parts`` are its texts and child elements in order, ``names`` the words of its
     class, id or role that announce something else than main text."""
 
-    __slots__ = ("tag", "parts", "children", "skipped", "names", "number", "own")
+    __slots__ = ("tag", "parts", "children", "skipped", "names", "number", "own", "shape")
 
     def __init__(self, tag: str, skipped: bool, names: frozenset[str] = frozenset()) -> None:
         self.tag, self.skipped, self.names = tag, skipped, names
@@ -96,7 +112,7 @@ class Node:
 
 def _announced(tag: str, marks: str, inside: bool) -> tuple[bool, frozenset[str]]:
     """Is the element no main text by its tag or hidden, and the words that say so by name.
-    Headers inside an article are main text."""
+    Headers inside an article are main text, and names there must say nothing else."""
     if tag in BOILERPLATE:
         return not (tag == "header" and inside), frozenset()
     if not marks or tag in ("html", "body", "main", "article"):
@@ -106,11 +122,15 @@ def _announced(tag: str, marks: str, inside: bool) -> tuple[bool, frozenset[str]
         key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
             return True, frozenset()
-        if key in ("class", "id", "role"):
+        if key in ("class", "id", "role") and tag not in HEADINGS:
             for name in value.lower().split():
                 parts = [w for w in re.split(r"[-_:]+", name) if w]
-                if not any(map(WHOLE.fullmatch, parts)):
-                    words.update(filter(NAMES.fullmatch, parts))
+                said = {w for w in parts if NAMES.fullmatch(w)}
+                if inside:
+                    if not any(map(OF_ARTICLES.fullmatch, said)) and all(w in said or PLAIN.fullmatch(w) for w in parts):
+                        words |= said
+                elif not any(map(WHOLE.fullmatch, parts)):
+                    words |= said
     return False, frozenset(words)
 
 
@@ -196,10 +216,6 @@ def nodes(root: Node) -> list[Node]:
     return found
 
 
-def _key(node: Node) -> tuple[str, bool]:
-    return node.tag, node.skipped
-
-
 def name_masses(page: Node, constant: set[int]) -> dict[str, int]:
     """By name, the text in elements that bear it, apart from nodes whose id is in ``constant``;
     under "" all such text. No names count if an <article> or <main> outside them holds some."""
@@ -234,62 +250,141 @@ def skip_named(page: Node, void: set[str]) -> None:
         left.extend((child, node.skipped) for child in node.children)
 
 
-def match(left: Node, right: Node) -> dict[int, Node]:
-    """Simple tree matching: the numbers of left's nodes with their counterparts in right, as many
-    as possible, in order and below matched parents. Skipped subtrees match as a whole."""
-    scores: dict[tuple[int, int], tuple[int, list | None]] = {}
+class Shapes:
+    """Numbers of the shapes of subtrees: of tags and children, not texts; and how well two match."""
+
+    def __init__(self) -> None:
+        self._numbers: dict[tuple, int] = {}
+        self._sizes: list[int] = []
+        self._matched: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
-    def score(a: Node, b: Node) -> int:
-        if _key(a) != _key(b):
+    def mark(self, root: Node) -> None:
+        """Sets the shapes of all nodes of a tree."""
+        for node in reversed(nodes(root)):
+            parts = () if node.skipped else tuple([child.shape for child in node.children])
+            node.shape = self._numbers.setdefault((node.tag, node.skipped, parts), len(self._numbers))
+            if node.shape == len(self._sizes):
+                self._sizes.append(1 + sum([self._sizes[shape] for shape in parts]))
+
+    def score(self, a: Node, b: Node) -> int:
+        """How many nodes of two subtrees match."""
+        if a.shape == b.shape:
+            return self._sizes[a.shape]
+        if (a.tag, a.skipped) != (b.tag, b.skipped):
             return 0
         if a.skipped or not a.children or not b.children:
             return 1
-        place = (a.number, b.number)
-        if place not in scores:
-            old, rows = [0] * (len(b.children) + 1), []
-            for x in a.children:
-                new = [0]
-                for j, y in enumerate(b.children):
-                    new.append(max(old[j] + score(x, y), old[j + 1], new[j]))
-                rows.append(old)
-                old = new
-            rows.append(old)
-            scores[place] = old[-1] + 1, rows
-        return scores[place][0]
+        return self.matched(a, b)[0]
+
+    def matched(self, a: Node, b: Node) -> tuple[int, list[tuple[int, int]]]:
+        """The score of two subtrees whose roots match, and the places of the children that do."""
+        if a.skipped:
+            return 1, []
+        place = a.shape, b.shape
+        if place not in self._matched:
+            x, y = a.children, b.children
+            first, last = 0, 0
+            least = min(len(x), len(y))
+            while first < least and x[first].shape == y[first].shape:
+                first += 1
+            while last < least - first and x[-1 - last].shape == y[-1 - last].shape:
+                last += 1
+            pairs = [(i, i) for i in range(first)]
+            middle = self._aligned(x[first:len(x) - last], y[first:len(y) - last])
+            pairs += [(first + i, first + j) for i, j in middle]
+            pairs += [(len(x) - n, len(y) - n) for n in range(last, 0, -1)]
+            self._matched[place] = 1 + sum([self.score(x[i], y[j]) for i, j in pairs]), pairs
+        return self._matched[place]
+
+    def _aligned(self, x: list[Node], y: list[Node]) -> list[tuple[int, int]]:
+        """Places of two lists that match in order with the largest sum of scores."""
+        if not x or not y:
+            return []
+        kinds_x, kinds_y = {n.shape: n for n in x}, {n.shape: n for n in y}
+        of_x, of_y = list(kinds_x), list(kinds_y)
+        scores = np.array([[self.score(kinds_x[i], kinds_y[j]) for j in of_y] for i in of_x], np.int64)
+        at = {shape: j for j, shape in enumerate(of_y)}
+        columns = np.array([at[n.shape] for n in y])
+        rows = {shape: scores[i][columns] for i, shape in enumerate(of_x)}
+        return _best_pairs([rows[n.shape] for n in x], len(y))
+
+
+def _ahead(rows: list[np.ndarray], m: int) -> np.ndarray:
+    """The best sums of all rows with the first 0 to m columns."""
+    best = np.zeros(m + 1, np.int64)
+    for row in rows:
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + row))
+    return best
+
+
+def _best_pairs(rows: list[np.ndarray], m: int, at: int = 0, left: int = 0) -> list[tuple[int, int]]:
+    """The pairs of row and column, both rising, of the largest sum (Hirschberg, 1975): halves
+    the rows where the table is large, so that memory grows with its sides."""
+    n = len(rows)
+    if not n or not m:
+        return []
+    if n > 1 and n * m > CELLS:
+        half = n // 2
+        total = _ahead(rows[:half], m) + _ahead([row[::-1] for row in rows[:half - 1:-1]], m)[::-1]
+        cut = int(np.argmax(total))
+        return _best_pairs([row[:cut] for row in rows[:half]], cut, at, left) + _best_pairs(
+            [row[cut:] for row in rows[half:]], m - cut, at + half, left + cut)
+    table = np.zeros((n + 1, m + 1), np.int64)
+    for i, row in enumerate(rows):
+        table[i + 1, 1:] = np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + row))
+    found, i, j = [], n, m
+    while i and j:
+        if table[i, j] == table[i - 1, j]:
+            i -= 1
+        elif table[i, j] == table[i, j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            found.append((at + i, left + j))
+    return found[::-1]
+
 
+def match(left: Node, right: Node) -> dict[int, Node]:
+    """Simple tree matching: the numbers of left's nodes with their counterparts in right, as many
+    as possible, in order and below matched parents. Skipped subtrees match as a whole."""
+    shapes = Shapes()
+    shapes.mark(left)
+    shapes.mark(right)
     found: dict[int, Node] = {}
-    left_over = [(left, right)] if score(left, right) else []
+    left_over = [(left, right)] if shapes.score(left, right) else []
     while left_over:
         a, b = left_over.pop()
         found[a.number] = b
-        rows = scores.get((a.number, b.number), (0, None))[1]
-        i, j = len(a.children), len(b.children)
-        while rows and i and j:
-            if rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                left_over.append((a.children[i], b.children[j]))
+        if a.skipped:
+            continue
+        if a.shape == b.shape:
+            left_over.extend(zip(a.children, b.children))
+        elif a.children and b.children:
+            left_over.extend((a.children[i], b.children[j]) for i, j in shapes.matched(a, b)[1])
     return found
 
 
-def main_element(page: Node, template: set[int]) -> Node:
-    """The outermost <article> or <main> that holds most of the text that isn't template, or the
-    whole page."""
+def main_elements(page: Node, template: set[int]) -> list[Node]:
+    """The outermost <article> and <main> elements and the headlines before them, if the former
+    hold most of the text that isn't template; or else the whole page."""
     all_nodes = nodes(page)
     total = {}
     for node in reversed(all_nodes):
         own = 0 if node.skipped or id(node) in template else len(node.text())
-        total[node.number] = own + sum(total[c.number] for c in node.children)
-    at = page
-    while at.tag not in ("article", "main"):
-        best = max(at.children, key=lambda c: total[c.number], default=None)
-        if best is None or total[best.number] <= 0.6 * total[page.number]:
-            return page
-        at = best
-    return at
+        total[node.number] = own + sum([total[c.number] for c in node.children])
+    marked, headlines, left = [], [], [page]
+    while left:
+        node = left.pop()
+        if node.tag in ("article", "main") and not node.skipped:
+            marked.append(node)
+            continue
+        if node.tag == "h1" and not marked and not node.skipped and id(node) not in template:
+            headlines.append(node)
+        left.extend(reversed(node.children))
+    marked = [node for node in marked if total[node.number]]
+    if marked and sum(total[n.number] for n in marked) > 0.6 * total[page.number]:
+        return headlines + marked
+    return [page]
 
 
 def compared(reference: Node, page: Node) -> tuple[list[int], list[int], float, dict[str, int]]:
@@ -332,10 +427,11 @@ class Wrapper:
         evidence = next((s[1:] for s in sums if s[0] == 0), (0, 0, 0, 0))
         copies = evidence[2] >= TEMPLATE_PAGES  # so many different ones aren't copies
         least = max(1, min(TEMPLATE_PAGES, (evidence[0] + copies * evidence[2]) / 2))
+        inside = inside_articles(self.reference)
         for n, pages, same, more, more_same in sums:
             if copies:
                 pages, same = pages + more, same + more_same
-            if pages >= least and same and same >= TEMPLATE_SHARE * pages:
+            if pages >= (max(least, ARTICLE_PAGES) if n in inside else least) and same and same >= TEMPLATE_SHARE * pages:
                 self.template[n] = self.reference.own[n].text()
 
     def text(self, page: Node) -> str:
@@ -343,7 +439,23 @@ class Wrapper:
         template = {
             id(matched[n]) for n, text in self.template.items() if n in matched and matched[n].text() == text}
         skip_named(page, void_names(name_masses(page, set())) if self.void is None else self.void)
-        return "\n".join(blocks(main_element(page, template), template)) or "\n".join(blocks(main_element(page, set())))
+        return _joined(main_elements(page, template), template) or _joined(main_elements(page, set()), set())
+
+
+def inside_articles(page: Node) -> set[int]:
+    """Numbers of the nodes in an <article> or <main>."""
+    found, left = set(), [(page, False)]
+    while left:
+        node, inside = left.pop()
+        inside = inside or node.tag in ("article", "main")
+        if inside:
+            found.add(node.number)
+        left.extend((child, inside) for child in node.children)
+    return found
+
+
+def _joined(elements: list[Node], template: set[int]) -> str:
+    return "\n".join(block for node in elements for block in blocks(node, template))
 
 
 def blocks(node: Node, template: set[int] = frozenset()) -> Iterator[str]:

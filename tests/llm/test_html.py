@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from html import escape, unescape
 
 import pytest
@@ -119,3 +120,77 @@ def test_names_and_hidden_attributes_by_what_they_hold(spark):
     odd = ["<div class='overflow-hidden p-4'>text</div><p title='hidden gems'>more</p><p hidden>no</p>"
            "<p style='display: none'>no</p><p aria-hidden=true>no</p><p data-class=menu>end</p>"]
     assert _texts(spark, [("http://o/", p) for p in odd]) == ["text\nmore\nend"]
+
+
+LONG = "long " * 60
+
+
+@pytest.mark.parametrize("page, expected", [
+    (f"<h1>Headline</h1><article><p>{LONG}</p></article>", f"Headline\n{LONG}"),
+    (f"<article><p>{LONG}</p></article><article><p>{LONG[:30]}</p></article>", f"{LONG}\n{LONG[:30]}"),
+    (f"<article><p>{LONG}</p><section id='related-work'><p>Others</p></section></article>", f"{LONG}\nOthers"),
+    (f"<article><h2 id='search'>Search</h2><p>{LONG}</p></article>", f"Search\n{LONG}"),
+    (f"<article><p>{LONG}</p><p class='notice'>Take notice</p></article>", f"{LONG}\nTake notice"),
+    (f"<article><div class='header'><h1>Title</h1></div><p>{LONG}</p></article>", f"Title\n{LONG}"),
+    (f"<article><p>{LONG}</p><div class='share-buttons'>Share</div><div class=ad>Buy</div><div id=comments>Nice</div></article>", LONG),
+    (f"<div class=header><h1>Site</h1></div><header><h1>Site</h1></header><article><p>{LONG}</p></article>", LONG),
+])
+def test_pages_without_others_of_their_host(spark, page, expected):
+    assert _texts(spark, [("http://alone/", page)]) == ["\n".join(x.strip() for x in expected.split("\n"))]
+
+
+def test_two_articles_that_end_alike(spark):
+    pages = [f"<div>Home</div><article><p>{word * 50}</p><p>The end of it all</p></article>" for word in ("one ", "two ")]
+    found = _texts(spark, [("http://two/", p) for p in pages])
+    assert found == [f"{(word * 50).strip()}\nThe end of it all" for word in ("one ", "two ")]
+
+
+def _largest(a, b):
+    """Simple tree matching by its recursion."""
+    if (a.tag, a.skipped) != (b.tag, b.skipped):
+        return 0
+    if a.skipped:
+        return 1
+    rows = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + _largest(x, y))
+    return 1 + rows[-1][-1]
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 1])
+def test_matching_equals_its_recursion(monkeypatch, cells):
+    monkeypatch.setattr(html, "CELLS", cells)
+    draw = random.Random(12)
+
+    def tree(depth):
+        tag = draw.choice(["div", "section", "p", "ul", "form"])
+        inner = "".join(tree(depth - 1) for _ in range(draw.randint(0, 4))) if depth and tag != "p" else "x"
+        return f"<{tag}>{inner}</{tag}>"
+
+    for _ in range(150):
+        left, right = (html.parse("".join(tree(3) for _ in range(4))) for _ in range(2))
+        found = html.match(left, right)
+        assert len(found) == _largest(left, right)
+        own = {node.number: node for node in html.nodes(left)}
+        parents = {child.number: n for n, node in own.items() for child in node.children}
+        to = {child.number: node.number for node in html.nodes(right) for child in node.children}
+        for n, node in found.items():
+            assert own[n].tag == node.tag and (not n or to[node.number] == found[parents[n]].number)
+        assert len({node.number for node in found.values()}) == len(found)
+
+
+def test_very_many_paragraphs(spark):
+    """A page of 50,000, and two long lists that are unlike from their first element on."""
+    body = "".join(f"<p>p{i}</p>" for i in range(50_000))
+    said = "\n".join(f"p{i}" for i in range(50_000))
+    assert _texts(spark, [("http://m/", f"<div>Menu</div><div>{body}</div>"), ("http://m/", f"<div>Menu</div><div><p>q</p></div>")]) == [
+        said, "q"]
+    draw = random.Random(3)
+    left, right = (html.parse("".join(draw.choice(["<h2>t</h2>", "<p>x</p>", "<ul><li>a</ul>"]) for _ in range(6000))) for _ in range(2))
+    tracemalloc.start()
+    try:
+        assert len(html.match(left, right)) > 5000
+        assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    finally:
+        tracemalloc.stop()
