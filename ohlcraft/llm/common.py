@@ -1,6 +1,8 @@
 """What several operators share: tables, staging in the shared folder, words, row numbers."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -32,6 +34,19 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def rows_a_batch(spark: SparkSession, n: int) -> Iterator[None]:
+    """Hands Python tasks at most n rows at once in the jobs run meanwhile: where rows are large,
+    Spark's usual number of them would not fit a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -4,7 +4,7 @@ A document's normaliser depends on its number of terms alone, so documents with
 a stratum, in which a term's share of the score (its impact, before the term's weight) depends on
 nothing but how often it occurs. The index has a row per block of a stratum: the documents, the
 terms, and per term its postings grouped by occurrences, with the impact computed once for
-each number of occurrences.
+each number of occurrences. Numbers are kept as bytes, terms with blanks between them.
 
 A search takes the items in blocks of bounded size. The highest impacts of a block bound
 the scores of its documents for each item. The blocks of the highest bounds are visited first;
@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ohlcraft.llm.common import stage
+from ohlcraft.llm.common import rows_a_batch, stage
 from ohlcraft.llm.tokens import slices
 
 #: Most documents and postings of a block; a document with more postings is a block of its own.
@@ -31,8 +31,12 @@ BLOCK_DOCUMENTS, BLOCK_POSTINGS = 1024, 65_536
 QUERY_PAIRS, QUERY_ITEMS = 200_000, 2_000
 #: Blocks visited first, per item and result asked for.
 FIRST_VISITS = 2
+#: Documents and blocks handed to a Python task at once.
+DOCUMENTS_A_BATCH, BLOCKS_A_BATCH = 200, 8
+#: Bytes of text counted at once.
+SLICE_BYTES = 4_000_000
 #: Sums formed at once.
-AT_ONCE = 4_000_000
+AT_ONCE = 250_000
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: What a byte becomes: letters small, digits and bytes of other characters themselves, else blank.
@@ -50,32 +54,32 @@ class Index:
     id_type: T.DataType
 
 
-def _lists(values: pa.Array, sizes: list[int] | np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The numbers of the rows in turn, which are kept as bytes of 4 each."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<i4")
 
 
 def term_counts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Of each whole text: id, n (its terms), terms (distinct), tfs (occurrences of each)."""
+    """Of each whole text: id, n (its terms), terms (distinct ones with blanks between), tfs (the
+    occurrences of each, 4 bytes each): compact rows, as they are shuffled."""
     kind = T.StructType([
         T.StructField("id", rows.schema[id_col].dataType), T.StructField("n", T.LongType()),
-        T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("tfs", T.ArrayType(T.IntegerType()))])
+        T.StructField("terms", T.StringType()), T.StructField("tfs", T.BinaryType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 texts = pc.fill_null(batch.column(1).slice(a, b - a).cast(pa.string()), "").cast(pa.binary())
-                terms, tfs, sizes, lengths = [], [], [], []
+                terms, tfs, lengths = [], [], []
                 for text in texts:
                     words = text.as_py().translate(_AS_TERMS).split()
                     counts = Counter(words)
-                    terms += counts
-                    tfs += counts.values()
-                    sizes.append(len(counts))
+                    terms.append(b" ".join(counts))
+                    tfs.append(np.fromiter(counts.values(), "<i4", len(counts)).tobytes())
                     lengths.append(len(words))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(lengths, pa.int64()),
-                    _lists(pa.array(terms, pa.binary()).cast(pa.string()), sizes),
-                    _lists(pa.array(tfs, pa.int32()), sizes)], names=kind.names)
+                    pa.array(terms, pa.binary()).cast(pa.string()), pa.array(tfs, pa.binary())], names=kind.names)
 
     return rows.select(id_col, text_col).mapInArrow(count, kind)
 
@@ -92,11 +96,16 @@ def _cuts(m: np.ndarray, sizes: np.ndarray) -> list[int]:
     return [*found, len(strata)]
 
 
+def _sizes(rows: pa.RecordBatch) -> np.ndarray:
+    """Distinct terms of each document."""
+    return pc.binary_length(rows.column("tfs")).to_numpy() // 4
+
+
 def _block(rows: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
     """One block of documents with an equal normaliser."""
-    m, sizes = rows.column("m")[0].as_py(), pc.list_value_length(rows.column("terms")).to_numpy()
-    coded = rows.column("terms").flatten().dictionary_encode()
-    codes, tfs = coded.indices.to_numpy(), rows.column("tfs").flatten().to_numpy().astype(np.int64)
+    m, sizes = rows.column("m")[0].as_py(), _sizes(rows)
+    coded = pc.split_pattern(rows.column("terms"), " ").flatten().dictionary_encode()
+    codes, tfs = coded.indices.to_numpy(), _numbers(rows.column("tfs")).astype(np.int64)
     documents = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     order = np.lexsort((documents, tfs, codes))
     codes, tfs, documents = codes[order], tfs[order], documents[order]
@@ -107,13 +116,13 @@ def _block(rows: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
     group_counts = np.bincount(of_term, minlength=len(coded.dictionary))
     # groups are sorted by occurrences, and impacts grow with them
     tops = impacts[np.cumsum(group_counts) - 1]
-    values = [
-        coded.dictionary, *(pa.array(x.astype(np.int32)) for x in (
-            tops, np.bincount(codes, minlength=len(coded.dictionary)), group_counts, tfs[starts], impacts,
-            np.diff([*starts, len(codes)]), documents))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([m]), pa.array([len(sizes)], pa.int32()), _lists(rows.column("id"), [len(rows)]),
-         *(_lists(v, [len(v)]) for v in values)], names=names)
+    dfs, sizes_of = np.bincount(codes, minlength=len(coded.dictionary)), np.diff([*starts, len(codes)])
+    numbers = [pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in (
+        tops, dfs, group_counts, tfs[starts], impacts, sizes_of, documents)]
+    ids = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows.column("id"))
+    return pa.RecordBatch.from_arrays([
+        pa.array([m]), pa.array([len(rows)], pa.int32()), ids,
+        pa.array([" ".join(coded.dictionary.to_pylist())], pa.string()), *numbers], names=names)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
@@ -122,19 +131,20 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Null and empty texts and those without terms are not in it. Rows are documents, whatever ids
     repeat or are null; other columns are not read.
     """
-    counts = stage(term_counts(docs, id_col, text_col), "terms").where("n > 0")
+    spark = docs.sparkSession
+    with rows_a_batch(spark, DOCUMENTS_A_BATCH):
+        counts = stage(term_counts(docs, id_col, text_col), "terms").where("n > 0")
     n_documents, n_terms = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     # in decimals: the product exceeds 64 bits on large corpora
     m = F.expr(f"10L + CAST(CAST(90 AS DECIMAL(20,0)) * n * CAST({n_documents} AS DECIMAL(18,0)) div {max(n_terms, 1)} AS BIGINT)")
     keys = [F.col("m"), F.asc_nulls_last("id"), F.col("_tie")]
     dealt = counts.select("id", m.alias("m"), "terms", "tfs", F.monotonically_increasing_id().alias("_tie"))
     dealt = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
-    ints = T.ArrayType(T.IntegerType())
     id_type = docs.schema[id_col].dataType
     kind = T.StructType([
         T.StructField("m", T.LongType()), T.StructField("n_documents", T.IntegerType()),
-        T.StructField("ids", T.ArrayType(id_type)), T.StructField("terms", T.ArrayType(T.StringType())),
-        *(T.StructField(name, ints) for name in ("tops", "dfs", "group_counts", "tfs", "impacts", "sizes", "documents"))])
+        T.StructField("ids", T.ArrayType(id_type)), T.StructField("terms", T.StringType()),
+        *(T.StructField(name, T.BinaryType()) for name in ("tops", "dfs", "group_counts", "tfs", "impacts", "sizes", "documents"))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -143,14 +153,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 batch = pa.concat_batches([held, batch])
             if not len(batch):
                 continue
-            cuts = _cuts(batch.column("m").to_numpy(), pc.list_value_length(batch.column("terms")).to_numpy())
+            cuts = _cuts(batch.column("m").to_numpy(), _sizes(batch))
             for a, b in zip(cuts[:-2], cuts[1:-1]):
                 yield _block(batch.slice(a, b - a), kind.names)
             held = batch.slice(cuts[-2])
         if held is not None:
             yield _block(held, kind.names)
 
-    blocks = stage(dealt.mapInArrow(cut, kind).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    with rows_a_batch(spark, DOCUMENTS_A_BATCH):
+        blocks = stage(dealt.mapInArrow(cut, kind).withColumn("block", F.monotonically_increasing_id()), "blocks")
     return Index(blocks, n_documents, n_terms, id_type)
 
 
@@ -180,10 +191,10 @@ class _Asked:
 
     def bounds(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
         """Runs of rows, first and last, with the bounds of each row and item."""
-        lists = batch.column("terms")
+        lists = pc.split_pattern(batch.column("terms"), " ")
         known = self.known(lists.flatten())
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-        tops = batch.column("tops").flatten().to_numpy().astype(np.int64)
+        tops = _numbers(batch.column("tops")).astype(np.int64)
         hits = np.flatnonzero(known >= 0)
         row = np.searchsorted(ends, hits, "right") - 1
         pairs = np.concatenate([[0], np.cumsum(np.bincount(row, self.counts[known[hits]], minlength=len(batch)))])
@@ -236,9 +247,9 @@ def _weigh(asked: _Asked, index: Index) -> None:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(asked.terms), np.int64)
         for batch in batches:
-            known = asked.known(batch.column(0).flatten())
+            known = asked.known(pc.split_pattern(batch.column(0), " ").flatten())
             hit = known >= 0
-            np.add.at(total, known[hit], batch.column(1).flatten().to_numpy()[hit])
+            np.add.at(total, known[hit], _numbers(batch.column(1))[hit])
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["term", "df"])
 
@@ -280,8 +291,9 @@ def _visited(asked: _Asked, index: Index, rows: DataFrame, k: int, beat: np.ndar
         least, best = beat.copy(), np.zeros((len(asked.items), k))
 
         def visited(batch: pa.RecordBatch, i: int, items: np.ndarray) -> pa.RecordBatch:
-            row = {name: batch.column(name)[i].values.to_numpy() for name in _PARTS}
-            ids, known = batch.column("ids")[i].values, asked.known(batch.column("terms")[i].values)
+            row = {name: np.frombuffer(batch.column(name)[i].as_py(), "<i4") for name in _PARTS}
+            ids = batch.column("ids")[i].values
+            known = asked.known(pc.split_pattern(batch.column("terms").slice(i, 1), " ").flatten())
             scores = asked.scores(row, known, items, len(ids))
             which, document = np.nonzero(scores >= least[items][:, None])
             score = scores[which, document]
@@ -318,6 +330,17 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _found(asked: _Asked, index: Index, k: int) -> DataFrame:
+    """Rows (item, id, score, rank) of some items."""
+    _weigh(asked, index)
+    beat = np.ones(len(asked.items))
+    visits = _first_visits(asked, index, FIRST_VISITS * k)
+    first = _visited(asked, index, index.blocks.join(F.broadcast(visits), "block"), k, beat)
+    for row in _ranked(first, k).where(F.col("rank") == k).collect():
+        beat[row.item] = row.score
+    return _ranked(_visited(asked, index, index.blocks, k, beat), k)
+
+
 def search(
     index: Index, items: DataFrame, k: int = 10, id_col: str = "item_id", text_col: str = "text",
 ) -> DataFrame:
@@ -328,7 +351,8 @@ def search(
     terms no document holds get no rows; nor does anything from an empty index.
     """
     spark = items.sparkSession
-    pairs = term_counts(items, id_col, text_col).select("id", F.explode("terms").alias("term")).distinct()
+    pairs = term_counts(items, id_col, text_col).where("n > 0").select(
+        "id", F.explode(F.split("terms", " ")).alias("term")).distinct()
     pairs = stage(pairs, "asked")
     n_pairs, n_items = pairs.agg(F.count(F.lit(1)), F.approx_count_distinct("id")).first()
     turns = max(1, math.ceil(n_pairs / QUERY_PAIRS), math.ceil(n_items / QUERY_ITEMS))
@@ -343,13 +367,8 @@ def search(
         if not len(some):
             continue
         asked = _Asked(some)
-        _weigh(asked, index)
-        beat = np.ones(len(asked.items))
-        visits = _first_visits(asked, index, FIRST_VISITS * k)
-        first = _visited(asked, index, index.blocks.join(F.broadcast(visits), "block"), k, beat)
-        for row in _ranked(first, k).where(F.col("rank") == k).collect():
-            beat[row.item] = row.score
-        found = stage(_ranked(_visited(asked, index, index.blocks, k, beat), k), "found")
+        with rows_a_batch(spark, BLOCKS_A_BATCH):
+            found = stage(_found(asked, index, k), "found")
 
         def named(batches: Iterator[pa.RecordBatch], ids: pa.Array = asked.items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
