@@ -4,8 +4,8 @@ A document's histograms of character classes and of common words are held agains
 language by Jensen-Shannon distance. The references come from all documents: the classes
 and the commonest words of every language. They are a table; its largest rows, NEAREST at most,
 go to all tasks, and the documents of languages beyond them are joined to theirs. A document
-whose language is null or too small for a stable reference is held against the nearest of the
-NEAREST. Short texts scatter more, so that a limit falls with the number of
+whose language is null or too small for a stable reference is held against the nearest of all:
+of those that the tasks have, and of the others, which it meets NEAREST at a time. Short texts scatter more, so that a limit falls with the number of
 words to its long-text value, and texts below a least length get no verdict. Plain
 counts of words, symbols and repetition come first.
 """
@@ -14,7 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
 MARKS = b".,;:!?'\"()-"
 WINDOW = 8
-#: Languages whose references go to all tasks.
+#: Languages whose references go to all tasks at once.
 NEAREST = 1000
 
 
@@ -93,12 +93,55 @@ class Reference:
     counts: np.ndarray  # of these words, of all others, and of words of marks and symbols alone
 
 
+def _distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """:func:`distance` of a row each."""
+    sums_p, sums_q = p.sum(axis=1, keepdims=True), q.sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p, q = p / sums_p, q / sums_q
+        m = (p + q) / 2
+        parts = np.where(p > 0, p * np.log2(p / m), 0) + np.where(q > 0, q * np.log2(q / m), 0)
+        found = np.sqrt(np.maximum(0.0, parts.sum(axis=1) / 2))
+    return np.where((sums_p[:, 0] > 0) & (sums_q[:, 0] > 0), found, 1.0)
+
+
+class Languages(dict):
+    """References by language, and a text's distances from all of them at once."""
+
+    @cached_property
+    def _arrays(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+        refs = list(self.values())
+        places = {word: i for i, word in enumerate(dict.fromkeys(w for ref in refs for w in ref.words))}
+        most = max(len(ref.words) for ref in refs)
+        at = np.full((len(refs), most), len(places))  # beyond the last stands for no word
+        counts = np.zeros((len(refs), most + 2))
+        for i, ref in enumerate(refs):
+            at[i, :len(ref.words)] = [places[word] for word in ref.words]
+            counts[i, :len(ref.words)], counts[i, most:] = ref.counts[:-2], ref.counts[-2:]
+        return places, at, counts, np.array([ref.classes for ref in refs])
+
+    def nearest(self, found: Counter, plain: int, marks: int, histogram: np.ndarray) -> tuple[float, float, int]:
+        """The least distance of the words, that of the classes from the same language, and which
+        one it is; among equals of the least distance of classes."""
+        places, at, counts, classes = self._arrays
+        own = np.zeros(len(places) + 1)
+        for word, n in found.items():
+            place = places.get(word)
+            if place is not None:
+                own[place] = n
+        common = own[at]
+        words = np.concatenate([common, plain - common.sum(axis=1, keepdims=True), np.full((len(at), 1), marks)], axis=1)
+        by_words = _distances(words, counts)
+        by_classes = _distances(np.broadcast_to(histogram, classes.shape), classes)
+        best = int(np.lexsort((by_classes, by_words))[0])
+        return float(by_words[best]), float(by_classes[best]), best
+
+
 @dataclass(frozen=True)
 class References:
     """Those of the largest languages, and a table (lang, words, counts, classes) of the others;
     none if there are no others."""
 
-    largest: dict[str, Reference]
+    largest: Languages
     others: DataFrame | None
 
 
@@ -173,7 +216,7 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
     if stable.isEmpty():
         stable = every
     first = stable.orderBy(F.desc("total"), "lang").limit(NEAREST + 1).collect()
-    largest = {r.lang: _reference(r.words, r.counts, r.classes) for r in first[:NEAREST]}
+    largest = Languages({r.lang: _reference(r.words, r.counts, r.classes) for r in first[:NEAREST]})
     others = None
     if len(first) > NEAREST:
         # what comes before the last of the largest is in there
@@ -188,30 +231,79 @@ def _reference(words: list, counts: list, classes: list) -> Reference:
     return Reference(np.array(classes), [bytes(w) for w in words], np.array(counts, float))
 
 
-def _with_references(docs: DataFrame, lang: Column, refs: References, name: str) -> list[DataFrame]:
-    """The rows with a column ``name`` that holds the reference of a language beyond the largest, or
-    null. Only rows of languages that aren't among the largest are joined, so that no group is large."""
-    kind = "struct<lang: string, words: array<binary>, counts: array<double>, classes: array<double>>"
-    if refs.others is None:
-        return [docs.withColumn(name, F.lit(None).cast(kind))]
-    beyond = F.coalesce(~lang.isin(list(refs.largest)), F.lit(False))
-    others = refs.others.select(F.struct("lang", "words", "counts", "classes").alias(name))
-    return [
-        docs.where(~beyond).withColumn(name, F.lit(None).cast(kind)),
-        docs.where(beyond).join(others, lang == F.col(f"{name}.lang"), "left")]
+_KIND = "struct<lang: string, words: array<binary>, counts: array<double>, classes: array<double>, own: boolean>"
 
 
-def _own_references(column: pa.Array) -> list[Reference | None]:
+def _with_references(
+    docs: DataFrame, lang: Column, text: Column, refs: References, name: str, rules: Rules,
+) -> list[DataFrame]:
+    """The rows with a column ``name``: the reference of a language beyond the largest, the document's
+    own or the nearest of those if it has none; or null."""
+    if refs.others is None:
+        return [docs.withColumn(name, F.lit(None).cast(_KIND))]
+    large = F.coalesce(lang.isin(list(refs.largest)), F.lit(False))
+
+    def others(own: bool) -> DataFrame:
+        return refs.others.select(F.struct("lang", "words", "counts", "classes", F.lit(own).alias("own")).alias(name))
+
+    rest = docs.where(~large)
+    key, near = f"{name}_row", f"{name}_near"
+    without = rest.join(refs.others.select(F.col("lang").alias(near)), lang == F.col(near), "left_anti")
+    keyed = stage(without.withColumn(key, F.monotonically_increasing_id()), "without-language")
+    nearest = _nearest_beyond(keyed.select(F.col(key).alias("key"), text.alias("text")), refs, rules)
+    keyed = keyed.join(nearest.select(F.col("key").alias(key), F.col("lang").alias(near)), key, "left")
+    return [
+        docs.where(large).withColumn(name, F.lit(None).cast(_KIND)),
+        rest.join(others(True), lang == F.col(f"{name}.lang")),
+        keyed.join(others(False), F.col(near) == F.col(f"{name}.lang"), "left").drop(key, near)]
+
+
+def _nearest_beyond(rows: DataFrame, refs: References, rules: Rules) -> DataFrame:
+    """Rows (key, text) as key, lang: the nearest language beyond the largest, found by blocks of
+    references, each of which goes to all tasks."""
+    blocks = -(-refs.others.count() // NEAREST)
+    found = None
+    for block in range(blocks):
+        some = refs.others.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block).orderBy("lang").collect()
+        if not some:
+            continue
+        table = Languages({r.lang: _reference(r.words, r.counts, r.classes) for r in some})
+
+        def hold(batches: Iterator[pa.RecordBatch], table: Languages = table) -> Iterator[pa.RecordBatch]:
+            names = list(table)
+            for batch in batches:
+                held = []
+                for key, raw in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                    words = (raw or b"").split()
+                    if len(words) >= min(rules.class_from, rules.word_from):
+                        plain = plain_words(raw)
+                        by_words, by_classes, at = table.nearest(
+                            Counter(plain), len(plain), len(words) - len(plain),
+                            np.bincount(np.frombuffer(raw, np.uint8), minlength=256) @ CLASSES)
+                        held.append((key, by_words, by_classes, names[at]))
+                kinds = (pa.int64(), pa.float64(), pa.float64(), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h[i] for h in held], kind) for i, kind in enumerate(kinds)],
+                    names=["key", "words", "classes", "lang"])
+
+        part = rows.select("key", F.col("text").cast("binary")).mapInArrow(
+            hold, "key long, words double, classes double, lang string")
+        found = part if found is None else found.union(part)
+    return found.groupBy("key").agg(F.min(F.struct("words", "classes", "lang")).alias("best")).select("key", "best.lang")
+
+
+def _own_references(column: pa.Array) -> list[tuple[Reference | None, bool]]:
+    """The references that come with the rows, and whether they are of the row's own language."""
     known: dict[str, Reference] = {}
     found = []
     for cell in column:
         if not cell.is_valid:
-            found.append(None)
+            found.append((None, True))
             continue
         lang = cell["lang"].as_py()
         if lang not in known:
             known[lang] = _reference(*(cell[x].as_py() for x in ("words", "counts", "classes")))
-        found.append(known[lang])
+        found.append((known[lang], cell["own"].as_py()))
     return found
 
 
@@ -246,9 +338,11 @@ MEASURES = [
 
 
 def measure(
-    raw: bytes | None, lang: str | None, refs: dict[str, Reference], rules: Rules, own: Reference | None = None,
+    raw: bytes | None, lang: str | None, refs: dict[str, Reference], rules: Rules,
+    given: tuple[Reference | None, bool] = (None, True),
 ) -> tuple:
-    """The values of MEASURES for one text. ``own``: its language's reference, if not in ``refs``."""
+    """The values of MEASURES for one text. ``given``: a reference that isn't in ``refs``, and whether
+    it is of the text's own language or a nearest one."""
     raw = raw or b""
     seen = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     words = raw.split()
@@ -258,16 +352,23 @@ def measure(
     repeated = repeated_words(words)
     failed = n < rules.least_words or 100 * repeated > round(100 * rules.most_repeated) * n
     classes = counts = None
-    own = own or refs.get(lang)
+    more, is_own = given
+    own = refs.get(lang) or (more if is_own else None)
     if n >= min(rules.class_from, rules.word_from) and (own or refs):
         histogram, plain = seen @ CLASSES, plain_words(raw)
-        found, pairs = Counter(plain), []
-        for ref in [own] if own else refs.values():
+        found = Counter(plain)
+
+        def from_one(ref: Reference) -> tuple[float, float]:
             common = [found[word] for word in ref.words]
-            pairs.append((
-                distance(np.array([*common, len(plain) - sum(common), n - len(plain)], float), ref.counts),
-                distance(histogram, ref.classes)))
-        counts, classes = min(pairs)
+            return (distance(np.array([*common, len(plain) - sum(common), n - len(plain)], float), ref.counts),
+                    distance(histogram, ref.classes))
+
+        if own:
+            counts, classes = from_one(own)
+        else:
+            counts, classes, _ = refs.nearest(found, len(plain), n - len(plain), histogram)
+            if more:
+                counts, classes = min((counts, classes), from_one(more))
     kept = not failed
     if classes is not None and n >= rules.class_from:
         kept &= classes <= rules.class_base + rules.class_scatter / n ** 0.5
@@ -295,15 +396,16 @@ def quality(
         arrow = {"long": pa.int64(), "bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         for batch in batches:
             texts, langs = (batch.column(i).to_pylist() for i in (1, 2))
-            rows = [measure(raw, lang, largest, rules, own)
-                    for raw, lang, own in zip(texts, langs, _own_references(batch.column(3)))]
+            rows = [measure(raw, lang, largest, rules, given)
+                    for raw, lang, given in zip(texts, langs, _own_references(batch.column(3)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(
                 pa.array([r[i] for r in rows], arrow[kind.simpleString()]) for i, kind in enumerate(kinds))],
                 names=out.names)
 
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.encode(text_col, "UTF-8").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
-    judged = [part.mapInArrow(judge, out) for part in _with_references(rows, F.col("_lang"), refs, "_reference")]
+    parts = _with_references(rows, F.col("_lang"), F.col("_text"), refs, "_reference", rules)
+    judged = [part.mapInArrow(judge, out) for part in parts]
     return reduce(DataFrame.unionAll, judged)
 
 
@@ -321,11 +423,11 @@ def kept_documents(
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             langs = batch.column(lang_at).cast(pa.string()).to_pylist()
-            owns = _own_references(batch.column(batch.num_columns - 1))
+            given = _own_references(batch.column(batch.num_columns - 1))
             rows = batch.select(range(batch.num_columns - 1))
             yield rows.filter(pa.array(
-                [measure(raw, lang, largest, rules, own)[verdict] for raw, lang, own in zip(texts, langs, owns)], pa.bool_()))
+                [measure(raw, lang, largest, rules, one)[verdict] for raw, lang, one in zip(texts, langs, given)], pa.bool_()))
 
     lang = F.col(lang_col).cast("string")
-    parts = _with_references(docs, lang, refs, new_name(docs))
+    parts = _with_references(docs, lang, F.col(text_col), refs, new_name(docs), rules)
     return reduce(DataFrame.unionAll, [part.mapInArrow(keep, docs.schema) for part in parts])
