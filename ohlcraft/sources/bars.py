@@ -34,12 +34,18 @@ def read_raw_bars(
     return raw
 
 
-def read_raw_bars_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    """Raw bars from a database. Pass ``partitionColumn``, ``lowerBound``, ``upperBound``
-    and ``numPartitions`` to read in parallel."""
-    return (
-        spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-        .select(*(F.col(f.name).cast(f.dataType) for f in schema.RAW_BARS)))
+def read_raw_bars_jdbc(
+    spark: SparkSession, url: str, table: str, start: dt.date, end: dt.date, partitions: int, **options,
+) -> DataFrame:
+    """Raw bars of a range from a database, read by ``partitions`` tasks with a stretch of dates
+    each; the database selects the range."""
+    first, last = _int_day(start), _int_day(end)
+    rows = (
+        spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+        .option("partitionColumn", "date").option("lowerBound", first).option("upperBound", last + 1)
+        .option("numPartitions", partitions).load())
+    return rows.where(F.col("date").between(first, last)).select(
+        *(F.col(f.name).cast(f.dataType) for f in schema.RAW_BARS))
 
 
 def chart_rows(raw: DataFrame) -> DataFrame:
