@@ -31,6 +31,8 @@ BLOCK_DOCUMENTS, BLOCK_POSTINGS = 1024, 65_536
 QUERY_PAIRS, QUERY_ITEMS = 200_000, 2_000
 #: Blocks visited first, per item and result asked for.
 FIRST_VISITS = 2
+#: Bytes of documents' terms that stand together in the order of strata.
+STRETCH_BYTES = 4_000_000
 #: Documents and blocks handed to a Python task at once.
 DOCUMENTS_A_BATCH, BLOCKS_A_BATCH = 200, 8
 #: Bytes of text counted at once.
@@ -125,6 +127,19 @@ def _block(rows: pa.RecordBatch, names: list[str]) -> pa.RecordBatch:
         pa.array([" ".join(coded.dictionary.to_pylist())], pa.string()), *numbers], names=names)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks in stretches of the order of ``m`` that hold about as many bytes each:
+    long documents are few, but large. A large stratum is cut by hash."""
+    size = F.length("terms") + F.length("tfs")
+    strata = rows.groupBy("m").agg(F.sum(size).alias("bytes"))
+    before = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)  # a row per stratum
+    strata = strata.withColumn("ahead", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    within = F.pmod(F.xxhash64("_tie"), F.col("bytes"))
+    stretch = F.floor((F.col("ahead") + within) / F.lit(STRETCH_BYTES))
+    return rows.join(strata, "m").withColumn("_stretch", stretch).drop("ahead", "bytes").repartition(
+        "_stretch").drop("_stretch")
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """The index of all terms of all documents, written to the shared folder.
 
@@ -137,9 +152,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_documents, n_terms = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     # in decimals: the product exceeds 64 bits on large corpora
     m = F.expr(f"10L + CAST(CAST(90 AS DECIMAL(20,0)) * n * CAST({n_documents} AS DECIMAL(18,0)) div {max(n_terms, 1)} AS BIGINT)")
-    keys = [F.col("m"), F.asc_nulls_last("id"), F.col("_tie")]
-    dealt = counts.select("id", m.alias("m"), "terms", "tfs", F.monotonically_increasing_id().alias("_tie"))
-    dealt = dealt.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    dealt = _dealt(counts.select("id", m.alias("m"), "terms", "tfs", F.monotonically_increasing_id().alias("_tie")))
+    dealt = dealt.sortWithinPartitions("m", F.asc_nulls_last("id"), "_tie").drop("_tie")
     id_type = docs.schema[id_col].dataType
     kind = T.StructType([
         T.StructField("m", T.LongType()), T.StructField("n_documents", T.IntegerType()),
