@@ -9,17 +9,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
-import ohlcraft
 from ohlcraft.functions.frames import HISTORY
 from ohlcraft.operators.history import WARMUP
 from ohlcraft.operators.indicators.families import FAMILIES, LINE_NAMES, Run
 
-# Executors get the array functions with the task and need no copy of this package.
-cloudpickle.register_pickle_by_value(ohlcraft)
-
 CHUNK = 2048
 #: Rows ahead of the look-back that frames inside a recursion's input need.
 EDGE = 10
