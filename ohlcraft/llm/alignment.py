@@ -11,7 +11,8 @@ number of distinct pairs (:func:`pair_bound`, some hundred thousand), and with i
 broadcast or comes to the driver, whatever the corpus.
 
 Texts fall into units, parted at blanks and line breaks between other characters, where
-neither tokenizer's tokens reach across; each worker keeps the alignments of the units it met.
+neither tokenizer's tokens reach across; each worker keeps the alignments of those that it met several
+times.
 """
 
 import hashlib
@@ -36,8 +37,8 @@ from ohlcraft.llm.common import stage
 from ohlcraft.llm.perfect_hash import PerfectHash, mixed
 
 PIECE_BPE = "piece_bpe_32k.model"
-#: Units a worker keeps; beyond that it forgets all and starts anew.
-KEPT_UNITS = 300_000
+#: Units a worker keeps, about; beyond that it forgets all and starts anew.
+KEPT_UNITS = 150_000
 #: Units encoded in one call.
 UNITS_A_CALL = 20_000
 #: Parts of the perfect hash; a pair's part is a hash of it.
@@ -117,7 +118,6 @@ class Aligner:
         self._texts = np.array(self._text_a + self._text_b, dtype=object)
         self._text_sizes = np.array([len(t) for t in self._texts], np.int64)
         self._plain: dict[str, Unit] = {}
-        self._odd: dict[str, Unit] = {}
 
     def _ids_a(self, units: list[str], joinable: bool) -> np.ndarray:
         whole = ["".join(units)] if joinable else units
@@ -183,24 +183,22 @@ class Aligner:
             n_a.tolist(), n_b.tolist(), [pairs[x:y] for x, y in zip(links, links[1:])],
             [text[x:y] for x, y in zip(texts, texts[1:])], same.tolist())]
 
-    def _known(self, store: dict[str, Unit], names: list[str], plain: bool) -> list[Unit]:
-        new = [name for name in names if name not in store]
-        for first in range(0, len(new), UNITS_A_CALL):
-            some = new[first:first + UNITS_A_CALL]
+    def _learn(self, names: list[str], plain: bool) -> dict[str, Unit]:
+        new: dict[str, Unit] = {"": Unit(0, 0, b"", b"")}
+        names = [name for name in names if name]
+        for first in range(0, len(names), UNITS_A_CALL):
+            some = names[first:first + UNITS_A_CALL]
             whole = [n if n[0] == "\n" else f" {n}" for n in some] if plain else some
-            store.update(zip(some, self._aligned(whole, plain)))
-        return [store[name] for name in names]
+            new.update(zip(some, self._aligned(whole, plain)))
+        return new
 
     def align(self, texts: pa.Array) -> Slice:
         """Whole texts; null and empty ones have no units."""
-        if len(self._plain) + len(self._odd) > KEPT_UNITS:
-            self._plain, self._odd = {}, {}
-        self._plain.setdefault("", Unit(0, 0, b"", b""))
         texts = pc.fill_null(texts.cast(pa.string()), "")
         odd = pc.match_substring_regex(texts, _ODD)
         spaced = pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n")
         names, at, bounds = tokens.distinct_units(pc.split_pattern(spaced, " "))
-        units = self._known(self._plain, names, True)
+        units = tokens.looked_up(self._plain, names, at, lambda some: self._learn(some, True), KEPT_UNITS)
         places = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         if places:
             numbers: dict[str, int] = {}
@@ -211,7 +209,8 @@ class Aligner:
                 parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
                 parts[0] = f" {parts[0]}"
                 runs[i] = np.array([len(units) + numbers.setdefault(p, len(numbers)) for p in parts])
-            units = units + self._known(self._odd, list(numbers), False)
+            odd_units = self._learn(list(numbers), False)
+            units = units + [odd_units[name] for name in numbers]
             at, bounds = np.concatenate(runs), np.concatenate([[0], np.cumsum([len(r) for r in runs])])
         wrong = np.array([not unit.same for unit in units])
         wrongs = np.concatenate([[0], np.cumsum(wrong[at])])[bounds]

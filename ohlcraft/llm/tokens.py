@@ -11,6 +11,7 @@ import re
 import sys
 import types
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
@@ -20,8 +21,8 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-#: Units a worker keeps; beyond that it forgets all and starts anew. It changes no ids.
-KEPT_UNITS = 700_000
+#: Units a worker keeps, about; beyond that it forgets all and starts anew. It changes no ids.
+KEPT_UNITS = 300_000
 #: Units encoded in one call.
 UNITS_A_CALL = 5_000
 
@@ -69,6 +70,22 @@ def distinct_units(lists: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return units.dictionary.to_pylist(), units.indices.to_numpy(), bounds.astype(np.int64)
 
 
+def looked_up(
+    known: dict, names: list[str], at: np.ndarray, learn: Callable[[list[str]], dict], most: int | None = None,
+) -> list:
+    """What is known of the names, ``at`` being the places of each in the texts; the others are
+    learnt, and of these the ones with several places are kept."""
+    values = list(map(known.get, names))
+    if None in values:
+        new = learn([name for name, value in zip(names, values) if value is None])
+        values = [new[name] if value is None else value for name, value in zip(names, values)]
+        if len(known) > (most or KEPT_UNITS):
+            known.clear()
+        often = np.flatnonzero(np.bincount(at, minlength=len(names)) > 1).tolist()
+        known.update((names[i], values[i]) for i in often)
+    return values
+
+
 def gathered(ids: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the units numbered ``at``, one after the other, and where each unit's ids
     begin, with their end."""
@@ -104,13 +121,13 @@ class Encoder:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: set[str]) -> None:
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
         """A unit with a line break starts with it; others stand for a space and the word."""
-        known, plain, marked = self._units, set(), []
+        known, plain, marked = {}, set(), []
         for unit in units:
             if unit[-1:] in self._marks and unit[-2:-1].isalpha():
                 marked.append(unit)  # the mark is parted from the word before it
-                if unit[:-1] not in known:
+                if unit[:-1] not in self._units:
                     plain.add(unit[:-1])
             elif not unit or unit[-1].isspace():  # joined to another, its white space could run on
                 known[unit] = self._direct(unit if unit[:1] == "\n" else f" {unit}")
@@ -128,7 +145,8 @@ class Encoder:
             raw, starts = ids.tobytes(), (4 * starts).tolist()
             known.update(zip(some, [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]))
         for unit in marked:
-            known[unit] = known[unit[:-1]] + self._marks[unit[-1]]
+            known[unit] = (self._units.get(unit[:-1]) or known[unit[:-1]]) + self._marks[unit[-1]]
+        return known
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each whole text; a null text has none."""
@@ -139,12 +157,7 @@ class Encoder:
             "\n", pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n"), "")
         lists = pc.split_pattern(opened, " ")
         names, at, bounds = distinct_units(lists)
-        if len(self._units) > KEPT_UNITS:
-            self._units = {}
-        ids = list(map(self._units.get, names))
-        if None in ids:
-            self._learn({name for name, known in zip(names, ids) if known is None})
-            ids = list(map(self._units.__getitem__, names))
+        ids = looked_up(self._units, names, at, self._learn)
         flat, ends = gathered(ids, at)
         first, last = ends[bounds[:-1]] + 1, ends[bounds[1:]]  # without the break of ours
         found = [flat[a:b] for a, b in zip(first.tolist(), last.tolist())]
@@ -188,14 +201,14 @@ class WordEncoder:
         raw, ends = ids.tobytes(), (4 * ends).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, units: set[str]) -> None:
-        known, words, others, marked = self._units, set(), [], []
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
+        known, words, others, marked = {}, set(), [], []
         for unit in units:
             if unit.isalpha():
                 words.add(unit)
             elif unit[-1:] in self._marks and _stays_letters(unit[:-1]):
                 marked.append(unit)  # the mark is parted from the letters before it
-                if unit[:-1] not in known:
+                if unit[:-1] not in self._units:
                     words.add(unit[:-1])
             else:
                 others.append(unit)
@@ -204,18 +217,14 @@ class WordEncoder:
                 part = some[first:first + UNITS_A_CALL]
                 known.update(zip(part, encode(part)))
         for unit in marked:
-            known[unit] = known[unit[:-1]] + self._marks[unit[-1]]
+            known[unit] = (self._units.get(unit[:-1]) or known[unit[:-1]]) + self._marks[unit[-1]]
+        return known
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each whole text; a null text has none."""
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), "\n", " ")
         names, at, bounds = distinct_units(pc.split_pattern(texts, " "))
-        if len(self._units) > KEPT_UNITS:
-            self._units = {}
-        ids = list(map(self._units.get, names))
-        if None in ids:
-            self._learn({name for name, known in zip(names, ids) if known is None})
-            ids = list(map(self._units.__getitem__, names))
+        ids = looked_up(self._units, names, at, self._learn)
         flat, ends = gathered(ids, at)
         return [flat[a:b] for a, b in zip(ends[bounds[:-1]].tolist(), ends[bounds[1:]].tolist())]
 
