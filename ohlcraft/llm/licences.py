@@ -60,14 +60,24 @@ def pairs(found: Column) -> Column:
         F.transform(F.sequence(F.lit(1), F.size(found) - 1), lambda i: F.concat_ws(" ", F.get(found, i - 1), F.get(found, i))))
 
 
+def _marker_pattern() -> str:
+    """Finds all texts with a marker, and some others where one is part of a longer word. By first
+    letters, so that most places of a text are passed over quickly."""
+    by_letter: dict[str, list[str]] = {}
+    for marker in sorted(set(MARKERS)):
+        by_letter.setdefault(marker[0], []).append(marker[1:] + ("(?![a-z])" if len(marker) < 4 else ""))
+    return "(?i)(?:" + "|".join(f"{letter}(?:{'|'.join(ends)})" for letter, ends in by_letter.items()) + ")"
+
+
 def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marked: bool = True) -> DataFrame:
     """doc_id, first_word (its place in the text, from 0), words: windows that cover the whole text;
     only those with a marker, if ``marked``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     markers = F.array(*map(F.lit, sorted(set(MARKERS))))
-    if marked:  # most texts hold none
-        rows = rows.where(F.col("text").rlike(r"(?i)(?<![a-z0-9])(?:" + "|".join(sorted(set(MARKERS))) + r")(?![a-z0-9])"))
-    rows = rows.select("doc_id", words(F.col("text")).alias("all")).where(F.size("all") > 0)
+    found = words(F.col("text"))
+    if marked:  # most texts hold none, and are not split (as they would be ahead of a filter)
+        found = F.when(F.col("text").rlike(_marker_pattern()), found)
+    rows = rows.select("doc_id", found.alias("all")).where(F.size("all") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - STEP - 1, F.lit(0)), F.lit(STEP))
     rows = rows.select("doc_id", "all", F.explode(starts).alias("first_word")).select(
         "doc_id", "first_word", F.slice("all", F.col("first_word") + 1, WINDOW).alias("words"))
@@ -166,7 +176,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
     order = F.xxhash64(F.lit(settings.seed), F.col(id_col))
     ids = [r[0] for r in docs.select(id_col).where(F.col(id_col).isNotNull()).distinct().orderBy(order, id_col).limit(
         settings.background).collect()]
-    sampled = docs.where(F.col(id_col).isin(ids))
+    sampled = stage(docs.where(F.col(id_col).isin(ids)).select(id_col, text_col), "sampled")
     marked = stage(_with_terms(windows(sampled, id_col, text_col)).withColumn(
         "key", F.monotonically_increasing_id()), "marked")
     # what is nearly a template is no sample of no licence
