@@ -33,6 +33,8 @@ QUERY_PAIRS, QUERY_ITEMS = 200_000, 2_000
 FIRST_VISITS = 2
 #: Bytes of documents' terms that stand together in the order of strata.
 STRETCH_BYTES = 4_000_000
+#: Rows of 24 bytes that are broadcast; more strata are joined by a shuffle.
+BROADCAST_STRATA = 1_000_000
 #: Documents and blocks handed to a Python task at once.
 DOCUMENTS_A_BATCH, BLOCKS_A_BATCH = 200, 8
 #: Bytes of text counted at once.
@@ -133,7 +135,9 @@ def _dealt(rows: DataFrame) -> DataFrame:
     size = F.length("terms") + F.length("tfs")
     strata = rows.groupBy("m").agg(F.sum(size).alias("bytes"))
     before = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)  # a row per stratum
-    strata = strata.withColumn("ahead", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    strata = stage(strata.withColumn("ahead", F.coalesce(F.sum("bytes").over(before), F.lit(0))), "strata")
+    if strata.count() <= BROADCAST_STRATA:
+        strata = F.broadcast(strata)
     within = F.pmod(F.xxhash64("_tie"), F.col("bytes"))
     stretch = F.floor((F.col("ahead") + within) / F.lit(STRETCH_BYTES))
     return rows.join(strata, "m").withColumn("_stretch", stretch).drop("ahead", "bytes").repartition(

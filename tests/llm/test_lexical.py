@@ -64,7 +64,8 @@ def _texts(seed, n, words=60):
     (1024, 65_536, 200_000, 2_000, 4_000_000), (3, 20, 40, 3, 50), (1, 1, 1, 1, 1)])
 def test_blocks_and_bounds_change_nothing(spark, monkeypatch, documents, postings, pairs, most_items, at_once):
     for name, value in (("BLOCK_DOCUMENTS", documents), ("BLOCK_POSTINGS", postings), ("QUERY_PAIRS", pairs),
-                        ("QUERY_ITEMS", most_items), ("AT_ONCE", at_once)):
+                        ("QUERY_ITEMS", most_items), ("AT_ONCE", at_once),
+                        ("BROADCAST_STRATA", 1000 if documents > 1 else 0), ("STRETCH_BYTES", documents * 1000)):
         monkeypatch.setattr(lexical, name, value)
     n = 200 if documents > 1 else 40
     docs = list(enumerate(_texts(1, n))) + [(n + i, "same words here") for i in range(25)]
