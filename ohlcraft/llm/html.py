@@ -40,6 +40,8 @@ DEPTH = 1_000_000
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 9
 #: Inside an article, so many pages must be the same: two articles may end alike.
 ARTICLE_PAGES = 3
+#: Shapes of subtrees and alignments of them that a reference page keeps.
+KEPT_SHAPES = 20_000
 #: Cells of an alignment that are held at once.
 CELLS = 1 << 20
 #: A page that shares so much of its text with the reference may be a copy of it.
@@ -80,23 +82,25 @@ _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
-_BLANKS = re.compile(r"\s+")
 
 
 class Node:
     """An element; ``parts`` are its texts and child elements in order, ``names`` the words of its
     class, id or role that announce something else than main text."""
 
-    __slots__ = ("tag", "parts", "children", "skipped", "names", "number", "own", "shape")
+    __slots__ = ("tag", "parts", "children", "skipped", "names", "number", "own", "shape", "shapes", "said")
 
     def __init__(self, tag: str, skipped: bool, names: frozenset[str] = frozenset()) -> None:
         self.tag, self.skipped, self.names = tag, skipped, names
         self.parts: list = []
         self.children: list[Node] = []
+        self.said: str | None = None
 
     def text(self) -> str:
         """The texts directly inside, and those of inline children."""
-        return _BLANKS.sub(" ", unescape("".join(self._own()))).strip()
+        if self.said is None:
+            self.said = " ".join(unescape("".join(self._own())).split())
+        return self.said
 
     def _own(self) -> Iterator[str]:
         for part in self.parts:
@@ -258,6 +262,9 @@ class Shapes:
         self._sizes: list[int] = []
         self._matched: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
 
+    def __len__(self) -> int:
+        return len(self._numbers) + len(self._matched)
+
     def mark(self, root: Node) -> None:
         """Sets the shapes of all nodes of a tree."""
         for node in reversed(nodes(root)):
@@ -347,8 +354,10 @@ def _best_pairs(rows: list[np.ndarray], m: int, at: int = 0, left: int = 0) -> l
 def match(left: Node, right: Node) -> dict[int, Node]:
     """Simple tree matching: the numbers of left's nodes with their counterparts in right, as many
     as possible, in order and below matched parents. Skipped subtrees match as a whole."""
-    shapes = Shapes()
-    shapes.mark(left)
+    shapes = getattr(left, "shapes", None)
+    if shapes is None or len(shapes) > KEPT_SHAPES:  # a reference meets many pages
+        shapes = left.shapes = Shapes()
+        shapes.mark(left)
     shapes.mark(right)
     found: dict[int, Node] = {}
     left_over = [(left, right)] if shapes.score(left, right) else []
@@ -463,7 +472,7 @@ def blocks(node: Node, template: set[int] = frozenset()) -> Iterator[str]:
     pieces: list[str] = []
 
     def flushed() -> Iterator[str]:
-        text = _BLANKS.sub(" ", unescape("".join(pieces))).strip()
+        text = " ".join(unescape("".join(pieces)).split())
         pieces.clear()
         if text:
             yield text
