@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ohlcraft.llm.common import new_name, stage
+from ohlcraft.llm.common import new_name, rows_a_batch, stage
 from ohlcraft.llm.components import components
 
 BANDS, BAND_ROWS = 32, 5
@@ -33,6 +33,8 @@ BATCH = 32
 MISS = 1e-6
 #: Rounds in which a bucket's members meet one of them.
 STAR_ROUNDS = 3
+#: Texts, sets or pairs of sets handed to a Python task at once.
+DOCUMENTS_A_BATCH = 1000
 #: Members of a bucket in a block.
 BLOCK = 128
 
@@ -293,6 +295,11 @@ def _block_links(rows: DataFrame, signs: DataFrame, sets: DataFrame, percent: in
 def _verdicts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of rows (doc_id, text), a row each: doc_id, digest, n_shingles, component_id, kept, and
     ``first``, true for one row of each component and for rows that take no part."""
+    with rows_a_batch(docs.sparkSession, DOCUMENTS_A_BATCH):
+        return _classed(docs, width, percent)
+
+
+def _classed(docs: DataFrame, width: int, percent: int) -> DataFrame:
     bound = percent / 100
     drawn = stage(sketches(docs, width).withColumn("row", F.monotonically_increasing_id()), "sketches")
     some = drawn.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
