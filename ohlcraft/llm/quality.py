@@ -10,7 +10,6 @@ words to its long-text value, and texts below a least length get no verdict. Pla
 counts of words, symbols and repetition come first.
 """
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
