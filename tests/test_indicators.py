@@ -120,6 +120,19 @@ def test_all_families_take_one_shuffle(bars):
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
 
 
+def test_lines_of_the_market_do_not_shuffle_those_of_the_stocks(spark, bars):
+    """However large the bars are estimated to be, wide rows stay where they were computed."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = indicators(bars)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    above = plan[:plan.index("MapInArrow")]
+    assert "BroadcastHashJoin" in above and "hashpartitioning" not in above
+
+
 def test_long_form_drops_what_is_no_number(spark):
     wide = spark.createDataFrame(
         [(2, "1.5", float("nan")), (1, "n/a", 2.0), (3, None, None)],
