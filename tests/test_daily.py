@@ -4,6 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import daily_queries
 from ohlcraft.operators import detect, history, lookup, merge
 from ohlcraft.operators.indicators import families
 from ohlcraft.operators.indicators.compute import indicators
@@ -266,6 +267,15 @@ def test_lines_are_compared_before_the_melt(spark, tmp_path):
     assert "Exchange" not in above.replace("AdaptiveSparkPlan", "") and "SortAggregate" not in plan
 
 
+def test_loads_read_raw_bars_that_are_derived_once(spark, monkeypatch):
+    read = []
+    for name in ("load_bars", "run_daily"):
+        monkeypatch.setattr(daily, name, lambda tables, raw, *rest: read.append(raw.inputFiles()))
+    monkeypatch.setattr(daily_queries, "_FILLED", {})
+    daily_queries.filled(spark, SF_DIR)
+    assert len(read) == 4 and all(files and not any("orders" in f for f in files) for files in read)
+
+
 def test_runs_read_the_months_that_hold_the_last_bars(spark, tmp_path):
     """A new listing and a halted stock: only months with one of a stock's last 61 bars are read."""
     tables = Tables(spark, str(tmp_path))
