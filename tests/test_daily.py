@@ -4,7 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from checks import daily_queries
+from checks import catalogue, daily_queries
 from ohlcraft.operators import detect, history, lookup, merge
 from ohlcraft.operators.indicators import families
 from ohlcraft.operators.indicators.compute import indicators
@@ -267,6 +267,45 @@ def test_lines_are_compared_before_the_melt(spark, tmp_path):
     assert "Exchange" not in above.replace("AdaptiveSparkPlan", "") and "SortAggregate" not in plan
 
 
+def test_values_of_charts_that_carry_their_stored_lines(spark):
+    """The same new values as by a join with the stored lines, and no filter on all lines."""
+    ids = {f"line {i}": i + 1 for i in range(90)}
+    charts = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "chart_id long")
+    stored = spark.createDataFrame([(1, [6, 1]), (1, [8, 0]), (2, [0]), (4, [2, 2]), (None, [-1, -1])],
+                                   "chart_id long, words array<long>")
+
+    def with_lines(rows):
+        value = F.coalesce("chart_id", F.lit(9)) * 1.0
+        return rows.select("*", *(F.when(F.lit(i % 7 > 0), value + i).alias(name) for name, i in ids.items()),
+                           F.lit("3.5").alias("nobody's line"))
+
+    wide, carrying = with_lines(charts), with_lines(merge.with_stored_lines(charts, stored, ids.values()))
+    expected, found = merge.new_line_values(stored, wide, ids), merge.new_line_values(None, carrying, ids)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    rows = [merge.melted(new, rows, ids) for new, rows in ((expected, wide), (found, carrying))]
+    assert rows[0].count() == 5 * 78 - 2 * 4 and sorted(map(str, rows[0].collect())) == sorted(map(str, rows[1].collect()))
+    assert all("size(" not in x._jdf.queryExecution().optimizedPlan().toString() for x in rows)
+
+
+def test_new_indicators_shuffle_charts_and_not_their_lines(spark):
+    """However large the bars are estimated to be, what is sorted by chart is narrow."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = catalogue.QUERIES["insert_ignore_indicators"].run(spark, SF_DIR)._jdf.queryExecution().sparkPlan()
+    finally:
+        spark.conf.set(key, before)
+
+    def joined(node):
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        found = [node.output().size()] if node.nodeName() == "SortMergeJoin" else []
+        return found + [n for child in children for n in joined(child)]
+
+    assert joined(plan) and max(joined(plan)) < 20
+
+
 def test_loads_read_raw_bars_that_are_derived_once(spark, monkeypatch):
     read = []
     for name in ("load_bars", "run_daily"):
