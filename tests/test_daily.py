@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalogue, daily_queries
-from ohlcraft.operators import detect, history, lookup, merge
+from ohlcraft.operators import detect, history, lookup, merge, reshape
 from ohlcraft.operators.indicators import families
 from ohlcraft.operators.indicators.compute import indicators
 from ohlcraft.plans import daily
@@ -306,6 +306,30 @@ def test_new_indicators_shuffle_charts_and_not_their_lines(spark):
     assert joined(plan) and max(joined(plan)) < 20
 
 
+@pytest.mark.parametrize("anchor", ["bar", "range"])
+def test_runs_compare_charts_before_their_lines_are_computed(spark, tmp_path, monkeypatch, anchor):
+    """Anew after another load was first: what that one has stored is not stored again."""
+    start, end = dt.date(1991, 2, 27), dt.date(1991, 3, 3)
+    tables, *_ = _loaded(spark, tmp_path, end)
+    own, given = merge.new_line_values, []
+
+    def compared(stored, wide, *rest):
+        given.append((stored, merge.STORED in wide.columns))
+        if len(given) == 1:
+            daily.store_indicators(Tables(spark, str(tmp_path)), start, end, FAMILIES[:1], anchor)
+        return own(stored, wide, *rest)
+
+    monkeypatch.setattr(merge, "new_line_values", compared)
+    stats, failed = daily.store_indicators(tables, start, end, FAMILIES, anchor)
+    assert given == [(None, True)] * 3 and failed == ()
+    values = tables.read("daily_indicators")
+    assert values.count() == values.select("chart_id", "indicator_line_id").distinct().count() == stats.total
+    assert 0 < stats.inserted < stats.total
+    charts = tables.read("charts").where(F.col("chart_date") <= end)
+    expected = reshape.indicators_long(indicators(charts, FAMILIES, start, end, anchor=anchor))
+    assert expected.count() == stats.total
+
+
 def test_loads_read_raw_bars_that_are_derived_once(spark, monkeypatch):
     read = []
     for name in ("load_bars", "run_daily"):
