@@ -1,10 +1,15 @@
 """A few registered queries against their SQL; the driver compares all of them."""
 
+import dataclasses
+import re
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks import catalogue, daily_queries
+from ohlcraft.operators.indicators import families
 from tests.conftest import SF_DIR
 
 SOME = ["patterns_slice", "ti_dmi", "ti_bollinger", "indicators_range_anchor", "load_stats",
@@ -36,3 +41,31 @@ def test_query_equals_sql(spark, name):
     quoted = ", ".join(f'"{c}"' for c in columns)
     rows = [tuple(r) for r in found.select(*(f"`{c}`" for c in columns)).collect()]
     assert _comparable(rows) == _comparable(expected.project(quoted).fetchall())
+
+
+def _raise(run, *arrays):
+    raise ArithmeticError("no lines")
+
+
+def _raise_on_low(run, close):
+    if (close < 2300).any():
+        raise ArithmeticError("a low close")
+    return [close]
+
+
+@pytest.mark.parametrize("name, broken", [
+    ("MACD", {"slice_lines": _raise}),
+    ("A/D Line", {"slice_lines": _raise}),
+    ("McCellan Oscillator", {"inputs": lambda t: 1 / 0}),
+    ("이동평균(라인3개)", {"inputs": lambda t: 1 / 0}),
+    ("DEMA", {"slice_lines": _raise_on_low}),  # in the batches of some stocks
+])
+def test_a_summary_of_lines_fails_with_a_family(spark, tmp_path, monkeypatch, name, broken):
+    spark.range(1, 140).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") * 37.5 + 900).alias("o_totalprice"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    run = catalogue.QUERIES["indicators_all"].run
+    assert run(spark, str(tmp_path)).count() == 87
+    monkeypatch.setitem(families.FAMILIES, name, dataclasses.replace(families.FAMILIES[name], **broken))
+    with pytest.raises(Exception, match=re.escape(f"indicator family {name!r} failed")):
+        run(spark, str(tmp_path)).collect()
