@@ -58,7 +58,7 @@ def _raise_on_low(run, close):
     ("A/D Line", {"slice_lines": _raise}),
     ("McCellan Oscillator", {"inputs": lambda t: 1 / 0}),
     ("이동평균(라인3개)", {"inputs": lambda t: 1 / 0}),
-    ("DEMA", {"slice_lines": _raise_on_low}),  # in the batches of some stocks
+    ("DEMA", {"slice_lines": _raise_on_low}),  # in some batches
 ])
 def test_a_summary_of_lines_fails_with_a_family(spark, tmp_path, monkeypatch, name, broken):
     spark.range(1, 140).select(
@@ -67,5 +67,9 @@ def test_a_summary_of_lines_fails_with_a_family(spark, tmp_path, monkeypatch, na
     run = catalogue.QUERIES["indicators_all"].run
     assert run(spark, str(tmp_path)).count() == 87
     monkeypatch.setitem(families.FAMILIES, name, dataclasses.replace(families.FAMILIES[name], **broken))
-    with pytest.raises(Exception, match=re.escape(f"indicator family {name!r} failed")):
-        run(spark, str(tmp_path)).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        with pytest.raises(Exception, match=re.escape(f"indicator family {name!r} failed")):
+            run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
